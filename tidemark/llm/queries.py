@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import q_bpe, q_simhash, q_substrings
+from tidemark.llm import q_bpe, q_merkle, q_simhash, q_substrings
 
-MODULES = [q_substrings, q_bpe, q_simhash]
+MODULES = [q_merkle, q_substrings, q_bpe, q_simhash]
 
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: sql for m in MODULES for k, sql in m.ORACLES.items()}
