@@ -21,8 +21,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from tidemark.llm.common import text_bytes
+from tidemark.llm.common import schema_with, text_bytes
 
 #: The contractions and character classes of the byte-level pre-tokenizer.
 PRETOKEN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -262,10 +263,7 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "t
     empty array, as do empty texts; special tokens written out in a text become their id. All other columns stay as
     they are; a column already named as `ids` is replaced. Rows are independent, so nothing is shuffled.
     """
-    from pyspark.sql.types import ArrayType, IntegerType
-
     kept = df.drop(ids) if ids in df.columns else df
-    schema = kept.schema.add(ids, ArrayType(IntegerType()))
     at = kept.columns.index(text)
 
     def run(batches):
@@ -274,7 +272,7 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "t
             found = [[i for block in coder.encode(t or "") for i in block] for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], names=[*batch.schema.names, ids])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema_with(kept, ids, ArrayType(IntegerType())))
 
 
 def decode_documents(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -288,7 +286,7 @@ def decode_documents(df: DataFrame, path: str, ids: str = "token_ids", text: str
             found = [None if x is None else "".join(coder.decode([x])) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, text])
 
-    return kept.mapInArrow(run, kept.schema.add(text, "string"))
+    return kept.mapInArrow(run, schema_with(kept, text, StringType()))
 
 
 def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

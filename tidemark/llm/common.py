@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: A word is a run of characters other than space and the control characters from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,6 +24,11 @@ def text_bytes(column: str | Column) -> Column:
     return F.coalesce((F.col(column) if isinstance(column, str) else column).cast("binary"), F.lit(b""))
 
 
+def schema_with(df: DataFrame, name: str, kind) -> StructType:
+    """df's schema and one more field."""
+    return StructType([*df.schema.fields, StructField(name, kind)])
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
