@@ -289,10 +289,10 @@ def decode_documents(df: DataFrame, path: str, ids: str = "token_ids", text: str
     return kept.mapInArrow(run, schema_with(kept, text, StringType()))
 
 
-def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """Digests of each document's ids and of the text they decode to, in one pass and in constant memory per document.
 
-    Returns doc_id, n_tokens, ids_sha256, decoded_sha256. Null and empty texts have no tokens and the digest of the
+    Returns doc_id, n_tokens, ids_sha256, decoded_sha256; with keep_ids, token_ids (array<int>) too, whole in memory. Null and empty texts have no tokens and the digest of the
     empty string; repeated rows give repeated results.
     """
 
@@ -300,27 +300,32 @@ def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
         coder = transducer(path)
         names = coder.text_of
         for batch in batches:
-            counts, ids_digests, text_digests = [], [], []
+            counts, ids_digests, text_digests, all_ids = [], [], [], []
             for data in batch.column(1).to_pylist():
-                of_ids, of_text, count = hashlib.sha256(), hashlib.sha256(), 0
+                of_ids, of_text, count, kept = hashlib.sha256(), hashlib.sha256(), 0, []
 
-                def blocks(data=data, of_ids=of_ids):
+                def blocks(data=data, of_ids=of_ids, kept=kept):
                     nonlocal count
                     for block in coder.encode(data.decode("utf-8", "replace")):
                         of_ids.update((b"," if count else b"") + ",".join([names[i] for i in block]).encode())
                         count += len(block)
+                        if keep_ids:
+                            kept += block
                         yield block
 
                 for part in coder.decode(blocks()):
                     of_text.update(part.encode())
                 counts.append(count)
+                all_ids.append(pa.array(kept, pa.int32()))
                 ids_digests.append(of_ids.hexdigest())
                 text_digests.append(of_text.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(text_digests)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return df.select(F.col(doc_id).alias("doc_id"), text_bytes(text).alias("text")).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())]
+            names_out = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if keep_ids:
+                offsets = pa.array([0, *itertools.accumulate(map(len, all_ids))], pa.int32())
+                columns.append(pa.ListArray.from_arrays(offsets, pa.concat_arrays(all_ids) if all_ids else pa.array([], pa.int32())))
+                names_out.append("token_ids")
+            yield pa.RecordBatch.from_arrays(columns, names=names_out)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids
+    return df.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text")).mapInArrow(run, schema)

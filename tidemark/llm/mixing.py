@@ -45,26 +45,25 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     return shared.select("source", "source_size", target.alias("target"))
 
 
-def mix(df: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken of every row: how many words of it, repeats counted, the mix takes.
+def with_taken(df: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """(_row, doc_id, size, source_size, target, taken) of every row; _row holds all columns of df.
 
     A row's size is its number of words (null text: 0). Of a source, whole rounds are taken as often as its target
     holds them, then the rows in the order of their keys up to the rest (rounded down); the row that crosses it is
     taken in part. Keys are digests of the seed and doc_id, so reruns agree; rows that repeat a doc_id follow each
     other by size. A null source is a source of its own. An empty table gives no rows; other columns are not looked at.
 
-    The texts are scanned once for their sizes; what is shuffled is one short row for each document, by source and
-    bucket, so a source with a third of all rows is spread over its buckets.
+    Rows are shuffled by source and bucket, so a source with a third of all rows is spread over its buckets.
     """
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
-    sized = df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"), key.alias("_key"))
+    sized = df.select(F.struct("*").alias("_row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"), key.alias("_key"))
     buckets = max(1, min(MOST_BUCKETS, df.count() // BUCKET_ROWS))
     sized = sized.withColumn("_bucket", (F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * buckets / (1 << 32)).cast("int"))
     sums = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
     order = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("_start", F.coalesce(F.sum("_sum").over(order), F.lit(0)))
     totals = targets(sums.groupBy("source").agg(F.sum("_sum").alias("source_size")), weights, most)
-    placed = starts.alias("s").join(F.broadcast(totals).alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
+    placed = starts.alias("s").join(totals.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
         F.col("s.source").alias("_source"), F.col("_bucket").alias("_b"), "_start", "source_size", "target"
     )
     inside = Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -74,4 +73,20 @@ def mix(df: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed
     rest = F.floor(F.col("target")).cast("long") - rounds * F.col("source_size")
     before = F.col("_start") + F.col("_upto") - F.col("size")
     extra = F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
-    return rows.select("doc_id", "size", "source_size", "target", (rounds * F.col("size") + extra).cast("long").alias("taken"))
+    return rows.select("_row", "doc_id", "size", "source_size", "target", (rounds * F.col("size") + extra).cast("long").alias("taken"))
+
+
+def mix(df: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """doc_id, size, source_size, target and taken of every row, as with_taken has them; the texts are not shuffled."""
+    return with_taken(df, weights, most, seed, doc_id, text, source).drop("_row")
+
+
+def mixed_rows(df: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mix itself: df's rows, each as often as the mix takes it.
+
+    Rows stay whole: the one that crosses its source's budget is taken if half of it or more is within. Rows without
+    words cost nothing and stay once.
+    """
+    found = with_taken(df, weights, most, seed, doc_id, text, source)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + 0.5)).cast("int")
+    return found.withColumn("_times", times).where("_times > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*")

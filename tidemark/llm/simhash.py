@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import connected_components, text_bytes, written
@@ -174,3 +174,17 @@ def near_duplicates(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id:
         "fp", F.coalesce("component", "rep").alias("component_id")
     )
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """df with one row of each group of near-duplicates: the one with the smallest doc_id.
+
+    Of rows that repeat that doc_id the one with the smallest text stays. Rows with a null doc_id stay as they are. All
+    columns are kept.
+    """
+    found = near_duplicates(df, shingle, distance, doc_id, text)
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    kept = df.join(first, doc_id, "left_semi")
+    order = Window.partitionBy(doc_id).orderBy(F.col(text).asc_nulls_last())
+    kept = kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    return kept.unionByName(df.where(F.col(doc_id).isNull()))
