@@ -78,9 +78,12 @@ def remove_repeated_lines(df: DataFrame, divisor: int = 2, doc_id: str = "doc_id
     lose the same chunks, and none if no other row has them. Rows with a null doc_id keep everything. All other columns
     stay as they are.
     """
-    own = df.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    keyed, gone = removed_chunks(own.select("doc_id", "text").where("doc_id is not null"), divisor)
-    whole = own.withColumn("tag", F.xxhash64("text")).join(gone, "doc_id", "left")
+    body = lambda column: F.coalesce(column, F.lit(""))
+    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), body(F.col(text)).alias("text")).where("doc_id is not null")
+    _, gone = removed_chunks(docs, divisor)
+    # The row passes the exchange once; its text is taken out of it again behind the join.
+    own = df.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("doc_id"))
+    whole = own.join(gone, "doc_id", "left").withColumn("text", body(F.col("_row").getField(text))).withColumn("tag", F.xxhash64("text"))
     whole = whole.withColumn("gone", F.transform(F.filter(F.coalesce("gone", F.array()), lambda g: g["tag"] == F.col("tag")), lambda g: g["k"]))
     cut = chunks_of(whole, "text", divisor)
     kept = F.filter("chunks", lambda c, k: ~F.array_contains("gone", k))
