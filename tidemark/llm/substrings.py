@@ -64,28 +64,49 @@ class RollingHashes:
         return mix64((sums[which][starts + length] - sums[which][starts]) * self.inverse[which][starts])
 
 
-def text_tag(data: bytes) -> int:
-    """31 bits that tell apart rows which repeat a doc_id with other texts."""
-    return xxhash.xxh3_64_intdigest(data) & 0x7FFFFFFF
+#: A place is one long: bits for the position in words, for the length of a run, for which of the rows that repeat a
+#: doc_id it is in, and a flag for places that need no comparison any more. Short rows keep the shuffles small.
+POS_BITS, RUN_BITS, ROW_BITS = 28, 14, 19
+SETTLED = 1 << (POS_BITS + RUN_BITS + ROW_BITS)
 
 
-def runs_of(doc: np.ndarray, tag: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Consecutive positions of a document as (doc, tag, first, count); input in order of document, tag, position."""
-    if not len(doc):
-        return doc, tag, pos, pos
-    new = np.concatenate(([True], (np.diff(doc) != 0) | (np.diff(tag) != 0) | (np.diff(pos) != 1)))
-    at = np.flatnonzero(new)
-    return doc[at], tag[at], pos[at], np.diff(np.concatenate((at, [len(doc)])))
+def packed(row, pos, n):
+    return (np.int64(row) << np.int64(POS_BITS + RUN_BITS)) | (np.asarray(n, np.int64) << np.int64(POS_BITS)) | np.asarray(pos, np.int64)
+
 
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, position and run length of places."""
+    return (
+        (place >> np.int64(POS_BITS + RUN_BITS)) & np.int64((1 << ROW_BITS) - 1),
+        place & np.int64((1 << POS_BITS) - 1),
+        (place >> np.int64(POS_BITS)) & np.int64((1 << RUN_BITS) - 1),
+    )
 
-def combined(hashes: list[np.ndarray], doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, anchors: bool):
+
+def runs_of(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Single places, put together to runs of consecutive positions in one document's row."""
+    order = np.lexsort((place, doc))
+    doc, place = doc[order], place[order]
+    if not len(doc):
+        return doc, place
+    row, pos, _ = unpacked(place)
+    at = np.arange(len(doc))
+    new = np.concatenate(([True], (np.diff(doc) != 0) | (np.diff(row) != 0) | (np.diff(pos) != 1)))
+    since = at - np.maximum.accumulate(np.where(new, at, 0))
+    new |= since % ((1 << RUN_BITS) - 1) == 0  # no run is longer than its bits
+    first = np.flatnonzero(new)
+    n = np.diff(np.concatenate((first, [len(doc)])))
+    return doc[first], packed(0, 0, 0) | (row[first] << np.int64(POS_BITS + RUN_BITS)) | (n << np.int64(POS_BITS)) | pos[first]
+
+
+def combined(hashes: list[np.ndarray], doc: np.ndarray, place: np.ndarray, anchors: bool):
     """What one task can settle among its own rows before the shuffle.
 
     Returns the rows that other tasks must see, at most one document for each hash, and the rows that are settled: for
     anchors, those whose hash two documents share; for windows, those that a smaller document of this task has too.
     """
-    order = np.lexsort((pos, tag, doc, *hashes[::-1]))
-    hashes, doc, tag, pos = [h[order] for h in hashes], doc[order], tag[order], pos[order]
+    order = np.lexsort((place, doc, *hashes[::-1]))
+    hashes, doc, place = [h[order] for h in hashes], doc[order], place[order]
     new = np.ones(len(doc), bool)
     new[1:] = np.any([h[1:] != h[:-1] for h in hashes], axis=0)
     first = np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
@@ -94,63 +115,48 @@ def combined(hashes: list[np.ndarray], doc: np.ndarray, tag: np.ndarray, pos: np
         shared = np.zeros(len(doc), bool)
         shared[first[~own]] = True
         done = shared[first]
+        seen = own & (~done | new)
     else:
-        done = ~own
-    seen = own & ~done if not anchors else own & (~done | new)
-    return [h[seen] for h in hashes], doc[seen], tag[seen], pos[seen], runs_of(*by_place(doc[done], tag[done], pos[done]))
-
-
-def by_place(doc, tag, pos):
-    order = np.lexsort((pos, tag, doc))
-    return doc[order], tag[order], pos[order]
-
-
-SCHEMA = "h1 long, h2 long, settled boolean, doc long, tag int, pos int, n int"
+        done, seen = ~own, own
+    return [h[seen] for h in hashes], doc[seen], place[seen], runs_of(doc[done], place[done])
 
 
-def batch_of(rows, hashes, settled: bool) -> pa.RecordBatch:
-    doc, tag, pos, n = rows
-    if settled:  # spread by document, not by hash
-        hashes = [mix64(doc.view(np.uint64) * np.uint64(BASES[0]))]
-    second = hashes[1] if len(hashes) > 1 else np.zeros(len(doc), np.uint64)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(hashes[0].view(np.int64)), pa.array(second.view(np.int64)), pa.array(np.full(len(doc), settled)),
-            pa.array(doc, pa.int64()), pa.array(tag, pa.int32()), pa.array(pos, pa.int32()), pa.array(n, pa.int32()),
-        ],
-        names=["h1", "h2", "settled", "doc", "tag", "pos", "n"],
-    )
+def batch_of(hashes, doc, place) -> pa.RecordBatch:
+    names = ["h1", "h2"][: len(hashes)] + ["doc", "place"]
+    return pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes), pa.array(doc, pa.int64()), pa.array(place, pa.int64())], names=names)
 
 
 def hashed(batches, starts_of, window: int, anchors: bool):
-    """Rows of SCHEMA for the stretches that starts_of picks in each document; each task combines its own rows first."""
+    """(h1, h2 for windows, doc, place) of the stretches that starts_of picks in each document; each task combines its own rows first.
+
+    An anchor is only a hint and has a hash of 48 bits; a window is told apart by 96 bits.
+    """
     rolling, length = RollingHashes(), window - PERIOD + 1 if anchors else window
+    bits = (48,) if anchors else (64, 32)
     held: list[tuple] = []
     count = 0
 
     def flush():
         if not held:
             return
-        hashes = [np.concatenate([x[0][k] for x in held]) for k in range(1 if anchors else 2)]
-        doc, tag, pos = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3))
-        hashes, doc, tag, pos, settled = combined(hashes, doc, tag, pos, anchors)
-        yield batch_of((doc, tag, pos, np.ones(len(doc), np.int64)), hashes, False)
-        yield batch_of(settled, hashes, True)
+        hashes = [np.concatenate([x[0][k] for x in held]) for k in range(len(bits))]
+        hashes, doc, place, (runs_doc, runs) = combined(hashes, np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]), anchors)
+        yield batch_of(hashes, doc, place)
+        # Settled runs are spread by document, not by hash.
+        spread = [mix64(runs_doc.view(np.uint64)), np.zeros(len(runs), np.uint64)]
+        yield batch_of(spread[: len(bits)], runs_doc, runs | np.int64(SETTLED))
 
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            doc, data = row[0], row[1]
+        for doc, data, row, *more in zip(*(c.to_pylist() for c in batch.columns)):
             if doc is None:
                 continue
             words = data.split()
-            tag = text_tag(data)
-            starts = starts_of(len(words), tag, *row[2:])
+            starts = starts_of(len(words), row, *more)
             if not len(starts):
                 continue
             sums = rolling.of(words)
-            held.append(
-                ([rolling.stretches(sums, starts, length, k) for k in range(1 if anchors else 2)], np.full(len(starts), doc, np.int64), np.full(len(starts), tag, np.int64), starts)
-            )
+            found = [rolling.stretches(sums, starts, length, k) >> np.uint64(64 - n) for k, n in enumerate(bits)]
+            held.append((found, np.full(len(starts), doc, np.int64), packed(row, starts, 1)))
             count += len(starts)
             if count >= ROWS:
                 yield from flush()
@@ -158,7 +164,7 @@ def hashed(batches, starts_of, window: int, anchors: bool):
     yield from flush()
 
 
-def anchor_starts(n_words: int, tag: int, window: int = 50) -> np.ndarray:
+def anchor_starts(n_words: int, window: int = 50) -> np.ndarray:
     """Anchored stretches of a document; texts shorter than a window have none."""
     if n_words < window:
         return np.empty(0, np.int64)
@@ -166,65 +172,74 @@ def anchor_starts(n_words: int, tag: int, window: int = 50) -> np.ndarray:
     return at[np.isin(at % PERIOD, COVER)]
 
 
-def marked(n: int, tag: int, places, reach: int = 1) -> np.ndarray:
-    """Which of n positions lie in the runs of this document, each position reaching as far as `reach`."""
+def marked(n: int, row: int, places, reach: int = 1) -> np.ndarray:
+    """Which of n positions lie in the places of this row, each position reaching as far as `reach`."""
     steps = np.zeros(n + 1, np.int64)
-    for x in places or ():
-        if x["tag"] == tag:
-            steps[min(n, x["pos"])] += 1
-            steps[min(n, x["pos"] + x["n"] - 1 + reach)] -= 1
+    if places:
+        of, pos, length = unpacked(np.array(places, np.int64))
+        own = of == row
+        np.add.at(steps, np.minimum(n, pos[own]), 1)
+        np.add.at(steps, np.minimum(n, pos[own] + length[own] - 1 + reach), -1)
     return np.cumsum(steps[:-1]) > 0
 
 
+def numbered(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc, text, row): row counts the rows that repeat a doc_id, by text; only where some do is there anything to sort."""
+    docs = df.select(F.col(doc_id).cast("long").alias("doc"), text_bytes(text).alias("text"))
+    if docs.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1 and doc is not null").isEmpty():
+        return docs.withColumn("row", F.lit(0))
+    return docs.withColumn("row", F.when(F.col("doc").isNotNull(), F.row_number().over(Window.partitionBy("doc").orderBy("text")) - 1).otherwise(0))
+
+
 def remove_repeats(df: DataFrame, window: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, removed): each text and the runs of its words that an earlier document has too.
+    """(doc_id, text, row, removed): each text and the places of the windows that an earlier document has too.
 
     A window is `window` consecutive words of one document; a word is removed if a window that covers it has a word
-    sequence that also starts in a document with a smaller doc_id. Windows are judged on the input. removed holds runs
-    (tag, pos, n) of window starts, null if there are none; `kept_words` reads them. Null texts have no words; rows
-    with a null doc_id lose nothing and take nothing from others; rows that repeat a doc_id don't remove each other's
-    words, but each loses what smaller ids have. Other columns are not looked at.
+    sequence that also starts in a document with a smaller doc_id. Windows are judged on the input. removed holds packed
+    window starts, null if there are none; `kept_words` reads them. Null texts have no words; rows with a null doc_id
+    lose nothing and take nothing from others; rows that repeat a doc_id don't remove each other's words, but each loses
+    what smaller ids have. Other columns are not looked at.
 
     Each task combines its rows before a shuffle, so that a hash reaches the next stage once per task and document,
     not once per copy; the texts are shuffled once, by doc_id, and that exchange is used again at the end.
     """
     if window < PERIOD:
         raise ValueError(f"windows must have {PERIOD} words or more")
-    docs = df.select(F.col(doc_id).cast("long").alias("doc"), text_bytes(text).alias("text"))
-    place = F.collect_list(F.struct("tag", "pos", "n"))
+    docs = numbered(df, doc_id, text)
+    settled = F.col("place") >= SETTLED
 
-    anchors = docs.mapInArrow(lambda it: hashed(it, lambda n, tag: anchor_starts(n, tag, window), window, True), SCHEMA)
-    one = Window.partitionBy("h1", "settled")
+    anchors = docs.mapInArrow(lambda it: hashed(it, lambda n, row: anchor_starts(n, window), window, True), "h1 long, doc long, place long")
+    one = Window.partitionBy("h1", settled)
     shared = (
         anchors.withColumn("low", F.min("doc").over(one))
         .withColumn("high", F.max("doc").over(one))
-        .where("settled or low <> high")
-        .groupBy("doc").agg(place.alias("places"))
+        .where(settled | (F.col("low") != F.col("high")))
+        .groupBy("doc").agg(F.collect_list("place").alias("places"))
     )
 
-    def windows(n_words, tag, places):
+    def windows(n_words, row, places):
         # A window that holds the anchored stretch at p starts at p - (PERIOD - 1) or later, and not after p.
         if n_words < window:
             return np.empty(0, np.int64)
-        near = marked(n_words + PERIOD, tag, [{"tag": x["tag"], "pos": x["pos"], "n": x["n"]} for x in places], PERIOD)
+        near = marked(n_words + PERIOD, row, places, PERIOD)
         return np.flatnonzero(near[PERIOD - 1 : PERIOD - 1 + n_words - window + 1])
 
-    whole = docs.join(shared, "doc").mapInArrow(lambda it: hashed(it, windows, window, False), SCHEMA)
-    by_window = Window.partitionBy("h1", "h2", "settled")
+    whole = docs.join(shared, "doc").mapInArrow(lambda it: hashed(it, windows, window, False), "h1 long, h2 long, doc long, place long")
+    by_window = Window.partitionBy("h1", "h2", settled)
     repeated = (
         whole.withColumn("low", F.min("doc").over(by_window))
-        .where("settled or doc > low")
-        .groupBy("doc").agg(place.alias("removed"))
+        .where(settled | (F.col("doc") > F.col("low")))
+        .groupBy("doc").agg(F.collect_list("place").alias("removed"))
     )
     return docs.join(repeated, "doc", "left").withColumnRenamed("doc", doc_id)
 
 
-def kept_words(data: bytes, removed, window: int = 50) -> tuple[list[bytes], int]:
+def kept_words(data: bytes, row: int, removed, window: int = 50) -> tuple[list[bytes], int]:
     """The words of a text that are kept, and how many are removed."""
     words = data.split()
     if not removed or not words:
         return words, 0
-    gone = marked(len(words), text_tag(data), removed, window)
+    gone = marked(len(words), row, removed, window)
     return [w for w, g in zip(words, gone.tolist()) if not g], int(gone.sum())
 
 
@@ -234,8 +249,8 @@ def removal_digests(df: DataFrame, window: int = 50, doc_id: str = "doc_id", tex
     def run(batches):
         for batch in batches:
             n, gone, digests = [], [], []
-            for data, removed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                kept, lost = kept_words(data, removed, window)
+            for data, row, removed in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+                kept, lost = kept_words(data, row, removed, window)
                 n.append(len(kept) + lost)
                 gone.append(lost)
                 digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
