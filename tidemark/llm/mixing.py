@@ -38,7 +38,7 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
         .withColumn("_left", F.col("_all") - F.coalesce(F.sum("_limit").over(before), F.lit(0.0)))
         .withColumn("_weights", F.sum("_w").over(every) - F.coalesce(F.sum("_w").over(before), F.lit(0.0)))
         .withColumn("_full", F.col("_w") * F.col("_left") >= F.col("_limit") * F.col("_weights"))
-        .withColumn("_open_left", F.min(F.when(~F.col("_full"), F.col("_left"))).over(every))
+        .withColumn("_open_left", F.max(F.when(~F.col("_full"), F.col("_left"))).over(every))
         .withColumn("_open_weights", F.max(F.when(~F.col("_full"), F.col("_weights"))).over(every))
     )
     target = F.when(F.col("_full"), F.col("_limit")).otherwise(F.col("_w") * F.col("_open_left") / F.col("_open_weights"))

@@ -33,7 +33,7 @@ WITH sized AS (
 ), goal AS (
   SELECT source, source_size,
          CASE WHEN is_full THEN (3 * source_size)::DOUBLE
-              ELSE w * (SELECT min(rest) FROM flagged WHERE NOT is_full) / (SELECT max(weights) FROM flagged WHERE NOT is_full) END AS target
+              ELSE w * (SELECT max(rest) FROM flagged WHERE NOT is_full) / (SELECT max(weights) FROM flagged WHERE NOT is_full) END AS target
   FROM flagged
 ), running AS (
   SELECT s.doc_id, s.size, g.source_size, g.target,
