@@ -142,8 +142,9 @@ def hashed(batches, starts_of, window: int, anchors: bool):
         hashes = [np.concatenate([x[0][k] for x in held]) for k in range(len(bits))]
         hashes, doc, place, (runs_doc, runs) = combined(hashes, np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]), anchors)
         yield batch_of(hashes, doc, place)
-        # Settled runs are spread by document, not by hash.
-        spread = [mix64(runs_doc.view(np.uint64)), np.zeros(len(runs), np.uint64)]
+        # Settled runs are spread by document, not by hash; a set high bit keeps them apart from all hashes.
+        high = np.uint64(1 << 63)
+        spread = [mix64(runs_doc.view(np.uint64)) | high, np.full(len(runs), high, np.uint64)]
         yield batch_of(spread[: len(bits)], runs_doc, runs | np.int64(SETTLED))
 
     for batch in batches:
@@ -209,10 +210,9 @@ def remove_repeats(df: DataFrame, window: int = 50, doc_id: str = "doc_id", text
     settled = F.col("place") >= SETTLED
 
     anchors = docs.mapInArrow(lambda it: hashed(it, lambda n, row: anchor_starts(n, window), window, True), "h1 long, doc long, place long")
-    one = Window.partitionBy("h1", settled)
+    one = Window.partitionBy("h1")
     shared = (
-        anchors.withColumn("low", F.min("doc").over(one))
-        .withColumn("high", F.max("doc").over(one))
+        anchors.withColumns({"low": F.min("doc").over(one), "high": F.max("doc").over(one)})
         .where(settled | (F.col("low") != F.col("high")))
         .groupBy("doc").agg(F.collect_list("place").alias("places"))
     )
@@ -225,7 +225,7 @@ def remove_repeats(df: DataFrame, window: int = 50, doc_id: str = "doc_id", text
         return np.flatnonzero(near[PERIOD - 1 : PERIOD - 1 + n_words - window + 1])
 
     whole = docs.join(shared, "doc").mapInArrow(lambda it: hashed(it, windows, window, False), "h1 long, h2 long, doc long, place long")
-    by_window = Window.partitionBy("h1", "h2", settled)
+    by_window = Window.partitionBy("h1", "h2")
     repeated = (
         whole.withColumn("low", F.min("doc").over(by_window))
         .where(settled | (F.col("doc") > F.col("low")))
