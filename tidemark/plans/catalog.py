@@ -5,6 +5,393 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions.time_buckets import DAY, HOUR, day, millis, month_key, week
+from tidemark.operators import chain, ledger, prices, quality, reconcile
+from tidemark.plans import testbed as t
+from tidemark.plans.testbed import oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+D = "// 86400000 * 86400000"
+W = "(timestamp_ms + 259200000) // 604800000 * 604800000 - 259200000"
+
+
+def register(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def longs(df: DataFrame, *columns: str) -> DataFrame:
+    """Exact decimals as longs, which is how the oracle has them."""
+    return df.withColumns({c: F.col(c).cast("long") for c in columns})
+
+
+# --- prices -----------------------------------------------------------------------------------------------------------
+
+
+def usd(spark, d):
+    return prices.vwap(t.candles(spark, d).where(F.col("pair").isin("A", "R")))
+
+
+def reference(spark, d):
+    return prices.vwap(t.candles(spark, d).where("pair = 'N'"))
+
+
+def btc(spark, d):
+    return prices.cross_rate(usd(spark, d), reference(spark, d))
+
+
+def _close(view: str, bucket: str) -> str:
+    return f"SELECT {bucket} AS timestamp_ms, arg_max(value, timestamp_ms) AS value FROM {view} GROUP BY 1"
+
+
+register("m01_price_composite", oracle(["usd"], "SELECT * FROM usd"))(usd)
+register("m07_reference_price", oracle(["reference"], "SELECT * FROM reference"))(reference)
+register("m04_cross_rate", oracle(["btc"], "SELECT * FROM btc"))(btc)
+register("m02_price_composite_daily", oracle(["usd"], _close("usd", f"timestamp_ms {D}")))(lambda s, d: prices.daily_close(usd(s, d)))
+register("m03_price_composite_weekly", oracle(["usd"], _close("usd", W)))(lambda s, d: prices.weekly_close(prices.daily_close(usd(s, d))))
+register("m05_cross_rate_daily", oracle(["btc"], _close("btc", f"timestamp_ms {D}")))(lambda s, d: prices.daily_close(btc(s, d)))
+register("m06_cross_rate_weekly", oracle(["btc"], _close("btc", W)))(lambda s, d: prices.weekly_close(prices.daily_close(btc(s, d))))
+
+
+@register("m08_volume_daily", oracle(["candles"], f"SELECT timestamp_ms {D} AS timestamp_ms, CAST(sum(quote_volume) AS BIGINT) AS value FROM candles WHERE exchange = 'O1' AND pair IN ('A', 'N') GROUP BY 1"))
+def volume_daily(s, d):
+    return prices.daily_sum(t.candles(s, d).where(F.col("exchange") == "O1").where(F.col("pair").isin("A", "N")), "quote_volume")
+
+
+@register("m14_trends_series", oracle(["trends"], "SELECT week_start_ms AS timestamp_ms, value, row_id FROM trends WHERE keyword = '2-HIGH'"))
+def trends_series(s, d):
+    return t.trends(s, d).where("keyword = '2-HIGH'").select(F.col("week_start_ms").alias("timestamp_ms"), "value", "row_id")
+
+
+QUOTES = "SELECT pair, exchange, at_ms AS timestamp_ms, close AS price, event_id % 7 AS volume FROM ticks"
+
+
+@register(
+    "a18_composite_staleness",
+    oracle(["ticks"], """SELECT pair, sum(price * volume) FILTER (ok)::DOUBLE / sum(volume) FILTER (ok)::DOUBLE AS price,
+        coalesce(array_to_string(list_sort(list(DISTINCT exchange) FILTER (ok)), ','), '') AS venues FROM
+        (SELECT *, volume > 0 AND 1705276800000 - timestamp_ms <= 43200000 AS ok FROM quotes) GROUP BY pair""", quotes=QUOTES),
+)
+def composite_staleness(s, d):
+    quotes = t.ticks(s, d).select("pair", "exchange", F.col("at_ms").alias("timestamp_ms"), F.col("close").alias("price"), F.pmod("event_id", F.lit(7)).alias("volume"))
+    return prices.composite(quotes, 1_705_276_800_000, 12 * HOUR, ["pair"]).select("pair", "price", F.array_join("venues", ",").alias("venues"))
+
+
+OBSERVED = "SELECT timestamp_ms, value * (1 + 0.0625 * (timestamp_ms // 60000 % 3)) AS value FROM btc"
+
+
+@register("d11_cross_rate_check", oracle(["btc"], "SELECT timestamp_ms, implied, observed, abs(implied - observed) / abs(observed) AS divergence FROM (SELECT b.timestamp_ms, b.value AS implied, o.value AS observed FROM btc b JOIN observed o USING (timestamp_ms) WHERE o.value <> 0) WHERE abs(implied - observed) / abs(observed) > 0.05", observed=OBSERVED))
+def cross_rate_check(s, d):
+    off = F.lit(1) + F.pmod(F.col("timestamp_ms") / 60_000, F.lit(3.0)).cast("long") * F.lit(0.0625)
+    observed = btc(s, d).select("timestamp_ms", (F.col("value") * off).alias("value"))
+    return prices.cross_rate_check(usd(s, d), reference(s, d), observed, 0.05)
+
+
+@register("d01_candle_silver", oracle(["candles"], "SELECT DISTINCT * FROM candles"))
+def candle_silver(s, d):
+    return prices.candle_silver(t.candles(s, d))
+
+
+@register("d03_latest_fetch", oracle(["trends"], "SELECT keyword, week_start_ms, value, row_id, fetched_at_ms FROM (SELECT *, max(fetched_at_ms) OVER (PARTITION BY keyword) AS newest FROM trends) WHERE fetched_at_ms = newest"))
+def latest_fetch(s, d):
+    return prices.latest_fetch(t.trends(s, d), "keyword", "fetched_at_ms")
+
+
+@register("p03_month_key", oracle(["candles"], "SELECT strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m') AS month, count(*) AS rows FROM candles GROUP BY 1"))
+def months(s, d):
+    return t.candles(s, d).groupBy(month_key("timestamp_ms").alias("month")).agg(F.count("*").alias("rows"))
+
+
+@register("x03_gained_per_day", oracle(["trends"], "SELECT keyword, fetched_at_ms, value - lag(value) OVER (PARTITION BY keyword ORDER BY fetched_at_ms) AS value_gained FROM snaps", snaps="SELECT keyword, fetched_at_ms, CAST(sum(value) AS BIGINT) AS value FROM trends GROUP BY 1, 2"))
+def gained(s, d):
+    snaps = t.trends(s, d).groupBy("keyword", "fetched_at_ms").agg(F.sum("value").alias("value"))
+    return prices.gained_per_day(snaps, "keyword", "fetched_at_ms", "value")
+
+
+@register("d02_keyed_latest_wins", oracle(["candles"], """SELECT exchange, pair, timestamp_ms, close, quote_volume FROM (SELECT *, row_number() OVER
+    (PARTITION BY exchange, pair, timestamp_ms ORDER BY late DESC, close DESC, quote_volume DESC) AS nth FROM versions) WHERE nth = 1""",
+    versions="SELECT exchange, pair, timestamp_ms, close, quote_volume, CASE WHEN quote_volume % 3 = 0 THEN 1 ELSE 0 END AS late FROM candles"))
+def latest_wins(s, d):
+    from tidemark.sources.tables import latest_by_key
+
+    rows = t.candles(s, d).select("exchange", "pair", "timestamp_ms", "close", "quote_volume")
+    late = F.col("quote_volume") % 3 == 0
+    return latest_by_key(rows.where(~late), rows.where(late), ["exchange", "pair", "timestamp_ms"])
+
+
+# --- ledger -----------------------------------------------------------------------------------------------------------
+
+
+def legs(s, d, seeded: bool = False):
+    return ledger.signed_legs(t.transfers(s, d), t.balance_events(s, d), t.account_snapshots(s, d) if seeded else None)
+
+
+def balances(s, d):
+    return ledger.daily_balances(legs(s, d, True))
+
+
+@register("u01_signed_legs", oracle(["seeded"], f"SELECT coldkey, timestamp_ms {D} AS timestamp_ms, CAST(sum(delta) AS BIGINT) AS delta FROM seeded GROUP BY 1, 2"))
+def signed_legs(s, d):
+    return longs(ledger.daily_deltas(legs(s, d, True)), "delta")
+
+
+@register("m11_account_balances_daily", oracle(["balances"], "SELECT coldkey, timestamp_ms, CAST(balance_rao AS BIGINT) AS balance_rao FROM balances"))
+def account_balances_daily(s, d):
+    return longs(balances(s, d), "balance_rao")
+
+
+def _holders(threshold: int) -> str:
+    return oracle(["balances"], """SELECT s.timestamp_ms, CAST(sum(net) OVER (ORDER BY s.timestamp_ms ROWS UNBOUNDED PRECEDING) AS BIGINT) AS value
+        FROM (SELECT unnest(generate_series((SELECT min(timestamp_ms) FROM balances), (SELECT max(timestamp_ms) FROM balances), 86400000)) AS timestamp_ms) s
+        LEFT JOIN net USING (timestamp_ms)""",
+        above=f"SELECT coldkey, timestamp_ms, CASE WHEN balance_rao > {threshold} THEN 1 ELSE 0 END AS above FROM balances",
+        crossing="SELECT timestamp_ms, above - lag(above, 1, 0) OVER (PARTITION BY coldkey ORDER BY timestamp_ms) AS c FROM above",
+        net="SELECT timestamp_ms, sum(c) AS net FROM crossing WHERE c <> 0 GROUP BY 1")
+
+
+register("m12_wallet_count", _holders(0))(lambda s, d: ledger.holder_counts(balances(s, d), 0))
+register("m13_wallet_count_dust", _holders(10_000_000))(lambda s, d: ledger.holder_counts(balances(s, d), 10_000_000))
+
+register("m15_labelled_totals", oracle(["balances", "labels_"], """SELECT timestamp_ms, coalesce(sum(f), 0)::DOUBLE / 1e9 AS value FROM (SELECT timestamp_ms, coldkey,
+        last_value(balance_rao IGNORE NULLS) OVER (PARTITION BY coldkey ORDER BY timestamp_ms ROWS UNBOUNDED PRECEDING) AS f FROM dense) GROUP BY 1""",
+        held="SELECT b.* FROM balances b JOIN labels_ l USING (coldkey)",
+        dense="""SELECT s.timestamp_ms, l.coldkey, h.balance_rao FROM (SELECT unnest(generate_series((SELECT min(timestamp_ms) FROM held), (SELECT max(timestamp_ms) FROM held), 86400000)) AS timestamp_ms) s
+        CROSS JOIN labels_ l LEFT JOIN held h ON h.coldkey = l.coldkey AND h.timestamp_ms = s.timestamp_ms"""))(
+    lambda s, d: ledger.labelled_totals(balances(s, d), t.labels(s, d))
+)
+
+_BOTH = "from_coldkey NOT IN (SELECT coldkey FROM protocol) AND to_coldkey NOT IN (SELECT coldkey FROM protocol)"
+register("m09_transfer_count", oracle(["transfers", "protocol"], f"SELECT timestamp_ms {D} AS timestamp_ms, count(*) AS value FROM transfers WHERE {_BOTH} GROUP BY 1"))(
+    lambda s, d: ledger.daily_count(ledger.user_transfers(t.transfers(s, d), t.protocol(s, d)))
+)
+register("m10_transfer_count_protocol", oracle(["transfers", "protocol"], f"SELECT timestamp_ms {D} AS timestamp_ms, count(*) AS value FROM transfers WHERE NOT ({_BOTH}) GROUP BY 1"))(
+    lambda s, d: ledger.daily_count(ledger.protocol_transfers(t.transfers(s, d), t.protocol(s, d)))
+)
+register("a07_net_deltas", oracle(["legs"], "SELECT coldkey, CAST(sum(delta) AS BIGINT) AS delta FROM legs WHERE block_number BETWEEN 2000 AND 9000 GROUP BY 1"))(
+    lambda s, d: longs(ledger.net_deltas(legs(s, d), 2000, 9000), "delta")
+)
+register("a17_balance_fold", oracle(["seeded"], "SELECT coldkey, CAST(sum(delta) AS BIGINT) AS balance_rao FROM seeded GROUP BY 1"))(
+    lambda s, d: longs(ledger.fold_balances(legs(s, d, True)), "balance_rao")
+)
+register("q01_supply_conservation", oracle(["transfers"], "SELECT -CAST(sum(amount_rao) AS BIGINT) AS out_rao, CAST(sum(amount_rao) AS BIGINT) AS in_rao, CAST(0 AS BIGINT) AS net_rao FROM transfers"))(
+    lambda s, d: longs(quality.conservation(t.transfers(s, d)), "out_rao", "in_rao", "net_rao")
+)
+register("q02_duplicate_keys", oracle(["transfers"], "SELECT block_number, event_index, count(*) AS copies FROM transfers GROUP BY 1, 2 HAVING count(*) > 1"))(
+    lambda s, d: quality.duplicates(t.transfers(s, d), "block_number", "event_index")
+)
+
+
+@register("q03_constraints", oracle(["transfers"], """SELECT 'blocks' AS "check", count(*) FILTER (WHERE NOT coalesce(block_number >= 0, false)) AS violations FROM transfers UNION ALL
+    SELECT 'amounts', count(*) FILTER (WHERE NOT coalesce(amount_rao > 500000, false)) FROM transfers UNION ALL SELECT 'legs', count(*) FILTER (WHERE NOT coalesce(from_coldkey <> to_coldkey, false)) FROM transfers"""))
+def constraints(s, d):
+    return quality.violations(t.transfers(s, d), blocks="block_number >= 0", amounts="amount_rao > 500000", legs="from_coldkey <> to_coldkey")
+
+
+@register("q03_label_uniqueness", oracle(["labels_"], "SELECT coldkey, count(*) AS copies FROM labels_ GROUP BY 1 HAVING count(*) > 1"))
+def label_uniqueness(s, d):
+    return quality.unique_violations(t.labels(s, d), "coldkey")
+
+
+@register("u02_distinct_accounts", oracle(["transfers"], "SELECT from_coldkey AS coldkey FROM transfers UNION SELECT to_coldkey FROM transfers"))
+def accounts(s, d):
+    return t.transfers(s, d).select(F.explode(F.array("from_coldkey", "to_coldkey")).alias("coldkey")).distinct()
+
+
+@register("x04_emptied_accounts", oracle(["balances", "labels_"], "SELECT coldkey, exchange, since_ms FROM (SELECT coldkey, arg_max(balance_rao, timestamp_ms) AS b, max(timestamp_ms) AS since_ms FROM balances GROUP BY 1) JOIN labels_ USING (coldkey) WHERE b = 0"))
+def emptied(s, d):
+    return ledger.emptied_for_good(balances(s, d), t.labels(s, d))
+
+
+# --- quality ----------------------------------------------------------------------------------------------------------
+
+GAPS = "SELECT pair, before + 3600000 AS gap_start_ms, timestamp_ms - 3600000 AS gap_end_ms, CAST(round((timestamp_ms - before) / 3600000) AS BIGINT) - 1 AS missing FROM (SELECT pair, timestamp_ms, lag(timestamp_ms) OVER (PARTITION BY pair ORDER BY timestamp_ms) AS before FROM (SELECT DISTINCT pair, timestamp_ms FROM ticks)) WHERE timestamp_ms - before > 3600000"
+VENUE_GAPS = GAPS.replace("SELECT pair, before", "SELECT exchange, pair, before").replace("(SELECT pair, timestamp_ms, lag", "(SELECT exchange, pair, timestamp_ms, lag").replace("PARTITION BY pair", "PARTITION BY exchange, pair").replace("DISTINCT pair", "DISTINCT exchange, pair")
+VENUES = "SELECT DISTINCT exchange, pair FROM ticks UNION ALL SELECT 'v9', 'click'"
+
+
+def hours(s, d):
+    return t.ticks(s, d).select("exchange", "pair", "timestamp_ms")
+
+
+def venues(s, d):
+    return hours(s, d).select("exchange", "pair").distinct().unionByName(s.range(1).select(F.lit("v9").alias("exchange"), F.lit("click").alias("pair")))
+
+
+register("w09_gaps", oracle(["ticks"], f"SELECT * FROM ({GAPS})"))(lambda s, d: quality.gaps(hours(s, d), HOUR, "pair"))
+register("o02_largest_gaps", oracle(["ticks"], f"SELECT * FROM ({VENUE_GAPS}) ORDER BY missing DESC, exchange, pair, gap_start_ms, gap_end_ms LIMIT 10"))(
+    lambda s, d: quality.largest_gaps(quality.gaps(hours(s, d), HOUR, "exchange", "pair"), 10)
+)
+register("d15_gap_log", oracle(["ticks"], """SELECT v.exchange, v.pair, CAST(1706745600000 AS BIGINT) AS run_at_ms, coalesce(r.n, 0) AS rows_fetched, g.gap_start_ms, g.gap_end_ms, coalesce(g.missing, 0) AS missing_buckets
+    FROM venues v LEFT JOIN (SELECT exchange, pair, count(*) AS n FROM ticks GROUP BY 1, 2) r USING (exchange, pair) LEFT JOIN gaps g USING (exchange, pair)""", venues=VENUES, gaps=VENUE_GAPS))(
+    lambda s, d: quality.gap_log(hours(s, d), venues(s, d), HOUR, 1_706_745_600_000)
+)
+register("d16_coverage", oracle(["ticks"], """SELECT v.exchange, v.pair, r.first_ms, r.last_ms, coalesce(r.n, 0) AS rows, coalesce(r.months, 0) AS months, coalesce(g.gaps, 0) AS gaps,
+    CAST(coalesce(g.missing, 0) AS BIGINT) AS missing, CASE WHEN r.n IS NULL THEN 'NO DATA' ELSE 'OK' END AS status FROM venues v
+    LEFT JOIN (SELECT exchange, pair, min(timestamp_ms) AS first_ms, max(timestamp_ms) AS last_ms, count(*) AS n, count(DISTINCT strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m')) AS months FROM ticks GROUP BY 1, 2) r USING (exchange, pair)
+    LEFT JOIN (SELECT exchange, pair, count(*) AS gaps, sum(missing) AS missing FROM gaps GROUP BY 1, 2) g USING (exchange, pair)""", venues=VENUES, gaps=VENUE_GAPS))(
+    lambda s, d: quality.coverage(hours(s, d), venues(s, d), quality.gaps(hours(s, d), HOUR, "exchange", "pair"))
+)
+register("w10_version_segments", oracle(["stamps"], "SELECT min(block_number) AS from_block, max(block_number) AS to_block, spec_version FROM (SELECT block_number, max(spec_version) AS spec_version FROM stamps GROUP BY 1) GROUP BY 3"))(
+    lambda s, d: quality.segments(chain.canonical_blocks(t.stamps(s, d)), "block_number", "spec_version")
+)
+register("w10_islands", oracle(["ticks"], """SELECT pair, up, min(event_id) AS first, max(event_id) AS last, count(*) AS rows FROM (SELECT *, sum(fresh) OVER (PARTITION BY pair ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS n FROM
+    (SELECT *, CASE WHEN lag(up) OVER (PARTITION BY pair ORDER BY event_id) IS DISTINCT FROM up THEN 1 ELSE 0 END AS fresh FROM (SELECT pair, event_id, close > 5000 AS up FROM ticks))) GROUP BY pair, n, up"""))(
+    lambda s, d: quality.islands(t.ticks(s, d).select("pair", "event_id", (F.col("close") > 5000).alias("up")), ["pair"], "event_id", "up")
+)
+register("u05_changed_blocks", oracle(["transfers"], """SELECT block_number, CAST(sum(r) AS BIGINT) AS removed, CAST(sum(a) AS BIGINT) AS added FROM (
+    SELECT block_number, 1 AS r, 0 AS a FROM (SELECT * FROM before EXCEPT ALL SELECT * FROM after) UNION ALL SELECT block_number, 0, 1 FROM (SELECT * FROM after EXCEPT ALL SELECT * FROM before)) GROUP BY 1""",
+    before="SELECT block_number, event_index, amount_rao FROM transfers", after="SELECT block_number, event_index, CASE WHEN block_number % 97 = 3 THEN amount_rao + 1 ELSE amount_rao END FROM transfers WHERE block_number % 101 <> 5"))(
+    lambda s, d: (lambda before: quality.changed_keys(before, before.where("block_number % 101 <> 5").withColumn("amount_rao", F.when(F.col("block_number") % 97 == 3, F.col("amount_rao") + 1).otherwise(F.col("amount_rao"))), "block_number"))(
+        longs(t.transfers(s, d).select("block_number", "event_index", "amount_rao"), "amount_rao")
+    )
+)
+
+# --- raw blocks -------------------------------------------------------------------------------------------------------
+
+register("d05_decode_plan", oracle(["stamps"], """SELECT block_number, spec_version AS stamped, coalesce(previous, spec_version) AS decode_spec, previous IS NOT NULL AS is_transition, versions > 1 AS is_conflict, false AS goes_back FROM
+    (SELECT *, CASE WHEN lag(spec_version) OVER (ORDER BY block_number) <> spec_version THEN lag(spec_version) OVER (ORDER BY block_number) END AS previous FROM canonical) WHERE previous IS NOT NULL OR versions > 1""",
+    canonical="SELECT block_number, max(spec_version) AS spec_version, count(DISTINCT spec_version) AS versions FROM stamps GROUP BY 1"))(
+    lambda s, d: chain.decode_plan(t.stamps(s, d))
+)
+_GOOD = "block_number % 50 <> 7"
+register("d06_transfers", oracle(["decoded"], f"SELECT block_number, event_index, timestamp_ms, u AS from_coldkey, o AS to_coldkey, amount_rao FROM decoded WHERE k = 0 AND {_GOOD}"))(
+    lambda s, d: longs(chain.chain_silver(t.decoded(s, d))["transfers"], "amount_rao")
+)
+register("d06_balance_events", oracle(["decoded"], f"SELECT block_number, event_index, timestamp_ms, CASE k WHEN 1 THEN 'deposit' ELSE 'withdraw' END AS kind, u AS coldkey, amount_rao FROM decoded WHERE k IN (1, 2, 3) AND {_GOOD}"))(
+    lambda s, d: longs(chain.chain_silver(t.decoded(s, d))["balance_events"], "amount_rao")
+)
+register("d06_stake_events", oracle(["decoded"], f"SELECT block_number, event_index, timestamp_ms, 'stakeAdded' AS kind, u AS hotkey, amount_rao FROM decoded WHERE k = 4 AND {_GOOD}"))(
+    lambda s, d: longs(chain.chain_silver(t.decoded(s, d))["stake_events"], "amount_rao")
+)
+register("d06_bad_blocks", oracle(["decoded"], "SELECT DISTINCT block_number FROM decoded WHERE block_number % 50 = 7"))(lambda s, d: chain.chain_silver(t.decoded(s, d))["bad_blocks"])
+register("j11_snapshot_dates", oracle(["transfers", "balance_events"], """SELECT s.block_number, (SELECT min(timestamp_ms) FROM (SELECT block_number, timestamp_ms FROM transfers UNION ALL SELECT block_number, timestamp_ms FROM balance_events) f WHERE f.block_number > s.block_number) AS timestamp_ms FROM snaps s""",
+    snaps="SELECT o_orderkey AS block_number FROM orders WHERE o_orderkey % 2500 = 0"))(
+    lambda s, d: chain.date_snapshots(t.table(s, d, "orders").where("o_orderkey % 2500 = 0").select(F.col("o_orderkey").alias("block_number")), t.transfers(s, d), t.balance_events(s, d))
+)
+register("x02_staked_accounts", oracle(["decoded"], """SELECT s.timestamp_ms, CAST(sum(net) OVER (ORDER BY s.timestamp_ms ROWS UNBOUNDED PRECEDING) AS BIGINT) AS value
+    FROM (SELECT unnest(generate_series((SELECT min(ts) FROM first_day), (SELECT max(ts) FROM first_day), 86400000)) AS timestamp_ms) s LEFT JOIN (SELECT first AS timestamp_ms, count(*) AS net FROM firsts GROUP BY 1) USING (timestamp_ms)""",
+    first_day=f"SELECT u, timestamp_ms {D} AS ts, sum(amount_rao) AS a FROM decoded WHERE k = 4 AND {_GOOD} GROUP BY 1, 2",
+    firsts="SELECT u, min(ts) AS first FROM first_day WHERE a > 0 GROUP BY 1"))(
+    lambda s, d: (lambda stake: ledger.staked_accounts(stake, stake.select("hotkey", F.col("hotkey").alias("coldkey")).distinct()))(chain.chain_silver(t.decoded(s, d))["stake_events"])
+)
+
+# --- reconciliation ---------------------------------------------------------------------------------------------------
+
+_TRUE = "SELECT coldkey, w, delta, sum(delta) OVER (PARTITION BY coldkey ORDER BY w ROWS UNBOUNDED PRECEDING) AS total FROM (SELECT coldkey, (block_number - 1) // 2000 AS w, sum(delta) AS delta FROM legs WHERE block_number BETWEEN 1 AND 14000 GROUP BY 1, 2)"
+_SEEN = "SELECT coldkey, w, delta, total + CASE WHEN (length(coldkey) + w) % 4 = 1 THEN 1 ELSE 0 END AS observed FROM truth"
+
+
+def observed_windows(s, d):
+    from pyspark.sql import Window
+
+    per = legs(s, d).where("block_number between 1 and 14000").groupBy("coldkey", F.floor((F.col("block_number") - 1) / 2000).alias("window_index")).agg(F.sum("delta").alias("delta"))
+    total = F.sum("delta").over(Window.partitionBy("coldkey").orderBy("window_index").rowsBetween(Window.unboundedPreceding, 0))
+    off = F.when((F.length("coldkey") + F.col("window_index")) % 4 == 1, 1).otherwise(0)
+    return per.select("coldkey", "window_index", (total + off).cast("decimal(38,0)").alias("balance_rao"))
+
+
+def checkpoints(s, d):
+    return reconcile.reconcile_checkpoints(legs(s, d), observed_windows(s, d), 1, 14_999, 2000)
+
+
+_ROWS = "SELECT w AS window_index, coldkey, coalesce(lag(observed) OVER (PARTITION BY coldkey ORDER BY w), 0) AS baseline, delta, observed FROM seen"
+register("d13_reconcile_checkpoints", oracle(["legs"], "SELECT window_index, coldkey, CAST(baseline AS BIGINT) AS baseline, CAST(delta AS BIGINT) AS delta, CAST(baseline + delta AS BIGINT) AS expected, CAST(observed AS BIGINT) AS observed, baseline + delta = observed AS matches FROM rows_", truth=_TRUE, seen=_SEEN, rows_=_ROWS))(
+    lambda s, d: longs(checkpoints(s, d), "baseline", "delta", "expected", "observed")
+)
+register("a21_checkpoint_summary", oracle(["legs"], "SELECT window_index, count(*) AS touched, count(*) FILTER (WHERE baseline + delta <> observed) AS mismatches FROM rows_ GROUP BY 1", truth=_TRUE, seen=_SEEN, rows_=_ROWS))(
+    lambda s, d: reconcile.checkpoint_summary(checkpoints(s, d))
+)
+register("d12_reconcile_window", oracle(["legs"], """SELECT d.coldkey, CAST(coalesce(k.b, 0) AS BIGINT) AS baseline, CAST(d.delta AS BIGINT) AS delta, CAST(coalesce(k.b, 0) + d.delta AS BIGINT) AS expected,
+    CAST(coalesce(o.b, 0) AS BIGINT) AS observed, coalesce(k.b, 0) + d.delta = coalesce(o.b, 0) AS matches FROM (SELECT coldkey, sum(delta) AS delta FROM legs WHERE block_number BETWEEN 3001 AND 6000 GROUP BY 1) d
+    LEFT JOIN (SELECT coldkey, sum(delta) AS b FROM legs WHERE block_number <= 3000 GROUP BY 1) k USING (coldkey)
+    LEFT JOIN (SELECT coldkey, sum(delta) AS b FROM legs WHERE block_number <= 5990 GROUP BY 1) o USING (coldkey)"""))(
+    lambda s, d: (lambda x: longs(reconcile.reconcile_window(x, 3001, 6000, ledger.fold_balances(x.where("block_number <= 3000")), ledger.fold_balances(x.where("block_number < 0")), ledger.fold_balances(x.where("block_number <= 5990"))), "baseline", "delta", "expected", "observed"))(legs(s, d))
+)
+register("d14_reconciliation_sizing", oracle(["transfers", "balance_events"], """SELECT s.w AS window_index, coalesce(p.n, 0) AS touched, coalesce(f.n, 0) AS new, coalesce(p.n, 0) + coalesce(f.n, 0) + 3 AS calls
+    FROM (SELECT unnest(generate_series(0, 14998 // 1000)) AS w) s LEFT JOIN (SELECT w, count(*) AS n FROM keyed GROUP BY 1) p USING (w)
+    LEFT JOIN (SELECT w, count(*) AS n FROM (SELECT coldkey, min(w) AS w FROM keyed GROUP BY 1) GROUP BY 1) f USING (w)""",
+    touches="SELECT from_coldkey AS coldkey, block_number FROM transfers UNION ALL SELECT to_coldkey, block_number FROM transfers UNION ALL SELECT coldkey, block_number FROM balance_events",
+    keyed="SELECT DISTINCT coldkey, (block_number - 1) // 1000 AS w FROM touches WHERE block_number BETWEEN 1 AND 14999"))(
+    lambda s, d: reconcile.reconciliation_sizing(reconcile.account_touches(t.transfers(s, d), t.balance_events(s, d)), 1, 14_999, 1000)
+)
+
+
+# --- registry and streams: run, written to the shared folder and read back ----------------------------------------------
+
+
+def registry_sources(s, d):
+    from tidemark.plans.registry import empty
+
+    candles = t.candles(s, d)
+    return {
+        "ohlcv_1m": candles, "transfers": t.transfers(s, d), "balance_events": t.balance_events(s, d), "account_snapshots": t.account_snapshots(s, d),
+        "pallet_accounts": t.protocol(s, d), "exchange_labels": t.labels(s, d), "google_trends": t.trends(s, d), "stake_events": empty(s, "stake_events"),
+    }
+
+
+@register("d09_registry_export")
+def registry_export(s, d):
+    """All metrics in dependency order, and what of them is exported, one row per point."""
+    from tidemark.plans.metrics import metrics
+    from tidemark.plans.registry import export, materialise
+    from tidemark.sources.workspace import shared_folder
+
+    entries = metrics("A,R", "N", "O1", "A", "2-HIGH")
+    done = materialise(s, entries, registry_sources(s, d), shared_folder(s, "gold"))
+    return export(done, entries).select("metric", "version", F.explode("points").alias("p")).select("metric", "version", "p.timestampMs", "p.value")
+
+
+def _stream(s, d, name):
+    from tidemark.sources.workspace import shared_folder
+    from tidemark.streaming.streams import landed
+
+    schema = t.table(s, d, name).schema.simpleString().removeprefix("struct<").removesuffix(">")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.table(s, d, name).schema) or schema
+    return landed(s, d, schema, f"{name}.parquet"), shared_folder(s, f"stream-{name}")
+
+
+@register("t01_incremental_transfers", oracle(["transfers"], "SELECT * FROM transfers"))
+def incremental_transfers(s, d):
+    from tidemark.streaming.streams import run_available
+
+    rows, folder = _stream(s, d, "lineitem")
+    account = lambda key, n: F.concat(F.lit("A"), F.pmod(key, F.lit(n)).cast("string"))
+    silver = rows.select(
+        F.col("l_orderkey").alias("block_number"), F.col("l_linenumber").cast("int").alias("event_index"), millis("l_shipdate").alias("timestamp_ms"),
+        account("l_suppkey", 97).alias("from_coldkey"), account("l_partkey", 89).alias("to_coldkey"), t.cents("l_extendedprice").alias("amount_rao"),
+    )
+    run_available(silver, f"{folder}/table", f"{folder}/checkpoint")
+    return s.read.schema(silver.schema).parquet(f"{folder}/table")
+
+
+@register("t02_deduplicated_events", oracle(["ticks"], "SELECT DISTINCT pair, timestamp_ms FROM ticks"))
+def deduplicated_events(s, d):
+    from tidemark.streaming.streams import deduplicated, run_available
+
+    rows, folder = _stream(s, d, "events")
+    keys = rows.select(F.col("event_type").alias("pair"), (F.floor(millis("ts") / HOUR) * HOUR).cast("long").alias("timestamp_ms"))
+    run_available(deduplicated(keys, ["pair", "timestamp_ms"], late="60 days"), f"{folder}/table", f"{folder}/checkpoint")
+    return s.read.schema("pair string, timestamp_ms long").parquet(f"{folder}/table")
+
+
+@register("t05_running_balances", oracle(["transfers"], "SELECT coldkey, CAST(sum(delta) AS BIGINT) AS balance_rao FROM (SELECT from_coldkey AS coldkey, -amount_rao AS delta FROM transfers UNION ALL SELECT to_coldkey, amount_rao FROM transfers) GROUP BY 1"))
+def streamed_balances(s, d):
+    from tidemark.streaming.streams import run_batches, running_balances
+
+    rows, folder = _stream(s, d, "lineitem")
+    account = lambda key, n: F.concat(F.lit("A"), F.pmod(key, F.lit(n)).cast("string"))
+    amount = t.cents("l_extendedprice")
+    both = F.explode(F.array(F.struct(account("l_suppkey", 97).alias("coldkey"), (-amount).alias("delta")), F.struct(account("l_partkey", 89).alias("coldkey"), amount.alias("delta"))))
+    changes = running_balances(rows.select(both.alias("leg")).select("leg.*"))
+    run_batches(changes, lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{folder}/table"), f"{folder}/checkpoint")
+    kept = s.read.schema("coldkey string, balance_rao decimal(38,0), batch long").parquet(f"{folder}/table")
+    return longs(kept.groupBy("coldkey").agg(F.max_by("balance_rao", "batch").alias("balance_rao")), "balance_rao")

@@ -1 +1 @@
-
+"""Schemas, readers and writers."""
