@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: The base-58 alphabet, and what begins the account id of a protocol account.
 BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
@@ -58,7 +59,7 @@ def pallet_of(address: str | None) -> str | None:
     return body[4:12].rstrip(b"\0").decode("ascii", "replace") or None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def pallet_id(addresses: pd.Series) -> pd.Series:
     return addresses.map(pallet_of)
 
