@@ -149,7 +149,7 @@ def hashed(batches, starts_of, window: int, anchors: bool):
 
     for batch in batches:
         for doc, data, row, *more in zip(*(c.to_pylist() for c in batch.columns)):
-            if doc is None:
+            if doc is None or (more and not more[0]):
                 continue
             words = data.split()
             starts = starts_of(len(words), row, *more)
@@ -224,7 +224,8 @@ def remove_repeats(df: DataFrame, window: int = 50, doc_id: str = "doc_id", text
         near = marked(n_words + PERIOD, row, places, PERIOD)
         return np.flatnonzero(near[PERIOD - 1 : PERIOD - 1 + n_words - window + 1])
 
-    whole = docs.join(shared, "doc").mapInArrow(lambda it: hashed(it, windows, window, False), "h1 long, h2 long, doc long, place long")
+    # A left join, like the last one, so that both read the same exchange of the texts.
+    whole = docs.join(shared, "doc", "left").mapInArrow(lambda it: hashed(it, windows, window, False), "h1 long, h2 long, doc long, place long")
     by_window = Window.partitionBy("h1", "h2")
     repeated = (
         whole.withColumn("low", F.min("doc").over(by_window))
