@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import graphlib
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -106,8 +107,9 @@ def materialise_sharded(spark: SparkSession, metric: Metric, sources: dict[str,
         raise ValueError(f"{metric.name} has no shard_by")
     key, base = metric.shard_by, f"{folder.rstrip('/')}/{metric.name}"
     bucket = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(buckets))
-    inputs = [row for df in sources.values() for row in df.agg(F.count("*"), F.bit_xor(F.xxhash64("*"))).collect()]
-    fingerprint = str(hash((metric.name, metric.version, metric.sql, str(sorted(metric.params.items())), buckets, str(inputs))) if metric.sql else (metric.name, metric.version, buckets, str(inputs)))
+    inputs = [tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("*"))).first()) for _, df in sorted(sources.items())]
+    parts = (metric.name, metric.version, metric.sql, sorted(metric.params.items()), buckets, sorted(sources), inputs)
+    fingerprint = hashlib.sha256(repr(parts).encode()).hexdigest()
     schema = "bucket int, fingerprint string"
     try:
         finished = {r["bucket"] for r in spark.read.schema(schema).parquet(f"{base}.manifest").where(F.col("fingerprint") == fingerprint).collect()}
