@@ -48,7 +48,7 @@ def buckets_of(data: bytes, keep: np.ndarray | None = None) -> np.ndarray:
             if keep is not None:
                 h = keep[h]
                 h = h[h >= 0]
-            found.append(np.unique(h) if keep is not None else np.flatnonzero(np.bincount(h, minlength=1)))
+            found.append(np.unique(h))
     return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
 
 
