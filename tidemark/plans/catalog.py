@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.time_buckets import DAY, HOUR, day, millis, month_key, week
+from tidemark.functions.time_buckets import HOUR, millis, month_key
 from tidemark.operators import chain, ledger, prices, quality, reconcile
 from tidemark.plans import testbed as t
 from tidemark.plans.testbed import oracle
@@ -354,8 +354,7 @@ def _stream(s, d, name):
     from tidemark.sources.workspace import shared_folder
     from tidemark.streaming.streams import landed
 
-    schema = t.table(s, d, name).schema.simpleString().removeprefix("struct<").removesuffix(">")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.table(s, d, name).schema) or schema
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.table(s, d, name).schema)
     return landed(s, d, schema, f"{name}.parquet"), shared_folder(s, f"stream-{name}")
 
 
@@ -395,3 +394,44 @@ def streamed_balances(s, d):
     run_batches(changes, lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{folder}/table"), f"{folder}/checkpoint")
     kept = s.read.schema("coldkey string, balance_rao decimal(38,0), batch long").parquet(f"{folder}/table")
     return longs(kept.groupBy("coldkey").agg(F.max_by("balance_rao", "batch").alias("balance_rao")), "balance_rao")
+
+
+@register("t04_daily_figures")
+def streamed_daily_figures(s, d):
+    """Closes and volumes of the days that the watermark has passed; the last days stay open."""
+    from tidemark.streaming.streams import daily_figures, run_available
+
+    rows, folder = _stream(s, d, "lineitem")
+    candles = rows.select(F.col("l_returnflag").alias("pair"), millis("l_shipdate").alias("timestamp_ms"), t.cents("l_extendedprice").alias("close"), t.cents("l_extendedprice").alias("quote_volume"))
+    run_available(daily_figures(candles), f"{folder}/table", f"{folder}/checkpoint")
+    return s.read.schema("timestamp_ms long, pair string, close long, volume long").parquet(f"{folder}/table")
+
+
+@register("t06_gap_alarms", oracle(["ticks"], f"SELECT pair AS series, gap_start_ms, gap_end_ms, missing FROM ({GAPS})"))
+def streamed_gap_alarms(s, d):
+    from tidemark.streaming.streams import gap_alarms, run_available
+
+    rows, folder = _stream(s, d, "events")
+    ticks = rows.select(F.col("event_type").alias("series"), (F.floor(millis("ts") / HOUR) * HOUR).cast("long").alias("timestamp_ms"))
+    run_available(gap_alarms(ticks, HOUR, "60 days"), f"{folder}/table", f"{folder}/checkpoint")
+    return s.read.schema("series string, gap_start_ms long, gap_end_ms long, missing long").parquet(f"{folder}/table")
+
+
+register("a10_canonical_blocks", oracle(["stamps"], "SELECT block_number, max(spec_version) AS spec_version, count(DISTINCT spec_version) AS versions FROM stamps GROUP BY 1"))(
+    lambda s, d: chain.canonical_blocks(t.stamps(s, d))
+)
+register("a11_block_range", oracle(["transfers"], "SELECT min(block_number) AS first_block, max(block_number) AS last_block FROM transfers"))(
+    lambda s, d: t.transfers(s, d).agg(F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"))
+)
+register("p09_row_fingerprints", oracle(["transfers"], "SELECT block_number, concat_ws('|', block_number, event_index, coalesce(timestamp_ms, -1), from_coldkey, to_coldkey, amount_rao) AS fingerprint FROM transfers"))(
+    lambda s, d: t.transfers(s, d).select("block_number", F.concat_ws("|", "block_number", "event_index", F.coalesce("timestamp_ms", F.lit(-1)), "from_coldkey", "to_coldkey", "amount_rao").alias("fingerprint"))
+)
+register("p10_window_index", oracle(["transfers"], "SELECT CAST(floor((block_number - 1) / 700) AS BIGINT) AS window_index, count(*) AS rows FROM transfers GROUP BY 1"))(
+    lambda s, d: t.transfers(s, d).groupBy(reconcile.window_index("block_number", 1, 700).alias("window_index")).agg(F.count("*").alias("rows"))
+)
+register("u03_account_touches", oracle(["transfers", "balance_events"], "SELECT coldkey, count(*) AS touches FROM (SELECT from_coldkey AS coldkey FROM transfers UNION ALL SELECT to_coldkey FROM transfers UNION ALL SELECT coldkey FROM balance_events) GROUP BY 1"))(
+    lambda s, d: reconcile.account_touches(t.transfers(s, d), t.balance_events(s, d)).groupBy("coldkey").agg(F.count("*").alias("touches"))
+)
+register("j13_new_accounts", oracle(["transfers", "balance_events"], "SELECT DISTINCT coldkey FROM balance_events WHERE coldkey NOT IN (SELECT from_coldkey FROM transfers) ORDER BY 1"))(
+    lambda s, d: t.balance_events(s, d).select("coldkey").distinct().join(t.transfers(s, d).select(F.col("from_coldkey").alias("coldkey")).distinct(), "coldkey", "left_anti")
+)
