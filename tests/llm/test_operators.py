@@ -152,6 +152,19 @@ def test_filter_bound_and_levels(spark):
     assert len(data) * 8 <= ngram_model.MOST_BITS
 
 
+@pytest.mark.parametrize("most_bits", [400_000, 60_000, 20_000, 1_000])
+def test_scores_do_not_depend_on_the_filter_bound(spark, most_bits):
+    rows = [(i, " ".join(f"w{int(900 * random.Random(i * 1000 + k).random() ** 2)}" for k in range(300)), "a") for i in range(60)]
+    df = table(spark, [*rows, *awkward()])
+    key = lambda r: (str(r.doc_id), r.n_tokens, round(r.base_score, 6))
+    bound, free = (sorted(ngram_model.scores(df, most_bits=n).collect(), key=key) for n in (most_bits, ngram_model.MOST_BITS))
+    assert [key(r) for r in bound] == [key(r) for r in free]
+    # The whole filter may take an n-gram for one that it holds; the counts never do.
+    assert all(abs(a.score - b.score) < 1e-2 * abs(b.score) for a, b in zip(bound, free))
+    held = [r for r in bound if r.held_out]
+    assert held and sum(r.score for r in held) >= sum(r.base_score for r in held) - 1e-2 * len(held)
+
+
 def test_bpe(docs):
     rows, df = docs
     library = Tokenizer.from_file(PATH)
