@@ -175,6 +175,21 @@ def test_catalogue(spark, name):
     assert text(tuple(r) for r in got.select(*columns).collect()) == text(want.fetchall())
 
 
+@pytest.fixture(scope="module")
+def part_files(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("parts")
+    for name in ("lineitem", "events"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["t01_incremental_transfers", "t02_deduplicated_events", "t04_daily_figures", "t05_running_balances", "t06_gap_alarms"])
+def test_streams_read_files_and_folders(spark, part_files, name):
+    rows = lambda folder: sorted(catalog.QUERIES[name](spark, folder).collect(), key=str)
+    file, parts = rows("/root/testdata/sf0.001"), rows(part_files)
+    assert parts == file and (file or name == "t06_gap_alarms")
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

@@ -351,11 +351,17 @@ def registry_export(s, d):
 
 
 def _stream(s, d, name):
+    """A stream of a table, be it one file or a folder of part files, and a folder for what is made of it."""
     from tidemark.sources.workspace import shared_folder
     from tidemark.streaming.streams import landed
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.table(s, d, name).schema)
-    return landed(s, d, schema, f"{name}.parquet"), shared_folder(s, f"stream-{name}")
+    table, file = t.table(s, d, name), f"{name}.parquet"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
+    parts = [x.split("/") for x in table.inputFiles()]
+    # A stream lists folders only, and its filter looks at the names of files: a single file is found through its parent.
+    single = len(parts) == 1 and parts[0][-1] == file and parts[0][-2] != file
+    rows = landed(s, d, schema, file) if single else landed(s, f"{d}/{file}", schema)
+    return rows, shared_folder(s, f"stream-{name}")
 
 
 @register("t01_incremental_transfers", oracle(["transfers"], "SELECT * FROM transfers"))
