@@ -175,6 +175,28 @@ def test_catalogue(spark, name):
     assert text(tuple(r) for r in got.select(*columns).collect()) == text(want.fetchall())
 
 
+def test_silence_is_reported_before_it_ends(spark, tmp_path):
+    schema = "series string, timestamp_ms long"
+    land = lambda rows: spark.createDataFrame([(k, h * HOUR) for k, h in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run = lambda: streams.run_available(streams.silence_alarms(streams.landed(spark, str(tmp_path / "in"), schema), HOUR), str(tmp_path / "out"), str(tmp_path / "c"))
+    found = lambda: sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    land([("a", 0), ("a", 1), ("b", 0), ("b", 1)])
+    run()
+    land([("a", 1), ("b", 1)])  # ticks that are no news keep the timer
+    run()
+    land([("b", h) for h in range(2, 10)])
+    run()
+    assert found() == [("a", 2 * HOUR)]
+    land([("b", h) for h in range(10, 20)])  # still the same silence
+    run()
+    assert found() == [("a", 2 * HOUR)]
+    land([("a", 19), ("b", 20)])
+    run()
+    land([("b", h) for h in range(21, 30)])
+    run()
+    assert found() == [("a", 2 * HOUR), ("a", 20 * HOUR)]
+
+
 @pytest.fixture(scope="module")
 def part_files(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("parts")

@@ -90,6 +90,31 @@ def gap_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour") -> Data
     return at.groupBy("series").applyInPandasWithState(watch, "series string, gap_start_ms long, gap_end_ms long, missing long", "last long", "append", "NoTimeout")
 
 
+def silence_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour") -> DataFrame:
+    """(series, silent_from_ms): series whose next tick is overdue, from (series, timestamp_ms); gap_alarms gives the gap once it closes.
+
+    The state is the last bucket of the series and whether its silence is reported; the timer fires once the watermark has
+    passed the next bucket. Every call clears the timer, so a tick that is no news sets it again. The watermark moves with all series, so if all of them stop, none is reported.
+    """
+
+    def watch(key, batches: Iterator[pd.DataFrame], state):
+        found = []
+        if state.hasTimedOut:
+            found.append((key[0], state.get[0] + interval_ms))
+            state.update((state.get[0], True))
+        else:
+            latest = max(int(pdf["timestamp_ms"].max()) for pdf in batches)
+            last, reported = state.get if state.exists else (latest, False)
+            last, reported = max(last, latest), reported and latest <= last
+            state.update((last, reported))
+            if not reported:
+                state.setTimeoutTimestamp(max(last + interval_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(found, columns=["series", "silent_from_ms"])
+
+    at = ticks.withColumn("_at", F.timestamp_millis("timestamp_ms")).withWatermark("_at", late).select("series", "timestamp_ms", "_at")
+    return at.groupBy("series").applyInPandasWithState(watch, "series string, silent_from_ms long", "last long, reported boolean", "append", "EventTimeTimeout")
+
+
 def live_rate(numerator: DataFrame, denominator: DataFrame, late: str = "1 hour") -> DataFrame:
     """The implied rate of two streams (timestamp_ms, value) at equal buckets."""
     a = numerator.withColumn("_a", F.timestamp_millis("timestamp_ms")).withWatermark("_a", late).alias("a")
