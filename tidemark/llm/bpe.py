@@ -14,24 +14,26 @@ import codecs
 import hashlib
 import itertools
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from tidemark.llm.common import schema_with, text_bytes
+from tidemark.llm.common import in_slices, schema_with, text_bytes
 
 #: The contractions and character classes of the byte-level pre-tokenizer.
 PRETOKEN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
-#: Cached words per Python worker; the cache is emptied when it is full.
-WORD_CACHE = 400_000
-#: Tokens that are hashed and decoded at a time.
-BLOCK = 65_536
+#: Bytes, by estimate, that a worker's remembered words and pairs take, and characters of the longest word that is remembered.
+CACHE_BYTES, MOST_KEPT = 96 << 20, 40
+#: Tokens that are hashed and decoded at a time, characters of a text that are cut into words at a time, and tokens of a result batch.
+BLOCK, PART, BATCH_TOKENS = 65_536, 65_536, 1 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -41,6 +43,26 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class Remembered:
+    """A table of bounded size in two generations: when the young one is full it becomes the old one, and what is asked for again moves back."""
+
+    def __init__(self, most_bytes: int, cost):
+        self.young, self.old, self.most, self.cost, self.size = {}, {}, most_bytes // 2, cost, 0
+
+    def recall(self, key):
+        """The value of a key that the young generation does not have, or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        self.size += self.cost(key, value)
+        if self.size > self.most:
+            self.young, self.old, self.size = {}, self.young, self.cost(key, value)
+        self.young[key] = value
+
+
 class Transducer:
     """Encoder and decoder for one merge list."""
 
@@ -64,9 +86,15 @@ class Transducer:
         self.tokens = set(self.parts) | {bytes([b]) for b in range(256)} & set(self.ids)
         self.left: dict[bytes, list[tuple[bytes, int]]] = {}
         self.right: dict[bytes, list[tuple[bytes, int]]] = {}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
-        self.cache: dict[str, tuple[int, ...]] = {}
+        # Tokens by their first and by their last two bytes: how long the longest is, so that few others are tried.
+        self.head, self.tail = {}, {}
+        for token in self.tokens:
+            for table, two in ((self.head, token[:2]), (self.tail, token[-2:])):
+                table[two] = max(len(token), table.get(two, 1))
+        self.pairs = Remembered(CACHE_BYTES // 4, lambda pair, _: 200 + len(pair[0]) + len(pair[1]))
+        self.words = Remembered(3 * CACHE_BYTES // 4, lambda word, ids: 150 + len(word) + 8 * len(ids))
         self.split = regex.compile(PRETOKEN)
+        self.border = regex.compile(r"\P{White_Space} (?=\P{White_Space})")
         self.blank = regex.compile(r" (?:\s|$)")
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.lookahead = self._sufficient_lookahead()
@@ -87,7 +115,9 @@ class Transducer:
     def stable(self, a: bytes, b: bytes) -> bool:
         """Whether no merge crosses the border between a and b: a crossing merge fires if it comes before either side is consumed; of equal ranks the left one is first."""
         key = (a, b)
-        known = self.pairs.get(key)
+        known = self.pairs.young.get(key)
+        if known is None:
+            known = self.pairs.recall(key)
         if known is None:
             rank = self.rank
             known = not any(
@@ -95,9 +125,7 @@ class Transducer:
                 for x, x_until in self._spine(a, 1)
                 for y, y_until in self._spine(b, 0)
             )
-            if len(self.pairs) >= 4 * WORD_CACHE:
-                self.pairs.clear()
-            self.pairs[key] = known
+            self.pairs.keep(key, known)
         return known
 
     def _sufficient_lookahead(self) -> int:
@@ -128,7 +156,7 @@ class Transducer:
 
     def _last_token(self, text: bytes, last: list[bytes]) -> bytes:
         end = len(text)
-        for start in range(max(0, end - self.longest), end):
+        for start in range(max(0, end - max(self.tail.get(text[-2:], 1), self.tail.get(text[-1:], 1))), end):
             token = text[start:end]
             if token in self.tokens:
                 before = last[start]
@@ -160,78 +188,120 @@ class Transducer:
         return done, pending[cut:], kept
 
     def _short(self, data: bytes) -> list[bytes]:
-        """Tokens of a word within the lookahead: take the longest token that is stable after the one before it, and step back where none is."""
+        """Tokens of a word within the lookahead.
+
+        Only one sequence of tokens has no unstable pair, so whichever search meets one has found the encoding: take the
+        longest token that is stable after the one before it, and step back where none is.
+        """
+        tokens, pairs, head = self.tokens, self.pairs.young.get, self.head.get
         found: list[bytes] = []
-        ends, end, size = [0], min(len(data), self.longest), len(data)
-        while ends[-1] < size:
-            start = ends[-1]
+        ends, size = [0], len(data)
+        end = min(size, head(data[:2], 1))
+        before = start = 0
+        while start < size:
             while end > start:
                 token = data[start:end]
-                if token in self.tokens and (not found or self.stable(found[-1], token)):
-                    break
+                if token in tokens:
+                    if not before:
+                        break
+                    known = pairs((before, token))
+                    if known or (known is None and self.stable(before, token)):
+                        break
                 end -= 1
             if end > start:
                 found.append(token)
                 ends.append(end)
-                end = min(size, end + self.longest)
+                before, start = token, end
+                end = min(size, start + head(data[start : start + 2], 1))
             elif found:
                 found.pop()
                 end = ends.pop() - 1
+                before, start = found[-1] if found else 0, ends[-1]
             else:
                 raise ValueError(f"no token starts with byte {data[0]}")
         return found
 
-    def word(self, word: str) -> tuple[int, ...]:
-        """Ids of one pre-token: short ones are settled within the lookahead, long ones go through the stream."""
-        known = self.cache.get(word)
+    def _word(self, word: str) -> tuple[int, ...]:
+        """Ids of a word within the lookahead."""
+        known = self.words.young.get(word) or self.words.recall(word)
         if known is None:
-            data = word.encode("utf-8")
             ids = self.ids
-            known = tuple([ids[t] for t in (self._short(data) if len(data) <= self.longest else self.stream([data]))])
-            self._keep(word, known)
+            known = tuple([ids[token] for token in self._short(word.encode("utf-8"))])
+            self.words.keep(word, known)
         return known
 
     def _run(self, run: str) -> tuple[int, ...]:
-        """Ids of a space and what follows it up to the next one."""
-        words = self.split.findall(run)
-        if len(words) == 1:
-            return self.word(run)
-        known = tuple([i for word in words for i in self.word(word)])
-        if "\n" not in run:
-            self._keep(run, known)
+        """Ids of up to MOST_KEPT characters, a space and what follows it, which are then remembered."""
+        known = self.words.recall(run)
+        if known is None:
+            words = self.split.findall(run)
+            if len(words) == 1:
+                return self._word(run)
+            known = tuple([i for word in words for i in self._word(word)])
+            if "\n" not in run:
+                self.words.keep(run, known)
         return known
 
-    def _keep(self, word: str, known: tuple[int, ...]) -> None:
-        if len(word) <= 40:
-            if len(self.cache) >= WORD_CACHE:
-                self.cache.clear()
-            self.cache[word] = known
+    def _long(self, run: str) -> Iterator[tuple[int, ...]]:
+        """Ids of a longer run, word by word; words beyond the longest token go through the stream."""
+        for match in self.split.finditer(run):
+            word = match[0]
+            if len(word) <= MOST_KEPT:
+                yield self._word(word)
+            else:
+                data = word.encode("utf-8")
+                for token in self._short(data) if len(data) <= self.longest else self.stream([data]):
+                    yield (self.ids[token],)
 
     def encode(self, text: str) -> Iterator[list[int]]:
         """Ids of a text, in blocks of bounded size.
 
-        A pre-token ends before every single space, so runs that start with one are encoded, and remembered, on their
-        own; a text in which white space follows a space is cut by the pattern alone.
+        A text is cut into parts of about PART characters where a single space stands between other characters: a
+        pre-token always ends there. Runs that start with such a space are encoded, and remembered, on their own; a
+        part in which white space follows a space is cut by the pattern alone.
         """
         block: list[int] = []
         for piece, special in self._pieces(text):
             if special is not None:
                 block.append(special)
                 continue
-            if self.blank.search(piece):
-                runs = (match[0] for match in self.split.finditer(piece))
-            else:
-                first, *others = piece.split(" ")
-                runs = itertools.chain([first] if first else [], [" " + x for x in others])
-            get = self.cache.get
-            for run in runs:
-                block += get(run) or self._run(run)
-                if len(block) >= BLOCK:
-                    yield block
-                    block = []
+            for part in self._parts(piece):
+                if self.blank.search(part):
+                    runs = (match[0] for match in self.split.finditer(part))
+                else:
+                    first, *others = part.split(" ")
+                    runs = itertools.chain([first] if first else [], [" " + x for x in others])
+                get = self.words.young.get
+                for run in runs:
+                    known = get(run)
+                    if known is not None:
+                        block += known
+                    elif len(run) <= MOST_KEPT:
+                        block += self._run(run)
+                        get = self.words.young.get
+                    else:
+                        for ids in self._long(run):
+                            block += ids
+                            if len(block) >= BLOCK:
+                                yield block
+                                block = []
+                        get = self.words.young.get
+                    if len(block) >= BLOCK:
+                        yield block
+                        block = []
         if block:
             yield block
 
+    def _parts(self, piece: str) -> Iterator[str]:
+        start = 0
+        while len(piece) - start > PART:
+            found = self.border.search(piece, start + PART)
+            if found is None:
+                break
+            yield piece[start : found.start() + 1]
+            start = found.start() + 1
+        yield piece[start:]
+
     def _pieces(self, text: str) -> Iterator[tuple[str, int | None]]:
         start = 0
         for match in self.at_special.finditer(text) if self.at_special else ():
@@ -269,63 +339,82 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "t
     def run(batches):
         coder = transducer(path)
         for batch in batches:
-            found = [[i for block in coder.encode(t or "") for i in block] for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], names=[*batch.schema.names, ids])
+            for part, texts in in_slices(batch, at):
+                found = ids_column((array("i", block) for block in coder.encode(t or "")) for t in texts)
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*part.schema.names, ids])
 
     return kept.mapInArrow(run, schema_with(kept, ids, ArrayType(IntegerType())))
 
 
+def ids_column(rows: Iterable[Iterable[array]]) -> pa.Array:
+    """A list column of ids, four bytes each, from the blocks of each row."""
+    values, ends = array("i"), array("i", [0])
+    for blocks in rows:
+        for block in blocks:
+            values += block
+        ends.append(len(values))
+    return pa.ListArray.from_arrays(pa.array(np.frombuffer(ends, np.int32)), pa.array(np.frombuffer(values, np.int32)))
+
+
 def decode_documents(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """df with the text that each row's token ids decode to; null ids give null, bytes that are no UTF-8 become U+FFFD."""
     kept = df.drop(text) if text in df.columns else df
     at = kept.columns.index(ids)
 
+    def blocks(row):
+        values = row.values
+        for start in range(0, len(values), BLOCK):
+            yield values.slice(start, BLOCK).to_pylist()
+
     def run(batches):
         coder = transducer(path)
         for batch in batches:
-            found = [None if x is None else "".join(coder.decode([x])) for x in batch.column(at).to_pylist()]
+            found = [None if not row.is_valid else "".join(coder.decode(blocks(row))) for row in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, text])
 
     return kept.mapInArrow(run, schema_with(kept, text, StringType()))
 
 
 def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Digests of each document's ids and of the text they decode to, in one pass and in constant memory per document.
+    """Digests of each document's ids and of the text they decode to, in one pass; beside the text itself a document takes constant memory.
 
-    Returns doc_id, n_tokens, ids_sha256, decoded_sha256; with keep_ids, token_ids (array<int>) too, whole in memory. Null and empty texts have no tokens and the digest of the
-    empty string; repeated rows give repeated results.
+    Returns doc_id, n_tokens, ids_sha256, decoded_sha256; with keep_ids, token_ids (array<int>) too: a row's ids are
+    then whole in memory, four bytes each, and results are handed on every BATCH_TOKENS tokens. Null and empty texts have
+    no tokens and the digest of the empty string; repeated rows give repeated results.
     """
+    names_out = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * keep_ids
+
+    def one(coder, data, values):
+        of_ids, of_text, count, names = hashlib.sha256(), hashlib.sha256(), 0, coder.text_of
+
+        def blocks():
+            nonlocal count
+            for block in coder.encode(data.decode("utf-8", "replace")):
+                of_ids.update((b"," if count else b"") + ",".join([names[i] for i in block]).encode())
+                count += len(block)
+                if keep_ids:
+                    values.extend(block)
+                yield block
+
+        for part in coder.decode(blocks()):
+            of_text.update(part.encode())
+        return count, of_ids.hexdigest(), of_text.hexdigest()
 
     def run(batches):
         coder = transducer(path)
-        names = coder.text_of
         for batch in batches:
-            counts, ids_digests, text_digests, all_ids = [], [], [], []
-            for data in batch.column(1).to_pylist():
-                of_ids, of_text, count, kept = hashlib.sha256(), hashlib.sha256(), 0, []
-
-                def blocks(data=data, of_ids=of_ids, kept=kept):
-                    nonlocal count
-                    for block in coder.encode(data.decode("utf-8", "replace")):
-                        of_ids.update((b"," if count else b"") + ",".join([names[i] for i in block]).encode())
-                        count += len(block)
+            for part, texts in in_slices(batch, 1):
+                start, rows, values, ends = 0, [], array("i"), array("i", [0])
+                for k, data in enumerate(texts):
+                    rows.append(one(coder, data, values))
+                    ends.append(len(values))
+                    if len(values) >= BATCH_TOKENS or k == len(texts) - 1:
+                        counts, of_ids, of_texts = zip(*rows)
+                        columns = [part.column(0).slice(start, len(rows)), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())]
                         if keep_ids:
-                            kept += block
-                        yield block
-
-                for part in coder.decode(blocks()):
-                    of_text.update(part.encode())
-                counts.append(count)
-                all_ids.append(pa.array(kept, pa.int32()))
-                ids_digests.append(of_ids.hexdigest())
-                text_digests.append(of_text.hexdigest())
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())]
-            names_out = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                offsets = pa.array([0, *itertools.accumulate(map(len, all_ids))], pa.int32())
-                columns.append(pa.ListArray.from_arrays(offsets, pa.concat_arrays(all_ids) if all_ids else pa.array([], pa.int32())))
-                names_out.append("token_ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names_out)
+                            columns.append(pa.ListArray.from_arrays(pa.array(np.frombuffer(ends, np.int32)), pa.array(np.frombuffer(values, np.int32))))
+                        yield pa.RecordBatch.from_arrays(columns, names=names_out)
+                        start, rows, values, ends = k + 1, [], array("i"), array("i", [0])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids
     return df.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text")).mapInArrow(run, schema)

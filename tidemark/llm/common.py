@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -29,6 +32,18 @@ def schema_with(df: DataFrame, name: str, kind) -> StructType:
     return StructType([*df.schema.fields, StructField(name, kind)])
 
 
+def in_slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Rows of a batch, as many at a time as have about `most` bytes in a column, and that column's values."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = size = 0
+    for k, n in enumerate(sizes):
+        size += n
+        if size >= most or k == len(sizes) - 1:
+            part = batch.slice(start, k + 1 - start)
+            yield part, part.column(column).to_pylist()
+            start, size = k + 1, 0
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 

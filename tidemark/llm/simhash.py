@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, text_bytes, written
+from tidemark.llm.common import connected_components, in_slices, text_bytes, written
 
 #: Shingles whose bits are counted at a time.
 BLOCK = 65_536
@@ -55,10 +55,9 @@ def fingerprints(df: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text:
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(x, shingle) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())], names=["doc_id", "fp"]
-            )
+            for part, texts in in_slices(batch, 1):
+                found = np.array([fingerprint(x, shingle) for x in texts], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 
     return df.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
 

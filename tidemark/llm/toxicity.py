@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tidemark.llm.common import schema_with, text_bytes, written
+from tidemark.llm.common import in_slices, schema_with, text_bytes, written
 
 #: Lengths of the n-grams, hashed n-grams (a power of two), and those that are kept as features.
 SIZES, BUCKETS, FEATURES = (3, 4, 5), 1 << 20, 4_096
@@ -149,7 +149,8 @@ def scores(df: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, most
     def run(batches):
         model = shared.value
         for batch in batches:
-            found = [model.score(x.encode() if isinstance(x, str) else x or b"") for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, out])
+            for part, texts in in_slices(batch, at):
+                found = [model.score(x.encode() if isinstance(x, str) else x or b"") for x in texts]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], names=[*part.schema.names, out])
 
     return kept.mapInArrow(run, schema_with(kept, out, DoubleType()))
