@@ -152,6 +152,47 @@ def test_filter_bound_and_levels(spark):
     assert len(data) * 8 <= ngram_model.MOST_BITS
 
 
+def brute_model(texts):
+    """The model by its definition: p(word | context), the vocabulary and the probability of one unseen word."""
+    v = lambda c: float(ngram_model.VALUE[sum(t <= c for t in ngram_model.LEVELS)])
+    tokens = [ngram_model.tokens_of(t.encode()) for t in texts]
+    words, pairs = Counter(w for ts in tokens for w in ts), Counter(p for ts in tokens for p in zip([ngram_model.END, *ts], ts))
+    pairs = {p: v(c) for p, c in pairs.items() if c >= 2}
+    once, n = sum(c == 1 for c in words.values()), sum(words.values())
+    total, unseen = sum(map(v, words.values())), (once + 1) / (n + once + 1)
+    sums = Counter()
+    for (c, _), x in pairs.items():
+        sums[c] += x
+    figures = {}
+    for c, x in sums.items():
+        level, fine = ngram_model.context_codes(np.array([x]), np.array([float(words[c])]))
+        code = int(level[0]) << ngram_model.FINE | int(fine[0])
+        figures[c] = ngram_model.CONTEXT_SUM[code], ngram_model.CONTEXT_SHARE[code]
+        assert figures[c][0] == pytest.approx(x, rel=0.009)
+
+    def p(word, context):
+        alone = (1 - unseen) * v(words[word]) / total if word in words else unseen / (len(words) + 1)
+        s, share = figures.get(context, (1.0, 0.0))
+        return share * min(pairs.get((context, word), 0) / s, 1.0) + (1 - share) * alone
+
+    return p, words, unseen
+
+
+def test_score_is_the_models_log_probability(spark):
+    rows = [(i, " ".join(f"w{int(120 * random.Random(i * 999 + k).random() ** 3)}" for k in range(150)), "a") for i in range(40)]
+    rows += [(100, None, "a"), (101, "never seen words", "a"), (102, "", "a")]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    p, words, _ = brute_model([t or "" for i, t, _ in rows if not held(i)])
+    want = {}
+    for i, t, _ in rows:
+        tokens = ngram_model.tokens_of((t or "").encode())
+        want[i] = sum(math.log10(p(w, c)) for c, w in zip([ngram_model.END, *tokens], tokens))
+    found = {r.doc_id: r.score for r in ngram_model.scores(table(spark, rows)).collect()}
+    assert {i: pytest.approx(x, abs=1e-6) for i, x in want.items()} == found
+    for context in [*list(words)[:60], b"unknown"]:
+        assert 0.99 < sum(p(w, context) for w in words) + (len(words) + 1) * p(b"?", context) < 1.01
+
+
 @pytest.mark.parametrize("most_bits", [400_000, 60_000, 20_000, 1_000])
 def test_scores_do_not_depend_on_the_filter_bound(spark, most_bits):
     rows = [(i, " ".join(f"w{int(900 * random.Random(i * 1000 + k).random() ** 2)}" for k in range(300)), "a") for i in range(60)]
