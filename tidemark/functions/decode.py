@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from pyspark.sql.types import StringType
 #: The base-58 alphabet, and what begins the account id of a protocol account.
 BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
 PROTOCOL_MAGIC = b"modl"
+#: Fixed value: what an address checksum is taken over, before the data.
+CHECKSUM_PREFIX = b"SS58PRE"
 #: Byte offsets of the free and reserved balance in an account record, and their length.
 FREE_AT, RESERVED_AT, BALANCE_BYTES = 16, 24, 8
 
@@ -43,15 +47,47 @@ def account_id(storage_key: str) -> Column:
     return F.substring(bare(F.col(storage_key)), 2 * 48 + 1, 64)
 
 
-def pallet_of(address: str | None) -> str | None:
-    """The protocol module's id that an address encodes, or None for ordinary and malformed addresses."""
+def _to_base58(data: bytes) -> str:
+    number, found = int.from_bytes(data, "big"), ""
+    while number:
+        number, digit = divmod(number, 58)
+        found = BASE58[digit] + found
+    return "1" * (len(data) - len(data.lstrip(b"\0"))) + found
+
+
+def _from_base58(address: str) -> bytes | None:
     if not address or any(c not in BASE58 for c in address):
         return None
     number = 0
     for c in address:
         number = number * 58 + BASE58.index(c)
-    data = bytes(len(address) - len(address.lstrip("1"))) + number.to_bytes((number.bit_length() + 7) // 8, "big")
-    if len(data) < 3:
+    return bytes(len(address) - len(address.lstrip("1"))) + number.to_bytes((number.bit_length() + 7) // 8, "big")
+
+
+def address_of(account: str | None, network: int = 42) -> str | None:
+    """The address of an account id in hex: network, id and the first two bytes of their checksum, in base 58."""
+    if account is None:
+        return None
+    data = bytes([network]) + bytes.fromhex(account)
+    return _to_base58(data + hashlib.blake2b(CHECKSUM_PREFIX + data).digest()[:2])
+
+
+@F.pandas_udf(StringType())
+def address(accounts: pd.Series) -> pd.Series:
+    return accounts.map(address_of)
+
+
+@F.pandas_udf(StringType())
+def account_hex(addresses: pd.Series) -> pd.Series:
+    """Hex of the account id in an address; null for what is no address of 32 bytes."""
+    found = addresses.map(lambda a: _from_base58(a) if a else None)
+    return found.map(lambda d: d[1:33].hex() if d is not None and len(d) == 35 else None)
+
+
+def pallet_of(address: str | None) -> str | None:
+    """The protocol module's id that an address encodes, or None for ordinary and malformed addresses."""
+    data = _from_base58(address) if address else None
+    if data is None or len(data) < 3:
         return None
     body = data[2 if data[0] & 0x40 else 1 :]
     if len(body) < 12 or body[:4] != PROTOCOL_MAGIC:

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.decode import account_balances
 from tidemark.operators.quality import changed_keys
 from tidemark.sources.schemas import RAO
-from tidemark.sources.tables import overwrite_partitions
+from tidemark.sources.tables import overwrite_partitions, write_if_changed
 
-#: Event methods that change balances or stake, by lower-case section.
-BALANCE_KINDS = {"deposit": "deposit", "withdraw": "withdraw", "dustlost": "withdraw"}
-STAKE_KINDS = {"stakeadded": "stakeAdded", "stakeremoved": "stakeRemoved"}
+#: Event methods that change balances or stake; sections are compared in lower case, methods as they are.
+BALANCE_KINDS = {"Deposit": "deposit", "Withdraw": "withdraw", "DustLost": "withdraw"}
+STAKE_KINDS = {"StakeAdded": "stakeAdded", "StakeRemoved": "stakeRemoved"}
+#: Blocks in a range in which facts and snapshots are sorted together.
+RANGE = 100_000
 
 
 def canonical_blocks(stamps: DataFrame) -> DataFrame:
@@ -40,6 +42,15 @@ def decode_plan(stamps: DataFrame) -> DataFrame:
     )
 
 
+def checked_plan(stamps: DataFrame) -> DataFrame:
+    """The decode plan; stamps that go backwards stop the job before anything is decoded."""
+    plan = decode_plan(stamps)
+    back = plan.where("goes_back").select("block_number").first()
+    if back is not None:
+        raise ValueError(f"the version stamps go backwards at block {back['block_number']}")
+    return plan
+
+
 def with_decode_spec(blocks: DataFrame, plan: DataFrame) -> DataFrame:
     """blocks with decode_spec: the plan's where it has one, else the stamp."""
     named = plan.select("block_number", F.col("decode_spec").alias("_spec"))
@@ -54,7 +65,7 @@ def missing_specs(blocks: DataFrame, metadata: DataFrame) -> DataFrame:
 def event_rows(blocks: DataFrame) -> DataFrame:
     """One row per event of decoded blocks; event_index counts all of a block's events, wanted or not."""
     return blocks.select("block_number", "timestamp_ms", F.posexplode("events").alias("event_index", "e")).select(
-        "block_number", "timestamp_ms", "event_index", F.lower("e.section").alias("section"), F.lower("e.method").alias("method"), F.col("e.data").alias("data")
+        "block_number", "timestamp_ms", "event_index", F.lower("e.section").alias("section"), F.col("e.method").alias("method"), F.col("e.data").alias("data")
     )
 
 
@@ -63,7 +74,7 @@ def _amount(k: int):
 
 
 def transfers_of(events: DataFrame) -> DataFrame:
-    return events.where("section = 'balances' and method = 'transfer'").select(
+    return events.where("section = 'balances' and method = 'Transfer'").select(
         "block_number", "event_index", "timestamp_ms", F.get("data", F.lit(0)).alias("from_coldkey"), F.get("data", F.lit(1)).alias("to_coldkey"), _amount(2)
     )
 
@@ -101,8 +112,11 @@ def repair(silver: DataFrame, rebuilt: DataFrame, bad_blocks: DataFrame, path: s
     """
     if not bad_blocks.isEmpty():
         raise ValueError("some blocks can't be decoded; nothing is replaced")
-    changed = changed_keys(silver, rebuilt, "block_number").checkpoint()
     staged = f"{path.rstrip('/')}.staged"
+    noted = f"{path.rstrip('/')}.changed"
+    found = changed_keys(silver, rebuilt, "block_number")
+    found.write.mode("overwrite").parquet(noted)
+    changed = rebuilt.sparkSession.read.schema(found.schema).parquet(noted)
     rebuilt.write.mode("overwrite").parquet(staged)
     overwrite_partitions(rebuilt.sparkSession.read.schema(rebuilt.schema).parquet(staged), path, by)
     return changed
@@ -111,19 +125,20 @@ def repair(silver: DataFrame, rebuilt: DataFrame, bad_blocks: DataFrame, path: s
 def date_snapshots(snapshots: DataFrame, *facts: DataFrame) -> DataFrame:
     """snapshots with timestamp_ms: the time of the first fact after their block, NULL if there is none.
 
-    Each block's earliest time is reduced first; snapshot blocks, a handful, are counted up into ranges of blocks, so the
-    facts meet them by an equality on the range and not by an inequality.
+    Each block's earliest time is reduced first. Facts and snapshot blocks are then sorted together in ranges of blocks,
+    from the last one back; what lies beyond a range is the least time of all later ranges, one row for each range.
     """
     times = facts[0].select("block_number", "timestamp_ms")
     for f in facts[1:]:
         times = times.unionByName(f.select("block_number", "timestamp_ms"))
-    blocks = snapshots.select("block_number").distinct()
-    # One row with all snapshot blocks in order: every fact finds the snapshots below it, and counts for the last of them.
-    listed = blocks.agg(F.sort_array(F.collect_list("block_number")).alias("_blocks"))
-    below = times.where("timestamp_ms is not null").crossJoin(F.broadcast(listed)).withColumn("_n", F.size(F.filter("_blocks", lambda b: b < F.col("block_number"))))
-    least = below.where("_n > 0").groupBy(F.get("_blocks", F.col("_n") - 1).alias("block_number")).agg(F.min("timestamp_ms").alias("_ms"))
-    after = Window.orderBy(F.col("block_number").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    dated = blocks.join(least, "block_number", "left").select("block_number", F.min("_ms").over(after).alias("timestamp_ms"))
+    times = times.where("timestamp_ms is not null").groupBy("block_number").agg(F.min("timestamp_ms").alias("_ms"))
+    of_range = F.floor(F.col("block_number") / RANGE).alias("_range")
+    blocks = snapshots.select("block_number", F.lit(None).cast("long").alias("_ms"), F.lit(True).alias("_asked")).distinct()
+    both = times.select("block_number", "_ms", F.lit(False).alias("_asked")).unionByName(blocks).select("*", of_range)
+    later = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = both.groupBy("_range").agg(F.min("_ms").alias("_least")).select("_range", F.min("_least").over(later).alias("_beyond"))
+    inside = F.min(F.when(~F.col("_asked"), F.struct("_ms"))).over(Window.partitionBy("_range").orderBy(F.col("block_number").desc(), F.col("_asked").desc()).rowsBetween(Window.unboundedPreceding, -1))
+    dated = both.withColumn("_inside", inside["_ms"]).where("_asked").join(ranges, "_range").select("block_number", F.least("_inside", "_beyond").alias("timestamp_ms"))
     return snapshots.drop("timestamp_ms").join(dated, "block_number", "left")
 
 
@@ -131,3 +146,8 @@ def snapshot_silver(raw: DataFrame, *facts: DataFrame) -> DataFrame:
     """Decoded and dated account snapshots."""
     decoded = account_balances(raw).select("block_number", "coldkey", "free_rao", "reserved_rao")
     return date_snapshots(decoded, *facts).select("block_number", "timestamp_ms", "coldkey", "free_rao", "reserved_rao")
+
+
+def materialise_snapshots(raw: DataFrame, path: str, *facts: DataFrame) -> bool:
+    """Snapshot silver as a table that is written only if its rows change; tells whether it did."""
+    return write_if_changed(snapshot_silver(raw, *facts), "account_snapshots", path)

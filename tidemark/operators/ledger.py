@@ -14,22 +14,22 @@ UPTO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
 
 def transfer_legs(transfers: DataFrame) -> DataFrame:
-    """(coldkey, block_number, timestamp_ms, delta): both legs of each transfer from one scan."""
+    """(coldkey, block_number, timestamp_ms, delta): both legs of each transfer from one scan; sums widen what they add up."""
     amount = F.col("amount_rao").cast(RAO)
     legs = F.array(F.struct(F.col("from_coldkey").alias("coldkey"), (-amount).alias("delta")), F.struct(F.col("to_coldkey").alias("coldkey"), amount.alias("delta")))
-    return transfers.select("block_number", "timestamp_ms", F.explode(legs).alias("leg")).select("leg.coldkey", "block_number", "timestamp_ms", F.col("leg.delta").cast(RAO_SUM).alias("delta"))
+    return transfers.select("block_number", "timestamp_ms", F.explode(legs).alias("leg")).select("leg.coldkey", "block_number", "timestamp_ms", F.col("leg.delta").alias("delta"))
 
 
 def event_legs(events: DataFrame) -> DataFrame:
     """Deposits add, all other kinds take away."""
     amount = F.col("amount_rao").cast(RAO)
-    return events.select("coldkey", "block_number", "timestamp_ms", F.when(F.col("kind") == "deposit", amount).otherwise(-amount).cast(RAO_SUM).alias("delta"))
+    return events.select("coldkey", "block_number", "timestamp_ms", F.when(F.col("kind") == "deposit", amount).otherwise(-amount).alias("delta"))
 
 
 def genesis_legs(snapshots: DataFrame) -> DataFrame:
     """Opening balances: dated snapshots of block 0 with something in them."""
-    total = (F.col("free_rao").cast(RAO_SUM) + F.col("reserved_rao").cast(RAO_SUM)).cast(RAO_SUM)
-    return snapshots.where("block_number = 0 and timestamp_ms is not null").select("coldkey", "block_number", "timestamp_ms", total.alias("delta")).where("delta > 0")
+    total = F.col("free_rao").cast(RAO) + F.col("reserved_rao").cast(RAO)
+    return snapshots.where("block_number = 0 and timestamp_ms is not null").select("coldkey", "block_number", "timestamp_ms", total.alias("delta")).where("delta <> 0")
 
 
 def signed_legs(transfers: DataFrame, events: DataFrame, snapshots: DataFrame | None = None) -> DataFrame:
@@ -48,10 +48,15 @@ def daily_balances(legs: DataFrame) -> DataFrame:
     return daily_deltas(legs).select("coldkey", "timestamp_ms", F.sum("delta").over(order).cast(RAO_SUM).alias("balance_rao"))
 
 
-def day_spine(df: DataFrame, ts: str = "timestamp_ms") -> DataFrame:
-    """Every day from the first to the last one of df; none for an empty table."""
-    ends = df.agg(F.min(ts).alias("a"), F.max(ts).alias("b")).where("a is not null")
-    return ends.select(F.explode(F.sequence("a", "b", F.lit(DAY).cast("long"))).alias("timestamp_ms"))
+def every_day(changes: DataFrame, value: str) -> DataFrame:
+    """(timestamp_ms, value): the running sum of a table of daily changes, on every day from its first to its last one.
+
+    One row per day with changes is all that the window sorts; the days up to the next such row are counted out.
+    """
+    days = Window.orderBy("timestamp_ms")
+    upto = F.lead("timestamp_ms").over(days) - DAY
+    summed = changes.select("timestamp_ms", F.sum(value).over(days.rowsBetween(*UPTO_HERE)).alias("value"), F.coalesce(upto, F.col("timestamp_ms")).cast("long").alias("_upto"))
+    return summed.select(F.explode(F.sequence("timestamp_ms", "_upto", F.lit(DAY).cast("long"))).alias("timestamp_ms"), "value")
 
 
 def holder_counts(balances: DataFrame, threshold: int | Decimal = 0) -> DataFrame:
@@ -62,27 +67,22 @@ def holder_counts(balances: DataFrame, threshold: int | Decimal = 0) -> DataFram
     """
     order = Window.partitionBy("coldkey").orderBy("timestamp_ms")
     above = (F.col("balance_rao") > F.lit(threshold)).cast("int")
-    crossings = (
-        balances.select("coldkey", "timestamp_ms", above.alias("above"))
-        .withColumn("crossing", F.col("above") - F.lag("above", 1, 0).over(order))
-        .where("crossing <> 0")
-        .groupBy("timestamp_ms").agg(F.sum("crossing").cast("long").alias("net"))
-    )
-    days = Window.orderBy("timestamp_ms").rowsBetween(*UPTO_HERE)
-    return day_spine(balances).join(crossings, "timestamp_ms", "left").select("timestamp_ms", F.sum("net").over(days).alias("value"))
+    crossings = balances.select("coldkey", "timestamp_ms", above.alias("above")).withColumn("crossing", F.col("above") - F.lag("above", 1, 0).over(order))
+    net = F.sum(F.when(F.col("crossing") != 0, F.col("crossing"))).cast("long")
+    return every_day(crossings.groupBy("timestamp_ms").agg(net.alias("net")), "net")
 
 
 def labelled_totals(balances: DataFrame, labels: DataFrame, scale: float = 1e9) -> DataFrame:
     """(timestamp_ms, value): what the labelled accounts hold together on every day, each balance carried forward.
 
-    The account-by-day table has labelled accounts only, a maintained list whose broadcast Spark's own threshold guards.
+    A balance that stays is no change of the total, so what accounts gained or lost is summed up day by day and the sums
+    run over days only. Labels are a maintained list, whose broadcast Spark's own threshold guards.
     """
-    held = balances.join(labels.select("coldkey"), "coldkey")
-    dense = day_spine(held).crossJoin(labels.select("coldkey").distinct()).join(held, ["coldkey", "timestamp_ms"], "left")
-    order = Window.partitionBy("coldkey").orderBy("timestamp_ms").rowsBetween(*UPTO_HERE)
-    carried = dense.withColumn("carried", F.last("balance_rao", ignorenulls=True).over(order))
-    total = F.sum(F.coalesce("carried", F.lit(0).cast(RAO_SUM)))
-    return carried.groupBy("timestamp_ms").agg((total.cast("double") / scale).alias("value"))
+    held = balances.join(labels.select("coldkey").distinct(), "coldkey")
+    before = F.lag("balance_rao").over(Window.partitionBy("coldkey").orderBy("timestamp_ms"))
+    moved = held.select("timestamp_ms", (F.col("balance_rao") - F.coalesce(before, F.lit(0).cast(RAO_SUM))).cast(RAO_SUM).alias("moved"))
+    changes = moved.groupBy("timestamp_ms").agg(F.sum("moved").cast(RAO_SUM).alias("moved"))
+    return every_day(changes, "moved").select("timestamp_ms", (F.col("value").cast("double") / scale).alias("value"))
 
 
 def user_transfers(transfers: DataFrame, protocol: DataFrame) -> DataFrame:
@@ -91,16 +91,14 @@ def user_transfers(transfers: DataFrame, protocol: DataFrame) -> DataFrame:
     Both anti joins carry the condition that NOT IN has for nulls. The list is a short dimension; Spark broadcasts it
     below its own threshold.
     """
-    transfers.createOrReplaceTempView("_transfers")
-    protocol.select("coldkey").where("coldkey is not null").createOrReplaceTempView("_protocol")
-    return transfers.sparkSession.sql("SELECT * FROM _transfers WHERE from_coldkey NOT IN (SELECT coldkey FROM _protocol) AND to_coldkey NOT IN (SELECT coldkey FROM _protocol)")
+    query = "SELECT * FROM {transfers} WHERE from_coldkey NOT IN (SELECT coldkey FROM {protocol}) AND to_coldkey NOT IN (SELECT coldkey FROM {protocol})"
+    return transfers.sparkSession.sql(query, transfers=transfers, protocol=protocol.select("coldkey").where("coldkey is not null"))
 
 
 def protocol_transfers(transfers: DataFrame, protocol: DataFrame) -> DataFrame:
     """Transfers with a protocol account on one side at least."""
-    transfers.createOrReplaceTempView("_transfers")
-    protocol.select("coldkey").where("coldkey is not null").createOrReplaceTempView("_protocol")
-    return transfers.sparkSession.sql("SELECT * FROM _transfers WHERE from_coldkey IN (SELECT coldkey FROM _protocol) OR to_coldkey IN (SELECT coldkey FROM _protocol)")
+    query = "SELECT * FROM {transfers} WHERE from_coldkey IN (SELECT coldkey FROM {protocol}) OR to_coldkey IN (SELECT coldkey FROM {protocol})"
+    return transfers.sparkSession.sql(query, transfers=transfers, protocol=protocol.select("coldkey").where("coldkey is not null"))
 
 
 def daily_count(df: DataFrame, ts: str = "timestamp_ms") -> DataFrame:

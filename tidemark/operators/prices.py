@@ -67,6 +67,11 @@ def cross_rate_check(usd: DataFrame, reference: DataFrame, observed: DataFrame,
     return both.withColumn("divergence", F.abs(F.col("implied") - F.col("observed")) / F.abs("observed")).where(F.col("divergence") > threshold)
 
 
+def first_divergences(checked: DataFrame, n: int = 20) -> DataFrame:
+    """The first n divergences of cross_rate_check, by time."""
+    return checked.orderBy("timestamp_ms").limit(n)
+
+
 def normalise_candles(raw: DataFrame, interval_ms: int, now_ms: int) -> tuple[DataFrame, DataFrame]:
     """(candles, rejected) from rows (exchange, pair, tuple: array<double> of time, open, high, low, close, volume).
 

@@ -10,7 +10,6 @@ from tidemark.operators.ledger import net_deltas
 from tidemark.sources.schemas import RAO_SUM
 
 
-
 def _zero():
     return F.lit(0).cast(RAO_SUM)
 
@@ -71,6 +70,11 @@ def reconciliation_sizing(touches: DataFrame, first_block: int, last_block: int,
     return spine.join(per, "window_index", "left").join(new, "window_index", "left").select("window_index", zero("touched").alias("touched"), zero("new").alias("new"), (zero("touched") + zero("new") + per_window).cast("long").alias("calls"))
 
 
+def sizing_total(sizing: DataFrame) -> DataFrame:
+    """(windows, touched, new, calls) over all windows."""
+    return sizing.agg(F.count("*").alias("windows"), *[F.sum(c).alias(c) for c in ("touched", "new", "calls")])
+
+
 def account_touches(transfers: DataFrame, events: DataFrame) -> DataFrame:
     """(coldkey, block_number): both legs of transfers and all balance events."""
     legs = transfers.select("block_number", F.explode(F.array("from_coldkey", "to_coldkey")).alias("coldkey"))

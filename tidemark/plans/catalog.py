@@ -139,6 +139,15 @@ def balances(s, d):
     return ledger.daily_balances(legs(s, d, True))
 
 
+def block_range(s, d) -> tuple[int, int]:
+    """The first and the last block of the ledger; reconciliation runs from one to the other."""
+    found = t.transfers(s, d).select("block_number").union(t.balance_events(s, d).select("block_number")).agg(F.min("block_number"), F.max("block_number")).first()
+    return (0, 0) if found[0] is None else tuple(found)
+
+
+BOUNDS = "SELECT min(block_number) AS lo, max(block_number) AS hi FROM legs"
+
+
 @register("u01_signed_legs", oracle(["seeded"], f"SELECT coldkey, timestamp_ms {D} AS timestamp_ms, CAST(sum(delta) AS BIGINT) AS delta FROM seeded GROUP BY 1, 2"))
 def signed_legs(s, d):
     return longs(ledger.daily_deltas(legs(s, d, True)), "delta")
@@ -176,8 +185,8 @@ register("m09_transfer_count", oracle(["transfers", "protocol"], f"SELECT timest
 register("m10_transfer_count_protocol", oracle(["transfers", "protocol"], f"SELECT timestamp_ms {D} AS timestamp_ms, count(*) AS value FROM transfers WHERE NOT ({_BOTH}) GROUP BY 1"))(
     lambda s, d: ledger.daily_count(ledger.protocol_transfers(t.transfers(s, d), t.protocol(s, d)))
 )
-register("a07_net_deltas", oracle(["legs"], "SELECT coldkey, CAST(sum(delta) AS BIGINT) AS delta FROM legs WHERE block_number BETWEEN 2000 AND 9000 GROUP BY 1"))(
-    lambda s, d: longs(ledger.net_deltas(legs(s, d), 2000, 9000), "delta")
+register("a07_net_deltas", oracle(["legs"], "SELECT coldkey, CAST(sum(delta) AS BIGINT) AS delta FROM legs, bounds WHERE block_number BETWEEN lo + (hi - lo) // 10 AND hi GROUP BY 1", bounds=BOUNDS))(
+    lambda s, d: (lambda lo, hi: longs(ledger.net_deltas(legs(s, d), lo + (hi - lo) // 10, hi), "delta"))(*block_range(s, d))
 )
 register("a17_balance_fold", oracle(["seeded"], "SELECT coldkey, CAST(sum(delta) AS BIGINT) AS balance_rao FROM seeded GROUP BY 1"))(
     lambda s, d: longs(ledger.fold_balances(legs(s, d, True)), "balance_rao")
@@ -196,9 +205,10 @@ def constraints(s, d):
     return quality.violations(t.transfers(s, d), blocks="block_number >= 0", amounts="amount_rao > 500000", legs="from_coldkey <> to_coldkey")
 
 
-@register("q03_label_uniqueness", oracle(["labels_"], "SELECT coldkey, count(*) AS copies FROM labels_ GROUP BY 1 HAVING count(*) > 1"))
+@register("q03_label_uniqueness", oracle([], "SELECT coldkey, count(*) AS copies FROM listed GROUP BY 1 HAVING count(*) > 1", listed="SELECT 'A' || CAST(s_suppkey % 97 AS VARCHAR) AS coldkey FROM supplier"))
 def label_uniqueness(s, d):
-    return quality.unique_violations(t.labels(s, d), "coldkey")
+    """A list in which suppliers that share an account are named twice."""
+    return quality.unique_violations(t.table(s, d, "supplier").select(t.account(F.pmod("s_suppkey", F.lit(97))).alias("coldkey")), "coldkey")
 
 
 @register("u02_distinct_accounts", oracle(["transfers"], "SELECT from_coldkey AS coldkey FROM transfers UNION SELECT to_coldkey FROM transfers"))
@@ -206,9 +216,15 @@ def accounts(s, d):
     return t.transfers(s, d).select(F.explode(F.array("from_coldkey", "to_coldkey")).alias("coldkey")).distinct()
 
 
-@register("x04_emptied_accounts", oracle(["balances", "labels_"], "SELECT coldkey, exchange, since_ms FROM (SELECT coldkey, arg_max(balance_rao, timestamp_ms) AS b, max(timestamp_ms) AS since_ms FROM balances GROUP BY 1) JOIN labels_ USING (coldkey) WHERE b = 0"))
+_CLOSED = """SELECT coldkey, timestamp_ms, balance_rao FROM balances UNION ALL SELECT coldkey, max(timestamp_ms) + 86400000, 0 FROM balances WHERE length(coldkey) = 2 GROUP BY 1"""
+
+
+@register("x04_emptied_accounts", oracle(["balances", "labels_"], "SELECT coldkey, exchange, since_ms FROM (SELECT coldkey, arg_max(balance_rao, timestamp_ms) AS b, max(timestamp_ms) AS since_ms FROM closed GROUP BY 1) JOIN labels_ USING (coldkey) WHERE b = 0", closed=_CLOSED))
 def emptied(s, d):
-    return ledger.emptied_for_good(balances(s, d), t.labels(s, d))
+    """Of the labelled accounts, those that were closed: accounts with one digit are emptied on the day after their last one."""
+    held = balances(s, d)
+    closing = held.where("length(coldkey) = 2").groupBy("coldkey").agg((F.max("timestamp_ms") + 86_400_000).alias("timestamp_ms")).withColumn("balance_rao", F.lit(0).cast("decimal(38,0)"))
+    return ledger.emptied_for_good(held.unionByName(closing), t.labels(s, d))
 
 
 # --- quality ----------------------------------------------------------------------------------------------------------
@@ -260,7 +276,7 @@ register("u05_changed_blocks", oracle(["transfers"], """SELECT block_number, CAS
 register("d05_decode_plan", oracle(["stamps"], """SELECT block_number, spec_version AS stamped, coalesce(previous, spec_version) AS decode_spec, previous IS NOT NULL AS is_transition, versions > 1 AS is_conflict, false AS goes_back FROM
     (SELECT *, CASE WHEN lag(spec_version) OVER (ORDER BY block_number) <> spec_version THEN lag(spec_version) OVER (ORDER BY block_number) END AS previous FROM canonical) WHERE previous IS NOT NULL OR versions > 1""",
     canonical="SELECT block_number, max(spec_version) AS spec_version, count(DISTINCT spec_version) AS versions FROM stamps GROUP BY 1"))(
-    lambda s, d: chain.decode_plan(t.stamps(s, d))
+    lambda s, d: chain.checked_plan(t.stamps(s, d))
 )
 _GOOD = "block_number % 50 <> 7"
 register("d06_transfers", oracle(["decoded"], f"SELECT block_number, event_index, timestamp_ms, u AS from_coldkey, o AS to_coldkey, amount_rao FROM decoded WHERE k = 0 AND {_GOOD}"))(
@@ -286,48 +302,73 @@ register("x02_staked_accounts", oracle(["decoded"], """SELECT s.timestamp_ms, CA
 
 # --- reconciliation ---------------------------------------------------------------------------------------------------
 
-_TRUE = "SELECT coldkey, w, delta, sum(delta) OVER (PARTITION BY coldkey ORDER BY w ROWS UNBOUNDED PRECEDING) AS total FROM (SELECT coldkey, (block_number - 1) // 2000 AS w, sum(delta) AS delta FROM legs WHERE block_number BETWEEN 1 AND 14000 GROUP BY 1, 2)"
+_TRUE = "SELECT coldkey, w, delta, sum(delta) OVER (PARTITION BY coldkey ORDER BY w ROWS UNBOUNDED PRECEDING) AS total FROM (SELECT coldkey, (block_number - lo) // 2000 AS w, sum(delta) AS delta FROM legs, bounds WHERE block_number < lo + (hi - lo + 1) // 2000 * 2000 GROUP BY 1, 2)"
 _SEEN = "SELECT coldkey, w, delta, total + CASE WHEN (length(coldkey) + w) % 4 = 1 THEN 1 ELSE 0 END AS observed FROM truth"
 
 
+def sizing(s, d):
+    return reconcile.reconciliation_sizing(reconcile.account_touches(t.transfers(s, d), t.balance_events(s, d)), *block_range(s, d), 1000)
+
+
 def observed_windows(s, d):
     from pyspark.sql import Window
 
-    per = legs(s, d).where("block_number between 1 and 14000").groupBy("coldkey", F.floor((F.col("block_number") - 1) / 2000).alias("window_index")).agg(F.sum("delta").alias("delta"))
+    lo, hi = block_range(s, d)
+    per = legs(s, d).where(F.col("block_number") < lo + (hi - lo + 1) // 2000 * 2000).groupBy("coldkey", F.floor((F.col("block_number") - lo) / 2000).alias("window_index")).agg(F.sum("delta").alias("delta"))
     total = F.sum("delta").over(Window.partitionBy("coldkey").orderBy("window_index").rowsBetween(Window.unboundedPreceding, 0))
     off = F.when((F.length("coldkey") + F.col("window_index")) % 4 == 1, 1).otherwise(0)
     return per.select("coldkey", "window_index", (total + off).cast("decimal(38,0)").alias("balance_rao"))
 
 
 def checkpoints(s, d):
-    return reconcile.reconcile_checkpoints(legs(s, d), observed_windows(s, d), 1, 14_999, 2000)
+    return reconcile.reconcile_checkpoints(legs(s, d), observed_windows(s, d), *block_range(s, d), 2000)
+
+
+def half_window(s, d):
+    """The second half of all blocks, against what is observed ten blocks before their end."""
+    (lo, hi), every = block_range(s, d), legs(s, d)
+    middle = (lo + hi) // 2
+    known, none, observed = (ledger.fold_balances(every.where(F.col("block_number") <= x)) for x in (middle, lo - 1, hi - 10))
+    return longs(reconcile.reconcile_window(every, middle + 1, hi, known, none, observed), "baseline", "delta", "expected", "observed")
 
 
 _ROWS = "SELECT w AS window_index, coldkey, coalesce(lag(observed) OVER (PARTITION BY coldkey ORDER BY w), 0) AS baseline, delta, observed FROM seen"
-register("d13_reconcile_checkpoints", oracle(["legs"], "SELECT window_index, coldkey, CAST(baseline AS BIGINT) AS baseline, CAST(delta AS BIGINT) AS delta, CAST(baseline + delta AS BIGINT) AS expected, CAST(observed AS BIGINT) AS observed, baseline + delta = observed AS matches FROM rows_", truth=_TRUE, seen=_SEEN, rows_=_ROWS))(
+register("d13_reconcile_checkpoints", oracle(["legs"], "SELECT window_index, coldkey, CAST(baseline AS BIGINT) AS baseline, CAST(delta AS BIGINT) AS delta, CAST(baseline + delta AS BIGINT) AS expected, CAST(observed AS BIGINT) AS observed, baseline + delta = observed AS matches FROM rows_", bounds=BOUNDS, truth=_TRUE, seen=_SEEN, rows_=_ROWS))(
     lambda s, d: longs(checkpoints(s, d), "baseline", "delta", "expected", "observed")
 )
-register("a21_checkpoint_summary", oracle(["legs"], "SELECT window_index, count(*) AS touched, count(*) FILTER (WHERE baseline + delta <> observed) AS mismatches FROM rows_ GROUP BY 1", truth=_TRUE, seen=_SEEN, rows_=_ROWS))(
+register("a21_checkpoint_summary", oracle(["legs"], "SELECT window_index, count(*) AS touched, count(*) FILTER (WHERE baseline + delta <> observed) AS mismatches FROM rows_ GROUP BY 1", bounds=BOUNDS, truth=_TRUE, seen=_SEEN, rows_=_ROWS))(
     lambda s, d: reconcile.checkpoint_summary(checkpoints(s, d))
 )
 register("d12_reconcile_window", oracle(["legs"], """SELECT d.coldkey, CAST(coalesce(k.b, 0) AS BIGINT) AS baseline, CAST(d.delta AS BIGINT) AS delta, CAST(coalesce(k.b, 0) + d.delta AS BIGINT) AS expected,
-    CAST(coalesce(o.b, 0) AS BIGINT) AS observed, coalesce(k.b, 0) + d.delta = coalesce(o.b, 0) AS matches FROM (SELECT coldkey, sum(delta) AS delta FROM legs WHERE block_number BETWEEN 3001 AND 6000 GROUP BY 1) d
-    LEFT JOIN (SELECT coldkey, sum(delta) AS b FROM legs WHERE block_number <= 3000 GROUP BY 1) k USING (coldkey)
-    LEFT JOIN (SELECT coldkey, sum(delta) AS b FROM legs WHERE block_number <= 5990 GROUP BY 1) o USING (coldkey)"""))(
-    lambda s, d: (lambda x: longs(reconcile.reconcile_window(x, 3001, 6000, ledger.fold_balances(x.where("block_number <= 3000")), ledger.fold_balances(x.where("block_number < 0")), ledger.fold_balances(x.where("block_number <= 5990"))), "baseline", "delta", "expected", "observed"))(legs(s, d))
+    CAST(coalesce(o.b, 0) AS BIGINT) AS observed, coalesce(k.b, 0) + d.delta = coalesce(o.b, 0) AS matches FROM (SELECT coldkey, sum(delta) AS delta FROM legs, bounds WHERE block_number > (lo + hi) // 2 GROUP BY 1) d
+    LEFT JOIN (SELECT coldkey, sum(delta) AS b FROM legs, bounds WHERE block_number <= (lo + hi) // 2 GROUP BY 1) k USING (coldkey)
+    LEFT JOIN (SELECT coldkey, sum(delta) AS b FROM legs, bounds WHERE block_number <= hi - 10 GROUP BY 1) o USING (coldkey)""", bounds=BOUNDS))(
+    lambda s, d: half_window(s, d)
 )
-register("d14_reconciliation_sizing", oracle(["transfers", "balance_events"], """SELECT s.w AS window_index, coalesce(p.n, 0) AS touched, coalesce(f.n, 0) AS new, coalesce(p.n, 0) + coalesce(f.n, 0) + 3 AS calls
-    FROM (SELECT unnest(generate_series(0, 14998 // 1000)) AS w) s LEFT JOIN (SELECT w, count(*) AS n FROM keyed GROUP BY 1) p USING (w)
+register("d14_reconciliation_sizing", oracle(["legs"], """SELECT s.w AS window_index, coalesce(p.n, 0) AS touched, coalesce(f.n, 0) AS new, coalesce(p.n, 0) + coalesce(f.n, 0) + 3 AS calls
+    FROM (SELECT unnest(generate_series(0, (SELECT (hi - lo) // 1000 FROM bounds))) AS w) s LEFT JOIN (SELECT w, count(*) AS n FROM keyed GROUP BY 1) p USING (w)
     LEFT JOIN (SELECT w, count(*) AS n FROM (SELECT coldkey, min(w) AS w FROM keyed GROUP BY 1) GROUP BY 1) f USING (w)""",
     touches="SELECT from_coldkey AS coldkey, block_number FROM transfers UNION ALL SELECT to_coldkey, block_number FROM transfers UNION ALL SELECT coldkey, block_number FROM balance_events",
-    keyed="SELECT DISTINCT coldkey, (block_number - 1) // 1000 AS w FROM touches WHERE block_number BETWEEN 1 AND 14999"))(
-    lambda s, d: reconcile.reconciliation_sizing(reconcile.account_touches(t.transfers(s, d), t.balance_events(s, d)), 1, 14_999, 1000)
+    bounds=BOUNDS, keyed="SELECT DISTINCT coldkey, (block_number - lo) // 1000 AS w FROM touches, bounds"))(
+    lambda s, d: sizing(s, d)
 )
 
 
 # --- registry and streams: run, written to the shared folder and read back ----------------------------------------------
 
 
+_EXPORTED = [
+    ("price_composite_usd_daily", 1, "m02_price_composite_daily"), ("price_composite_usd_weekly", 1, "m03_price_composite_weekly"), ("price_composite_btc_daily", 1, "m05_cross_rate_daily"),
+    ("price_composite_btc_weekly", 1, "m06_cross_rate_weekly"), ("volume_usd_daily", 2, None), ("transfer_count_daily", 3, "m09_transfer_count"), ("transfer_count_protocol_daily", 1, "m10_transfer_count_protocol"),
+    ("wallet_count_free_balance", 2, "m12_wallet_count"), ("wallet_count_dust_filtered", 2, "m13_wallet_count_dust"), ("social_trends_weekly", 1, "m14_trends_series"), ("exchange_balances_daily", 2, "m15_labelled_totals"),
+]
+_OWN = {None: oracle(["candles"], f"SELECT timestamp_ms {D} AS timestamp_ms, sum(quote_volume) AS value FROM candles WHERE exchange = 'O1' AND pair = 'A' GROUP BY 1")}
+#: Each exported metric by its own oracle.
+EXPORTED = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS metric, {version} AS version, timestamp_ms AS \"timestampMs\", coalesce(CAST(value AS DOUBLE), 0.0) AS value FROM ({_OWN.get(q) or ORACLES[q]})" for name, version, q in _EXPORTED
+)
+
+
 def registry_sources(s, d):
     from tidemark.plans.registry import empty
 
@@ -338,7 +379,7 @@ def registry_sources(s, d):
     }
 
 
-@register("d09_registry_export")
+@register("d09_registry_export", EXPORTED)
 def registry_export(s, d):
     """All metrics in dependency order, and what of them is exported, one row per point."""
     from tidemark.plans.metrics import metrics
@@ -402,7 +443,9 @@ def streamed_balances(s, d):
     return longs(kept.groupBy("coldkey").agg(F.max_by("balance_rao", "batch").alias("balance_rao")), "balance_rao")
 
 
-@register("t04_daily_figures")
+@register("t04_daily_figures", """WITH c AS (SELECT l_returnflag AS pair, epoch_ms(l_shipdate) AS timestamp_ms, CAST(round(l_extendedprice * 100) AS BIGINT) AS close FROM lineitem)
+    SELECT timestamp_ms // 86400000 * 86400000 AS timestamp_ms, pair, arg_max(close, (timestamp_ms, close)) AS close, CAST(sum(close) AS BIGINT) AS volume FROM c GROUP BY 1, 2
+    HAVING timestamp_ms // 86400000 * 86400000 + 86400000 <= (SELECT max(timestamp_ms) - 172800000 FROM c)""")
 def streamed_daily_figures(s, d):
     """Closes and volumes of the days that the watermark has passed; the last days stay open."""
     from tidemark.streaming.streams import daily_figures, run_available
@@ -438,6 +481,10 @@ register("p10_window_index", oracle(["transfers"], "SELECT CAST(floor((block_num
 register("u03_account_touches", oracle(["transfers", "balance_events"], "SELECT coldkey, count(*) AS touches FROM (SELECT from_coldkey AS coldkey FROM transfers UNION ALL SELECT to_coldkey FROM transfers UNION ALL SELECT coldkey FROM balance_events) GROUP BY 1"))(
     lambda s, d: reconcile.account_touches(t.transfers(s, d), t.balance_events(s, d)).groupBy("coldkey").agg(F.count("*").alias("touches"))
 )
-register("j13_new_accounts", oracle(["transfers", "balance_events"], "SELECT DISTINCT coldkey FROM balance_events WHERE coldkey NOT IN (SELECT from_coldkey FROM transfers) ORDER BY 1"))(
-    lambda s, d: t.balance_events(s, d).select("coldkey").distinct().join(t.transfers(s, d).select(F.col("from_coldkey").alias("coldkey")).distinct(), "coldkey", "left_anti")
+register("j13_new_accounts", oracle(["transfers", "balance_events"], "SELECT DISTINCT coldkey FROM balance_events WHERE coldkey NOT IN (SELECT to_coldkey FROM transfers)"))(
+    lambda s, d: t.balance_events(s, d).select("coldkey").distinct().join(t.transfers(s, d).select(F.col("to_coldkey").alias("coldkey")).distinct(), "coldkey", "left_anti")
 )
+
+
+# Further queries, which write and read back.
+from tidemark.plans import roundtrips  # noqa: E402, F401

@@ -32,7 +32,7 @@ def metrics(usd: str = "TAOUSD,TAOUSDT", reference: str = "BTCUSD,BTCUSDT", venu
         ),
         Metric("transfer_count_daily", 3, "Transfers between ordinary accounts per day", build=lambda v, p: ledger.daily_count(ledger.user_transfers(v["transfers"], v["pallet_accounts"]))),
         Metric("transfer_count_protocol_daily", 1, "Transfers with a protocol account per day", build=lambda v, p: ledger.daily_count(ledger.protocol_transfers(v["transfers"], v["pallet_accounts"]))),
-        Metric("account_balances_daily", 3, "End-of-day balance of each account with activity", build=lambda v, p: ledger.daily_balances(legs(v)), export=False, shard_by="coldkey"),
+        Metric("account_balances_daily", 3, "End-of-day balance of each account with activity", build=lambda v, p: ledger.daily_balances(v["legs"] if "legs" in v else legs(v)), export=False, shard_by="coldkey", keyed=lambda v: {"legs": legs(v)}),
         Metric("wallet_count_free_balance", 2, "Accounts above zero per day", build=lambda v, p: ledger.holder_counts(v["account_balances_daily"], p["above"]), params={"above": 0}, depends_on=("account_balances_daily",)),
         Metric("wallet_count_dust_filtered", 2, "Accounts above the dust threshold per day", build=lambda v, p: ledger.holder_counts(v["account_balances_daily"], p["above"]), params={"above": dust}, depends_on=("account_balances_daily",)),
         Metric("social_trends_weekly", 1, "One keyword's search interest", sql="SELECT week_start_ms AS timestamp_ms, value FROM google_trends WHERE keyword = :keyword", params={"keyword": keyword}),

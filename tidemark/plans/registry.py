@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import graphlib
 import hashlib
+import inspect
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.sources.schemas import SCHEMAS
 
 Value = str | int | float | bool
+#: Points of the longest series that is exported: days of some 270 years.
+MOST_POINTS = 100_000
 
 
 @dataclass(frozen=True)
@@ -29,6 +34,7 @@ class Metric:
     changelog: tuple[str, ...] = ()
     export: bool = True
     shard_by: str | None = None
+    keyed: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None  # sources that have the shard key, for sharded runs
 
     def __post_init__(self):
         if not self.name.isidentifier():
@@ -65,7 +71,10 @@ def evaluate(spark: SparkSession, metric: Metric, views: dict[str, DataFrame]) -
 
 
 def materialise(spark: SparkSession, metrics: list[Metric], sources: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Run all metrics into folder/<name>, with columns metric and version; each result is read back for those after it."""
+    """Run all metrics into folder/<name>, with columns metric and version; each result is read back for those after it.
+
+    `row_counts` says how many rows each of the tables has, from their files' footers.
+    """
     views = dict(sources)
     done: dict[str, DataFrame] = {}
     for m in ordered(metrics):
@@ -76,14 +85,23 @@ def materialise(spark: SparkSession, metrics: list[Metric], sources: dict[str, D
     return done
 
 
+def row_counts(done: dict[str, DataFrame]) -> DataFrame:
+    """(metric, rows) of written metrics."""
+    spark = next(iter(done.values())).sparkSession
+    return spark.createDataFrame([(name, df.count()) for name, df in done.items()], "metric string, rows long")
+
+
 def export(done: dict[str, DataFrame], metrics: list[Metric]) -> DataFrame:
     """One row per exportable metric in run order: (position, metric, version, points), points sorted by time.
 
-    NULL values are exported as 0. Series are days or weeks long; minute series are not exportable.
+    NULL values are exported as 0. Series are days or weeks long: one of more than MOST_POINTS points, such as a minute
+    series, is refused, as each series is one row.
     """
     rows = None
     for n, m in enumerate(x for x in ordered(metrics) if x.export):
         points = F.sort_array(F.collect_list(F.struct(F.col("timestamp_ms").alias("timestampMs"), F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"))))
+        if done[m.name].count() > MOST_POINTS:
+            raise ValueError(f"{m.name} has too many points to be exported")
         one = done[m.name].agg(points.alias("points")).select(F.lit(n).alias("position"), F.lit(m.name).alias("metric"), F.lit(m.version).alias("version"), "points")
         rows = one if rows is None else rows.unionByName(one)
     if rows is None:
@@ -100,30 +118,55 @@ def write_export(rows: DataFrame, path: str) -> None:
 def materialise_sharded(spark: SparkSession, metric: Metric, sources: dict[str, DataFrame], folder: str, buckets: int, only: list[int] | None = None) -> DataFrame:
     """A shard_by metric, bucket by bucket, so that a stopped run goes on where it was.
 
-    Each finished bucket is noted in a manifest with a fingerprint of the metric and its inputs; buckets with a valid
-    note are not run again. Sources that have the key column are narrowed to the bucket; the result equals one pass.
+    The sources that have the key column (`keyed` makes them, where the metric has it) are cut into buckets once; a
+    bucket then reads its own partition. Each finished bucket is noted in a manifest with a fingerprint of the metric,
+    the code that builds it and its inputs. A bucket is skipped only if it has a valid note and its part is there; the
+    result equals one pass.
     """
     if metric.shard_by is None:
         raise ValueError(f"{metric.name} has no shard_by")
     key, base = metric.shard_by, f"{folder.rstrip('/')}/{metric.name}"
-    bucket = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(buckets)).cast("int")
     inputs = [tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("*"))).first()) for _, df in sorted(sources.items())]
-    parts = (metric.name, metric.version, metric.sql, sorted(metric.params.items()), buckets, sorted(sources), inputs)
+    code = [code_of(f) for f in (metric.build, metric.keyed)]
+    parts = (metric.name, metric.version, metric.sql, code, sorted(metric.params.items()), buckets, sorted(sources), inputs)
     fingerprint = hashlib.sha256(repr(parts).encode()).hexdigest()
     schema = "bucket int, fingerprint string"
+    noted = {r["bucket"] for r in (found_or_none(spark, f"{base}.manifest", schema) or spark.createDataFrame([], schema)).where(F.col("fingerprint") == fingerprint).collect()}
+    wanted = [b for b in (range(buckets) if only is None else only) if b not in noted or found_or_none(spark, f"{base}/bucket={b}") is None]
+    if wanted:
+        own = metric.keyed(sources) if metric.keyed else sources
+        cut: dict[str, DataFrame] = {}
+        for name, df in own.items():
+            if key in df.columns:
+                path = f"{base}.shards/{fingerprint[:16]}/{name}"
+                if found_or_none(spark, f"{path}/_SUCCESS", "value string", "text") is None:
+                    df.withColumn("_bucket", bucket).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
+                cut[name] = spark.read.schema(StructType([*df.schema.fields, StructField("_bucket", IntegerType())])).parquet(path)
+        for b in wanted:
+            views = own | {name: df.where(F.col("_bucket") == b).drop("_bucket") for name, df in cut.items()}
+            evaluate(spark, metric, views).where(bucket == b).write.mode("overwrite").parquet(f"{base}/bucket={b}")
+            spark.createDataFrame([(b, fingerprint)], schema).write.mode("append").parquet(f"{base}.manifest")
+    return spark.read.parquet(base).drop("bucket")
+
+
+def code_of(f: Callable | None) -> str:
+    """What a function does, as text: its own code and that of the functions it holds on to, wherever they are."""
+    if f is None:
+        return ""
+    inner = [c.cell_contents for c in f.__closure__ or ()]
+    consts = [c.co_code.hex() if hasattr(c, "co_code") else repr(c) for c in f.__code__.co_consts]
+    return repr((f.__code__.co_code.hex(), f.__code__.co_names, consts, [code_of(x) if inspect.isfunction(x) else repr(x) for x in inner]))
+
+
+def found_or_none(spark: SparkSession, path: str, schema: str | None = None, kind: str = "parquet") -> DataFrame | None:
+    """A table, or None where nothing was written."""
     try:
-        finished = {r["bucket"] for r in spark.read.schema(schema).parquet(f"{base}.manifest").where(F.col("fingerprint") == fingerprint).collect()}
-    except Exception as error:
+        return (spark.read.schema(schema) if schema else spark.read).format(kind).load(path)
+    except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        finished = set()
-    for b in range(buckets) if only is None else only:
-        if b in finished:
-            continue
-        own = {n: df.where(bucket == b) if key in df.columns else df for n, df in sources.items()}
-        evaluate(spark, metric, own).where(bucket == b).write.mode("overwrite").parquet(f"{base}/bucket={b}")
-        spark.createDataFrame([(b, fingerprint)], schema).write.mode("append").parquet(f"{base}.manifest")
-    return spark.read.parquet(base).drop("bucket")
+        return None
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:

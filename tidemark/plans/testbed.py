@@ -37,38 +37,38 @@ def ticks(spark, sf_dir):
     )
 
 
-def _account(key):
+def account(key):
     return F.concat(F.lit("A"), key.cast("string"))
 
 
 def transfers(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("block_number"), F.col("l_linenumber").cast("int").alias("event_index"), millis("l_shipdate").alias("timestamp_ms"),
-        _account(F.pmod("l_suppkey", F.lit(97))).alias("from_coldkey"), _account(F.pmod("l_partkey", F.lit(89))).alias("to_coldkey"), cents("l_extendedprice").cast(RAO).alias("amount_rao"),
+        account(F.pmod("l_suppkey", F.lit(97))).alias("from_coldkey"), account(F.pmod("l_partkey", F.lit(89))).alias("to_coldkey"), cents("l_extendedprice").cast(RAO).alias("amount_rao"),
     )
 
 
 def balance_events(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("block_number"), F.lit(0).alias("event_index"), millis("o_orderdate").alias("timestamp_ms"),
-        F.when(F.col("o_orderstatus") == "O", "deposit").otherwise("withdraw").alias("kind"), _account(F.pmod("o_custkey", F.lit(97))).alias("coldkey"), cents("o_totalprice").cast(RAO).alias("amount_rao"),
+        F.when(F.col("o_orderstatus") == "O", "deposit").otherwise("withdraw").alias("kind"), account(F.pmod("o_custkey", F.lit(97))).alias("coldkey"), cents("o_totalprice").cast(RAO).alias("amount_rao"),
     )
 
 
 def account_snapshots(spark, sf_dir):
-    per = table(spark, sf_dir, "customer").groupBy(_account(F.pmod("c_custkey", F.lit(97))).alias("coldkey")).agg(F.sum(cents("c_acctbal")).cast(RAO).alias("free_rao"))
+    per = table(spark, sf_dir, "customer").groupBy(account(F.pmod("c_custkey", F.lit(97))).alias("coldkey")).agg(F.sum(cents("c_acctbal")).cast(RAO).alias("free_rao"))
     start = table(spark, sf_dir, "orders").agg(F.min(millis("o_orderdate")).alias("timestamp_ms"))
     return per.crossJoin(start).select(F.lit(0).cast("long").alias("block_number"), "timestamp_ms", "coldkey", "free_rao", F.lit(0).cast(RAO).alias("reserved_rao"))
 
 
 def protocol(spark, sf_dir):
     asia = table(spark, sf_dir, "region").where("r_name = 'ASIA'").join(table(spark, sf_dir, "nation"), F.col("r_regionkey") == F.col("n_regionkey"))
-    return table(spark, sf_dir, "supplier").join(asia, F.col("s_nationkey") == F.col("n_nationkey")).select(_account(F.pmod("s_suppkey", F.lit(97))).alias("coldkey")).distinct().where("length(coldkey) = 2")
+    return table(spark, sf_dir, "supplier").join(asia, F.col("s_nationkey") == F.col("n_nationkey")).select(account(F.pmod("s_suppkey", F.lit(97))).alias("coldkey")).distinct().where("length(coldkey) = 2")
 
 
 def labels(spark, sf_dir):
     named = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return named.where("s_suppkey <= 10").select(_account(F.col("s_suppkey")).alias("coldkey"), F.col("n_name").alias("exchange"))
+    return named.where("s_suppkey <= 10").select(account(F.col("s_suppkey")).alias("coldkey"), F.col("n_name").alias("exchange"))
 
 
 def trends(spark, sf_dir):
@@ -132,7 +132,7 @@ SQL = {
         UNION ALL SELECT to_coldkey, block_number, timestamp_ms, amount_rao FROM transfers
         UNION ALL SELECT coldkey, block_number, timestamp_ms, CASE WHEN kind = 'deposit' THEN amount_rao ELSE -amount_rao END FROM balance_events""",
     "seeded": """SELECT * FROM legs UNION ALL SELECT coldkey, block_number, timestamp_ms, free_rao + reserved_rao FROM account_snapshots
-        WHERE block_number = 0 AND timestamp_ms IS NOT NULL AND free_rao + reserved_rao > 0""",
+        WHERE block_number = 0 AND timestamp_ms IS NOT NULL AND free_rao + reserved_rao <> 0""",
     "balances": """SELECT coldkey, ts AS timestamp_ms, sum(d) OVER (PARTITION BY coldkey ORDER BY ts ROWS UNBOUNDED PRECEDING) AS balance_rao
         FROM (SELECT coldkey, timestamp_ms // 86400000 * 86400000 AS ts, sum(delta) AS d FROM seeded GROUP BY 1, 2)""",
     "usd": """SELECT timestamp_ms, sum(close * base_volume)::DOUBLE / sum(base_volume)::DOUBLE AS value FROM candles

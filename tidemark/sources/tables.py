@@ -42,12 +42,6 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMAS["exchange_labels"]).option("multiLine", True).json(path)
 
 
-def publish(name: str, df: DataFrame) -> DataFrame:
-    """df as a temporary view, for SQL that names it."""
-    df.createOrReplaceTempView(name)
-    return df
-
-
 def write_sorted(df: DataFrame, path: str, *order: str) -> None:
     """Overwrite a table, compressed and sorted within its files."""
     df.sortWithinPartitions(*order).write.mode("overwrite").option("compression", "zstd").parquet(path)
@@ -68,6 +62,12 @@ def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
     df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def write_ranges(df: DataFrame, path: str, number: str, size: int, name: str = "first") -> None:
+    """Raw rows into one partition for each range of `size` numbers, named by the range's first one: a rerun replaces it."""
+    first = (F.floor(F.col(number) / size) * size).cast("long")
+    overwrite_partitions(df.withColumn(name, first), path, name)
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Whether two tables hold the same rows, equally often."""
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
@@ -102,7 +102,7 @@ def upsert_candles(new: DataFrame, path: str) -> None:
     keyed = new.withColumn("month", month_key("timestamp_ms"))
     old = _partitioned(spark, path)
     touched = keyed.select("exchange", "pair", "month").distinct()
-    merged = latest_by_key(old.join(F.broadcast(touched), ["exchange", "pair", "month"], "left_semi").select(*keyed.columns), keyed, ["exchange", "pair", "timestamp_ms"])
+    merged = latest_by_key(old.join(touched, ["exchange", "pair", "month"], "left_semi").select(*keyed.columns), keyed, ["exchange", "pair", "timestamp_ms"])
     staged = f"{path.rstrip('/')}.staged"
     merged.write.mode("overwrite").parquet(staged)
     overwrite_partitions(spark.read.schema(merged.schema).parquet(staged).sortWithinPartitions("timestamp_ms"), path, "exchange", "pair", "month")
