@@ -77,6 +77,13 @@ def test_merkle_edits(docs):
     assert all(len(x) == 1 for x in prints.values())
 
 
+def test_merkle_weighs_long_runs_whole(spark):
+    """A run of 9,000 spaces has all its length: spans are cut before their length field ends."""
+    texts = ["abc" + " " * 9_000 + ".x", "abc" + " " * 9_000 + ".y"]
+    found = merkle.edits(table(spark, [(k, t, "a") for k, t in enumerate(texts)])).collect()
+    assert all(0.2 < r.near_next < 1 for r in found)
+
+
 def test_merkle_locates_edits(spark):
     lines = [f"paragraph {k} says {' '.join(words(12, k))}." for k in range(30)]
     changed = lines[:20] + ["something else."] + lines[21:]
@@ -272,6 +279,13 @@ def test_simhash(docs):
     assert found == Counter(brute_simhash(rows))
 
 
+def test_simhash_rows_without_id_link_others(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 0), (None, 0b1111), (3, 0b11111111), (None, 0xFFFFFF << 30)], "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: df)
+    found = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(df).collect()}
+    assert found == {(1, 1), (None, 1), (3, 1), (None, None)}
+
+
 def test_simhash_large_groups_meet_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", 8)
     base = words(400, 9)
@@ -306,6 +320,45 @@ def test_toxicity_learns(spark):
     assert right / len(held) > 0.95 and all(0 <= r.score <= 1 for r in out) and len(out) == 602
 
 
+def test_toxicity_against_plain_numpy(spark):
+    """n-grams, ratios, choice of features and regression by their definitions, without Spark."""
+    rnd = random.Random(8)
+    rows = [(i, " ".join(words(rnd.randrange(4, 12), i, 40) + (["vile", "rotten"] if i % 4 == 0 and i % 12 else [])), "a") for i in range(160)]
+    labels = [(i, 0, int(i % 4 == 0)) for i in range(160)]
+
+    def grams(t):
+        x, found = (" " + t.lower() + " ").encode(), set()
+        for size in (3, 4, 5):
+            for k in range(len(x) - size + 1):
+                h = size
+                for byte in x[k : k + size]:
+                    h = (h * 0x01000193 & 0xFFFFFFFF) ^ byte
+                h ^= h >> 15
+                found.add((h * 0x2C1B3C6D & 0xFFFFFFFF) >> 12)
+        return found
+
+    train = [(grams(t), y) for (i, t, _), (_, _, y) in zip(rows, labels) if zlib.crc32(str(i).encode()) % 4 != 2]
+    toxic, clean = sum(y for _, y in train), sum(1 - y for _, y in train)
+    seen = {g: (sum(g in x for x, y in train if y), sum(g in x for x, y in train if not y)) for g in set().union(*[x for x, _ in train])}
+    p, q = ({g: (c[k] + 1) / (n + 2) for g, c in seen.items()} for k, n in ((0, toxic), (1, clean)))
+    pooled = {g: (sum(c) + 1) / (toxic + clean + 2) for g, c in seen.items()}
+    gain = {g: (p[g] - q[g]) ** 2 / (pooled[g] * (1 - pooled[g]) + 1e-9) for g in seen}
+    best = sorted(seen, key=lambda g: (-gain[g], g))[: toxicity.FEATURES]
+    ratio = np.array([math.log(p[g] / q[g]) for g in best])
+    x = np.array([[float(g in of) for g in best] for of, _ in train]) * ratio
+    y, w, b = np.array([y for _, y in train]), np.zeros(len(best)), 0.0
+    for _ in range(30):  # Newton's method in the span of the rows and the intercept
+        z = 1 / (1 + np.exp(-(x @ w + b)))
+        a = np.column_stack([x, np.ones(len(x))])
+        gradient = a.T @ (z - y) / len(y) + np.append(2e-3 * w, 0)
+        hessian = (a.T * (z * (1 - z))) @ a / len(y) + np.diag(np.append(np.full(len(w), 2e-3), 1e-9))
+        step = np.linalg.solve(hessian, gradient)
+        w, b = w - step[:-1], b - step[-1]
+    want = {i: 1 / (1 + math.exp(-(b + sum(w[k] * ratio[k] for k, g in enumerate(best) if g in grams(t))))) for i, t, _ in rows}
+    found = toxicity.scores(table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rounds=300).collect()
+    assert max(abs(r.score - want[r.doc_id]) for r in found) < 0.03
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.scores(table(spark, awkward()), labels).collect()} == {0.5}
@@ -362,24 +415,24 @@ def test_mixing_uneven_sources(spark):
 
 
 def brute_lines(rows, divisor=2):
-    """Chunks by the definition, row by row."""
+    """Chunks of all phases by the definition, row by row."""
     first: dict = {}
     parts = []
     for i, t, _ in rows:
         lines = (t or "").split("\n")
         h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        rolled = [1] + [(h[k] + 31 * h[k - 1]) % divisor for k in range(1, len(h))]
-        ends = [k + 1 for k in range(len(h)) if k == len(h) - 1 or rolled[k] == 0 and (k == 0 or rolled[k - 1] != 0)]
-        chunks = [("\n".join(lines[a:b]), b - a) for a, b in zip([0, *ends], ends)]
-        parts.append((i, (t or ""), chunks))
-        for k, (body, n) in enumerate(chunks):
-            if n > 1 and i is not None:
-                place = (i, xxhash_signed(t or ""), k)
-                first[body] = min(first.get(body, place), place)
-    for i, t, chunks in parts:
-        kept = [(b, n) for k, (b, n) in enumerate(chunks) if i is None or n < 2 or first[b] >= (i, xxhash_signed(t), k)]
-        total = sum(n for _, n in chunks)
-        yield i, total, total - sum(n for _, n in kept), hashlib.sha256("\n".join(b for b, _ in kept).encode()).hexdigest()
+        rolled = [-1] + [(h[k] + 31 * h[k - 1]) // 65_536 % divisor for k in range(1, len(h))]
+        chunks = set()
+        for phase in range(divisor):
+            ends = [k + 1 for k in range(len(h)) if k == len(h) - 1 or rolled[k] == phase]
+            chunks |= {(s, e) for a, b in zip([0, *ends], ends) for s, e in ((a, b), (a + 1, b), (a, b - 1)) if e - s > 1}
+        parts.append((i, (t or ""), lines, chunks))
+        for a, b in chunks if i is not None else ():
+            body, place = "\n".join(lines[a:b]), (i, xxhash_signed(t or ""), a, b)
+            first[body] = min(first.get(body, place), place)
+    for i, t, lines, chunks in parts:
+        gone = {k for a, b in chunks if i is not None and first["\n".join(lines[a:b])] < (i, xxhash_signed(t), a, b) for k in range(a, b)}
+        yield i, len(lines), len(gone), hashlib.sha256("\n".join(x for k, x in enumerate(lines) if k not in gone).encode()).hexdigest()
 
 
 def xxhash_signed(t):
@@ -400,6 +453,21 @@ def test_lines_find_back_behind_an_edit(spark):
     assert Counter((r[0], r[2]) for r in brute_lines(rows)) == Counter((i, r.n_removed) for i, r in found.items())
 
 
+def test_lines_recall_of_planted_passages(spark):
+    """Passages of 2 to 6 lines between other lines: most of their lines go; whole copies go altogether."""
+    fresh = iter(range(100_000))
+    line = lambda: " ".join(words(9, next(fresh), 50_000))
+    passages = [[line() for _ in range(2 + k % 5)] for k in range(150)]
+    texts = [["\n".join([line(), line(), *p, line(), line()]) for p in passages] for _ in range(2)]
+    rows = [(k, t, "a") for k, t in enumerate(texts[0] + texts[1])] + [(1_000 + k, t, "a") for k, t in enumerate(texts[0])]
+    found = {r.doc_id: r.n_removed for r in linechunks.remove_repeated_lines(table(spark, rows)).collect()}
+    planted = sum(map(len, passages))
+    assert all(found[k] == 0 for k in range(150)) and all(found[1_000 + k] == len(p) + 4 for k, p in enumerate(passages))
+    gone = sum(found[150 + k] for k in range(150))
+    long_ = [k for k, p in enumerate(passages) if len(p) == 6]
+    assert 0.4 * planted < gone <= planted and sum(found[150 + k] for k in long_) > 0.55 * 6 * len(long_)
+
+
 PAGES = "page_id long, url string, html string, last long, payload string"
 
 
@@ -451,10 +519,25 @@ def test_top_k(spark):
     assert topk.top_k(df.where("vec_id in (0, 7)")).count() == 1
 
 
+def test_top_k_of_large_values(spark):
+    vectors = [[1e6 + i, 3e6 - 7 * i, 2e6] for i in range(60)]
+    found = topk.top_k(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>"), k=3)
+    m = [[int(256 * x) for x in v] for v in vectors]
+    want = set()
+    for q in (0, 50):
+        s = sorted(((sum(a * b for a, b in zip(m[q], m[i])), i) for i in range(60) if i != q), key=lambda x: (-x[0], x[1]))[:3]
+        want |= {(q, n, i, x) for n, (x, i) in enumerate(s, 1)}
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()} == want
+    with pytest.raises(OverflowError):
+        topk.top_k(spark.createDataFrame([(0, [1e9])], "vec_id long, embedding array<double>"))
+
+
 def test_top_k_prunes():
     rng = np.random.default_rng(1)
     near, far = rng.integers(900, 1000, (256, 8)).astype(float), rng.integers(0, 10, (256 * 9, 8)).astype(float)
     matrix, ids = np.concatenate([far, near]), np.arange(256 * 10)
-    found = topk.best_in_range(np.array([-1]), near[:1], ids, matrix, 3)
+    visited: list = []
+    found = topk.best_in_range(np.array([-1]), near[:1], ids, matrix, 3, visited=visited)
+    assert sum(visited) == 1  # of ten blocks
     scores = matrix @ near[0]
     assert [f[1] for f in found] == sorted(range(len(ids)), key=lambda i: (-scores[i], i))[:3]

@@ -1,9 +1,11 @@
 """Line dedup by content-defined chunks of lines, in DataFrame functions only.
 
-A line's hash is a number from its digest; a rolling hash over the last two line hashes cuts a document after a line
-where it is even and did not cut just before. Borders depend on two lines only, so a passage that moves finds back to
-the same borders, and all chunks but the ends of a document have two lines or more. Chunks that occur more than once are
-compared byte by byte, and all but the first are removed.
+A line's hash is a number from its digest; the rolling hash of a line covers it and the line before. Its value modulo the
+divisor is the line's phase, and every phase gives a chunking of its own: a document is cut after each line that has the
+phase. Borders depend on two lines only, so a passage that moves finds back to the same borders; the chunkings' borders
+differ, and each chunk also counts without its first and without its last line, so that a passage loses little at its
+ends. Chunks of two lines or more that occur again are compared byte by byte, and the lines of all but the first are
+removed.
 """
 
 from __future__ import annotations
@@ -11,89 +13,92 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed value: the multiplier of the rolling hash.
-STEP = 31
+#: The multiplier of the rolling hash, and the bits below those that decide the phase.
+STEP, LOW = 31, 65_536
+#: Places of a chunk that meet its first one in one task.
+SHARE = 1_024
 
 
-def chunks_of(df: DataFrame, text: str, divisor: int = 2) -> DataFrame:
-    """df with `chunks`, an array of (body, lines): a non-null text cut at content-defined borders; joined by newlines they give the text."""
-    df = df.withColumn("_lines", F.split(F.col(text), "\n"))
-    number = F.transform("_lines", lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
-    df = df.withColumn("_hashes", number)
-    rolled = F.transform(
-        "_hashes", lambda h, i: F.when(i == 0, 1).otherwise((h + F.get("_hashes", i - 1) * STEP) % divisor)
-    )
+def with_chunks(df: DataFrame, text: str, divisor: int = 2) -> DataFrame:
+    """df with `lines` and `chunks`, an array of (s, e): lines s to e - 1, two or more, of the chunkings of a non-null text."""
+    df = df.withColumn("lines", F.split(F.col(text), "\n"))
+    df = df.withColumn("_hashes", F.transform("lines", lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")))
+    rolled = F.transform("_hashes", lambda h, i: F.when(i == 0, -1).otherwise(F.floor((h + F.get("_hashes", i - 1) * STEP) / LOW) % divisor))
     df = df.withColumn("_rolled", rolled)
-    n = F.size("_lines")
-    cuts = F.filter(
-        F.sequence(F.lit(1), n),
-        lambda e: (e == n) | ((F.get("_rolled", e - 1) == 0) & (F.coalesce(F.get("_rolled", e - 2), F.lit(1)) != 0)),
-    )
-    df = df.withColumn("_cuts", cuts)
-    start = lambda k: F.when(k == 0, 0).otherwise(F.get("_cuts", k - 1))
-    chunks = F.transform(
-        "_cuts",
-        lambda e, k: F.struct(F.array_join(F.slice("_lines", start(k) + 1, e - start(k)), "\n").alias("body"), (e - start(k)).alias("lines")),
-    )
-    return df.withColumn("chunks", chunks).drop("_lines", "_hashes", "_rolled", "_cuts")
+    found = []
+    for phase in range(divisor):
+        df = df.withColumn(f"_cuts{phase}", _cuts(phase))
+        found.append(_between(F.col(f"_cuts{phase}")))
+    chunks = F.transform(F.array_distinct(F.concat(*found)), lambda c: F.struct(F.shiftright(c, 32).cast("int").alias("s"), c.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("e")))
+    return df.withColumn("chunks", chunks).drop("_hashes", "_rolled", *[f"_cuts{phase}" for phase in range(divisor)])
 
 
-def _numbered(keyed: DataFrame, digest: bool) -> DataFrame:
-    """One row for each chunk of two lines or more: key, chunk number and either the digest or the body."""
-    kept = F.filter(
-        F.transform("chunks", lambda c, k: F.struct(k.alias("k"), c["lines"].alias("lines"), (F.xxhash64(c["body"]) if digest else c["body"]).alias("v"))),
-        lambda c: c["lines"] > 1,
-    )
-    return keyed.select("doc_id", "tag", F.explode(kept).alias("c")).select("doc_id", "tag", F.col("c.k").alias("k"), F.col("c.v").alias("v"))
+def _cuts(phase: int) -> Column:
+    """How many lines stand before each border of a phase; the last border is the text's end."""
+    n = F.size("lines")
+    return F.filter(F.sequence(F.lit(1), n), lambda e: (e == n) | (F.get("_rolled", e - 1) == phase))
+
 
+def _between(cuts: Column) -> Column:
+    """Stretches between borders, whole, without the first and without the last line, of two lines or more: s and e in one number."""
+    number = lambda s, e: F.when(e - s > 1, F.shiftleft(s.cast("long"), 32).bitwiseOR(e.cast("long")))
+    start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get(cuts, k - 1))
+    found = F.flatten(F.transform(cuts, lambda e, k: F.array(number(start(k), e), number(start(k) + 1, e), number(start(k), e - 1))))
+    return F.filter(found, lambda c: c.isNotNull())
 
-def removed_chunks(docs: DataFrame, divisor: int) -> tuple[DataFrame, DataFrame]:
-    """(keyed documents, (doc_id, gone: array of tag and chunk number)): which chunks an earlier place holds already.
 
-    Only the 64-bit hashes of all chunks are counted. The bodies of those that occur again are then grouped and joined
-    by their bytes. Both groupings combine before they shuffle, and adaptive execution may split the joins' hot chunks.
+def body_of(s: Column, e: Column) -> Column:
+    return F.array_join(F.slice("lines", s + 1, e - s), "\n")
+
+
+def removed_chunks(docs: DataFrame, divisor: int) -> DataFrame:
+    """(doc_id, tag, gone: array of (s, e)): chunks that an earlier place holds already, of (doc_id, text).
+
+    Only 64-bit hashes of all chunks are counted; a chunk's places are counted in shares by document, so that a very
+    frequent one is spread. The bodies of those that occur again are then compared with the first place of the same
+    bytes, each SHARE of them in a task of its own.
     """
     keyed = docs.withColumn("tag", F.xxhash64("text"))
-    hashes = _numbered(chunks_of(keyed, "text", divisor), True)
-    again = hashes.groupBy("v").agg(F.count("*").alias("n")).where("n > 1").select("v")
-    places = hashes.join(again, "v").groupBy("doc_id").agg(F.collect_set(F.struct("tag", "k")).alias("maybe"))
-    bodies = keyed.join(places, "doc_id").withColumn("maybe", F.filter("maybe", lambda m: m["tag"] == F.col("tag")))
-    bodies = _numbered(
-        chunks_of(bodies, "text", divisor).withColumn(
-            "chunks", F.transform("chunks", lambda c, k: F.struct(c["body"].alias("body"), F.when(F.exists("maybe", lambda m: m["k"] == k), c["lines"]).otherwise(0).alias("lines")))
-        ),
-        False,
-    )
-    first = bodies.groupBy("v").agg(F.min(F.struct("doc_id", "tag", "k")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = bodies.join(first, "v").where(F.struct("doc_id", "tag", "k") > F.col("first"))
-    return keyed, later.groupBy("doc_id").agg(F.collect_set(F.struct("tag", "k")).alias("gone"))
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = F.transform("chunks", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.xxhash64(body_of(c["s"], c["e"])).alias("v")))
+    hashes = with_chunks(keyed, "text", divisor).select("doc_id", "tag", F.explode(hashed).alias("c")).select("doc_id", "tag", "c.s", "c.e", "c.v")
+    hashes = hashes.withColumn("share", F.pmod(F.xxhash64("doc_id", "tag"), F.lit(shares)))
+    counts = hashes.groupBy("v", "share").agg(F.count("*").alias("own"))
+    again = counts.groupBy("v").agg(F.sum("own").alias("n"), F.collect_set("share").alias("of")).where("n > 1").select("v", "n", F.explode("of").alias("share"))
+    places = hashes.join(again, ["v", "share"]).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("s", "e", "n")).alias("maybe"))
+    bodies = keyed.join(places, ["doc_id", "tag"]).withColumn("lines", F.split("text", "\n"))
+    bodies = bodies.select("doc_id", "tag", F.explode(F.transform("maybe", lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e"), m["n"].alias("n"), body_of(m["s"], m["e"]).alias("body")))).alias("c"))
+    place = F.struct("doc_id", "tag", "s", "e")
+    bodies = bodies.select("doc_id", "tag", "c.s", "c.e", "c.body", F.xxhash64("c.body").alias("v"), F.ceil(F.col("c.n") / SHARE).cast("int").alias("parts"))
+    first = bodies.groupBy("v", "body").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.max("parts").alias("parts")).where("n > 1")
+    first = first.select("v", F.col("body").alias("first_body"), "first", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    own = bodies.withColumn("part", F.pmod(F.xxhash64("doc_id", "tag", "s"), F.col("parts")).cast("int"))
+    later = own.join(first, ["v", "part"]).where((F.col("body") == F.col("first_body")) & (place > F.col("first")))
+    return later.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("s", "e")).alias("gone"))
 
 
 def remove_repeated_lines(df: DataFrame, divisor: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with kept_text, n_lines and n_removed: the text without chunks of two lines or more that stand earlier in the corpus.
+    """df with kept_text, n_lines and n_removed: the text without lines of chunks that stand earlier in the corpus.
 
-    Places are ordered by doc_id, then by place in the document; the first of equal chunks stays. A chunk of one line,
-    as at a document's end, is never removed, and a text from which nothing is removed comes back as it is. Null texts
-    are read as empty and have one empty line. Rows that repeat a doc_id are ordered by a hash of their text; equal rows
-    lose the same chunks, and none if no other row has them. Rows with a null doc_id keep everything. All other columns
-    stay as they are.
+    Places are ordered by doc_id, then by line; the first of equal chunks stays, unless its lines are repeats in turn, of
+    a still earlier place. A text of one line loses nothing, and a text from which nothing is removed comes back as it
+    is. Null texts are read as empty and have one empty line. Rows that repeat a doc_id are ordered by a hash of their
+    text; equal rows lose the same chunks, and none if no other row has them. Rows with a null doc_id keep everything.
+    All other columns stay as they are. Time and memory grow with a text's lines in proportion.
     """
     body = lambda column: F.coalesce(column, F.lit(""))
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), body(F.col(text)).alias("text")).where("doc_id is not null")
-    _, gone = removed_chunks(docs, divisor)
     # The row passes the exchange once; its text is taken out of it again behind the join.
-    own = df.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("doc_id"))
-    whole = own.join(gone, "doc_id", "left").withColumn("text", body(F.col("_row").getField(text))).withColumn("tag", F.xxhash64("text"))
-    whole = whole.withColumn("gone", F.transform(F.filter(F.coalesce("gone", F.array()), lambda g: g["tag"] == F.col("tag")), lambda g: g["k"]))
-    cut = chunks_of(whole, "text", divisor)
-    kept = F.filter("chunks", lambda c, k: ~F.array_contains("gone", k))
-    lines = F.aggregate("chunks", F.lit(0).cast("long"), lambda s, c: s + c["lines"])
-    left = F.aggregate("_kept", F.lit(0).cast("long"), lambda s, c: s + c["lines"])
+    own = df.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body(F.col(text))).alias("tag"))
+    whole = own.join(removed_chunks(docs, divisor), ["doc_id", "tag"], "left").withColumn("lines", F.split(body(F.col("_row").getField(text)), "\n"))
+    removed = F.array_distinct(F.flatten(F.transform("gone", lambda g: F.sequence(g["s"], g["e"] - 1))))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("_removed", F.array().cast("array<int>")))
     return (
-        cut.withColumn("_kept", kept)
-        .withColumn("n_lines", lines)
-        .withColumn("n_removed", F.col("n_lines") - left)
-        .withColumn("kept_text", F.array_join(F.transform("_kept", lambda c: c["body"]), "\n"))
+        whole.withColumn("_removed", removed)
+        .withColumn("_left", left)
+        .withColumn("n_lines", F.size("lines").cast("long"))
+        .withColumn("n_removed", F.col("n_lines") - F.size("_left"))
+        .withColumn("kept_text", F.array_join(F.transform("_left", lambda i: F.get("lines", i)), "\n"))
         .select("_row.*", "kept_text", "n_lines", "n_removed")
     )
 

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Fixed value: a span ends with a run of these marks and the spaces behind it, or after 64 characters.
-SPAN = r"[^.,;:!?]{1,64}[.,;:!?]*[ ]*|[.,;:!?]+[ ]*"
+#: Fixed value: a span ends with a run of these marks and the spaces behind it, or after 64 characters of each kind.
+SPAN = r"[^.,;:!?]{1,64}[.,;:!?]{0,64}[ ]{0,64}|[.,;:!?]{1,64}[ ]{0,64}"
 #: Documents in a block of neighbours, and the most blocks that are dealt.
 BLOCK_ROWS, MOST_BLOCKS = 64, 2_048
 
@@ -28,9 +28,9 @@ def with_tree(df: DataFrame, text: str, prefix: str) -> DataFrame:
     joined = F.array_join(F.transform(paragraphs, lambda d: F.when(d.rlike(r"^[0-3]|\|$"), F.concat(F.rtrim(d, F.lit("|")), F.lit("|"))).otherwise(d)), "")
     groups = F.filter(F.split(joined, r"\|"), lambda g: g != "")
     df = df.withColumn(f"{prefix}sections", F.transform(groups, lambda g: F.sha2(g, 256)))
-    # The low 12 bits of a span's value are its length, the others its hash: one array carries both.
+    # The low 12 bits of a span's value are its length, 192 at most, the others its hash: one array carries both.
     spans = F.flatten(F.transform(F.col(f"{prefix}lines"), lambda p: F.regexp_extract_all(p, F.lit(SPAN), F.lit(0))))
-    valued = F.transform(spans, lambda x: F.xxhash64(x).bitwiseAND(F.lit(-4096)).bitwiseOR(F.least(F.length(x), F.lit(4095)).cast("long")))
+    valued = F.transform(spans, lambda x: F.xxhash64(x).bitwiseAND(F.lit(-4096)).bitwiseOR(F.length(x).cast("long")))
     return (
         df.withColumn(f"{prefix}spans", F.array_distinct(valued))
         .withColumn(f"{prefix}root", F.sha2(F.array_join(f"{prefix}sections", ""), 256))
@@ -48,14 +48,6 @@ def likeness(a: str, b: str) -> Column:
     return F.when(F.col(f"{a}root") == F.col(f"{b}root"), 1.0).when(either == 0, 0.0).otherwise(shared / F.greatest(either, F.lit(1)))
 
 
-def fingerprints(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with columns fingerprint (the tree's root), n_paragraphs and n_sections. Null texts are read as empty."""
-    tree = with_tree(df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))), "_text", "_t_")
-    return tree.withColumns(
-        {"fingerprint": F.col("_t_root"), "n_paragraphs": F.size("_t_paragraphs").cast("long"), "n_sections": F.size("_t_sections").cast("long")}
-    ).drop("_text", "_t_paragraphs", "_t_sections", "_t_spans", "_t_root")
-
-
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with next_text, the text of the next doc_id; the last document's is the first's.
 

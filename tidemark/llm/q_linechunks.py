@@ -22,21 +22,29 @@ WITH l AS (
   SELECT doc_id, line, i, CAST('0x' || substring(md5(line), 1, 8) AS BIGINT) AS h FROM l
 ), r AS (
   SELECT doc_id, line, i,
-         coalesce((h + 31 * lag(h) OVER w) % 2, 1) AS r, max(i) OVER (PARTITION BY doc_id) AS n
+         coalesce((h + 31 * lag(h) OVER w) // 65536 % 2, -1) AS r, max(i) OVER (PARTITION BY doc_id) AS n
   FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), p AS (
+  SELECT r.*, phase FROM r, (SELECT unnest([0, 1]) AS phase)
 ), c AS (
-  SELECT doc_id, line, i, CASE WHEN i = n OR (r = 0 AND coalesce(lag(r) OVER w, 1) <> 0) THEN 1 ELSE 0 END AS is_end
-  FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+  SELECT *, CASE WHEN i = n OR r = phase THEN 1 ELSE 0 END AS is_end FROM p
 ), k AS (
-  SELECT doc_id, line, i, coalesce(sum(is_end) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM c
+  SELECT *, coalesce(sum(is_end) OVER (PARTITION BY doc_id, phase ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM c
+), ends AS (
+  SELECT doc_id, phase, k, min(i) AS s, max(i) AS e FROM k GROUP BY 1, 2, 3
+), spans AS (
+  SELECT doc_id, s, e FROM ends UNION SELECT doc_id, s + 1, e FROM ends UNION SELECT doc_id, s, e - 1 FROM ends
+), listed AS (
+  SELECT doc_id, list(line ORDER BY i) AS lines FROM l GROUP BY 1
 ), chunks AS (
-  SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS lines FROM k GROUP BY doc_id, k
+  SELECT doc_id, s, e, array_to_string(lines[s:e], chr(10)) AS body FROM spans JOIN listed USING (doc_id) WHERE e > s
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY body, lines > 1 ORDER BY doc_id, k) AS nth FROM chunks
+  SELECT doc_id, s, e, row_number() OVER (PARTITION BY body ORDER BY doc_id, s) AS nth FROM chunks
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(s, e)) AS i FROM ranked WHERE nth > 1
 )
-SELECT doc_id, CAST(sum(lines) AS BIGINT) AS n_lines,
-       CAST(coalesce(sum(lines) FILTER (WHERE lines > 1 AND nth > 1), 0) AS BIGINT) AS n_removed,
-       sha256(coalesce(string_agg(body, chr(10) ORDER BY k) FILTER (WHERE NOT (lines > 1 AND nth > 1)), '')) AS kept_sha256
-FROM ranked GROUP BY doc_id
+SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id
 """
 }

@@ -158,21 +158,23 @@ def near_duplicates(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id:
 
     Equal fingerprints form one class, linked through classes within `distance` bits. Null and empty texts have
     fingerprint zero and are linked like any other. Rows that repeat a doc_id are one document: their classes are
-    joined. Rows with a null doc_id keep the component of their class's other documents, else null. An empty table
-    gives no rows; other columns of df are not looked at.
+    joined. Rows with a null doc_id link others as all rows do, and have the component of what they link, null if that
+    has no id. An empty table gives no rows; other columns of df are not looked at.
+
+    A class is named by its fingerprint, so classes without an id are nodes like all others.
     """
     prints = written(fingerprints(df, shingle, doc_id, text), "simhash")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
-    repeated = prints.where("doc_id is not null").join(classes, "fp").where("doc_id <> rep").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-    own = classes.where("rep is not null").select("rep", "fp")
-    links = near_links(own, distance)
-    twice = prints.groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high and doc_id is not null").select("doc_id")
-    same = repeated.join(twice, "doc_id").select(F.explode(F.array("a", "b")).alias("a"), F.col("doc_id").alias("b"))
-    components = connected_components(links.union(same))
-    named = classes.join(components, classes["rep"] == components["node"], "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")
-    )
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    links = near_links(classes.select(F.col("fp").alias("rep"), "fp"), distance)
+    twice = prints.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("high")).where("a <> high")
+    same = prints.join(twice, "doc_id").where("fp <> a").select("a", F.col("fp").alias("b"))
+    components = written(connected_components(links.union(same)), "simhash-components")
+    linked = classes.join(components, F.col("fp") == F.col("node"))
+    smallest = linked.groupBy("component").agg(F.min("least").alias("smallest"))
+    named = components.join(smallest, "component").select(F.col("node").alias("fp"), "smallest", F.lit(True).alias("linked"))
+    # A class without links keeps its own smallest id.
+    found = classes.join(named, "fp", "left").select("fp", F.when(F.col("linked"), F.col("smallest")).otherwise(F.col("least")).alias("component_id"))
+    return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each_group(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

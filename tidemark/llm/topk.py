@@ -81,26 +81,35 @@ def alike(matrix: np.ndarray) -> np.ndarray:
     return np.concatenate(done)
 
 
-def best_in_range(query_ids, queries, ids, matrix, k: int) -> list[tuple[int, int, float]]:
-    """(query, row, score) of each query's k best rows of a range of blocks, ties to smaller ids."""
+def best_in_range(query_ids, queries, ids, matrix, k: int, whole: bool = False, visited: list[int] | None = None) -> list[tuple[int, int, int]]:
+    """(query, row, score) of each query's k best rows of a range of blocks, ties to smaller ids.
+
+    whole: scores are summed as 64-bit integers, for those that doubles don't hold exactly; bounds stay doubles, rounded
+    up. visited: gets the number of pairs of query and block that were scored.
+    """
     blocks = [slice(s, s + BLOCK) for s in range(0, len(ids), BLOCK)]
     high = np.array([np.maximum(matrix[b].max(axis=0), 0) for b in blocks])
     low = np.array([np.maximum(-matrix[b].min(axis=0), 0) for b in blocks])
     # Terms are the two signs of a dimension: only the part of the same sign can add to a score, the rest lowers it.
     bound = np.maximum(queries, 0) @ high.T + np.maximum(-queries, 0) @ low.T
+    if whole:
+        bound, queries, matrix = bound * (1 + 1e-9) + 1, queries.astype(np.int64), matrix.astype(np.int64)
+    none = -np.iinfo(np.int64).max if whole else -np.inf
     order = np.argsort(-bound, axis=1, kind="stable")
-    top_score = np.full((len(queries), k), -np.inf)
+    top_score = np.full((len(queries), k), none)
     top_id = np.full((len(queries), k), np.iinfo(np.int64).max)
     for step in range(len(blocks)):
         at = order[:, step]
         open_ = np.flatnonzero(bound[np.arange(len(queries)), at] >= top_score[:, -1])
         if not len(open_):
             break
+        if visited is not None:
+            visited.append(len(open_))
         for b in np.unique(at[open_]):
             own = open_[at[open_] == b]
             scores = queries[own] @ matrix[blocks[b]].T
             row_ids = np.broadcast_to(ids[blocks[b]], scores.shape)
-            scores = np.where(row_ids == query_ids[own, None], -np.inf, scores)
+            scores = np.where(row_ids == query_ids[own, None], none, scores)
             all_scores = np.concatenate([top_score[own], scores], axis=1)
             all_ids = np.concatenate([top_id[own], row_ids], axis=1)
             if all_scores.shape[1] > 4 * k:  # what is below the k-th score is out; ties with it stay
@@ -110,7 +119,7 @@ def best_in_range(query_ids, queries, ids, matrix, k: int) -> list[tuple[int, in
                 all_scores, all_ids = np.take_along_axis(all_scores, pick, 1), np.take_along_axis(all_ids, pick, 1)
             rank = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
             top_score[own], top_id[own] = np.take_along_axis(all_scores, rank, 1), np.take_along_axis(all_ids, rank, 1)
-    q, c = np.nonzero(top_score > -np.inf)
+    q, c = np.nonzero(top_score > none)
     return list(zip(query_ids[q].tolist(), top_id[q, c].tolist(), top_score[q, c].tolist()))
 
 
@@ -120,16 +129,19 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, row_id:
     Components become floor(scale * x). Queries are the rows whose id is divisible by `every`, candidates all rows with
     another id than the query's. Vectors that are null, or hold null or non-finite components, take no part; shorter
     vectors count as filled up with zeros; repeated ids are candidates once for each row. An empty table, or one without
-    queries, gives no rows. Other columns are not looked at. Scores must stay below 2^53 in magnitude.
+    queries, gives no rows. Other columns are not looked at. Scores beyond 2^53 are summed as longs; vectors so
+    long that a score need not fit a long are an error.
 
     Queries are packed into batches, rows into ranges of blocks; each batch meets each range once, in whichever task
     that pair is dealt to, and hands on at most k rows for each of its queries.
     """
     vectors = scaled(df, scale, row_id, vector)
-    widest = vectors.agg(F.max(F.size("v")).alias("width"), F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("most"), F.count("*").alias("n")).first()
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    widest = vectors.agg(F.max(F.size("v")).alias("width"), F.max(square).alias("square"), F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("most"), F.count("*").alias("n")).first()
     width, most, n = widest["width"] or 1, widest["most"] or 0.0, widest["n"]
-    if width * most * most >= EXACT:
-        raise ValueError("inner products of these vectors are not exact in doubles; use a smaller scale")
+    whole = width * most * most >= EXACT
+    if whole and widest["square"] >= float(1 << 63) * (1 - 1e-9):
+        raise OverflowError("inner products of these vectors need not fit a long; use a smaller scale")
     ranges = packed(vectors, width, BLOCK * RANGE, True).select(F.pmod(F.xxhash64("ids"), F.lit(1 << 30)).alias("r"), "ids", "matrix")
     groups = max(1, min(1 << 16, -(-n // (BLOCK * RANGE))))
     batches = packed(vectors.where(F.col("id") % every == 0), width, BATCH, False).select(F.col("ids").alias("query_ids"), F.col("matrix").alias("queries"))
@@ -140,7 +152,7 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, row_id:
         for batch in it:
             for qi, q, ci, c in zip(*(col.to_pylist() for col in batch.columns)):
                 query_ids, ids = np.frombuffer(qi, np.int64), np.frombuffer(ci, np.int64)
-                found = best_in_range(query_ids, np.frombuffer(q).reshape(-1, width), ids, np.frombuffer(c).reshape(-1, width), k)
+                found = best_in_range(query_ids, np.frombuffer(q).reshape(-1, width), ids, np.frombuffer(c).reshape(-1, width), k, whole)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([int(x[2]) for x in found], pa.int64())],
                     names=["query_id", "vec_id", "score"],

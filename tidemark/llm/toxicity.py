@@ -12,7 +12,8 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -23,6 +24,8 @@ from tidemark.llm.common import in_slices, schema_with, text_bytes, written
 SIZES, BUCKETS, FEATURES = (3, 4, 5), 1 << 20, 4_096
 #: At most this many labelled rows, evenly spread by a hash, train the classifier.
 TRAIN_ROWS = 20_000
+#: Steps of the regression: it is stopped before it has settled, which holds the weights back as well.
+ROUNDS = 40
 #: Bytes of a text that are hashed at a time.
 STEP = 1 << 20
 THRESHOLD = 0.3
@@ -97,7 +100,7 @@ class Classifier:
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
 
-def fit(rows: DataFrame) -> Classifier:
+def fit(rows: DataFrame, rounds: int = ROUNDS) -> Classifier:
     """The classifier for (text as bytes, toxic). Where only one class is seen, every text gets that class's share, smoothed."""
     rows = written(rows, "labelled")
     sizes = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"), F.count("*").alias("n")).first()
@@ -115,33 +118,32 @@ def fit(rows: DataFrame) -> Classifier:
     table = empty
     table[[r["bucket"] for r in best]] = np.arange(len(best))
     ratios = np.array([r["ratio"] for r in best])
-    shared = rows.sparkSession.sparkContext.broadcast((table, ratios))
+    names = np.array([str(k) for k in range(len(best))], object)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
 
     def features(batches):
-        table, _ = shared.value
+        table = shared.value
         for batch in batches:
-            found = [buckets_of(x, table).tolist() for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["at", "toxic"])
-
-    @F.udf(VectorUDT())
-    def vector(at):
-        return Vectors.sparse(len(shared.value[1]), at, shared.value[1][at]) if at else Vectors.sparse(len(shared.value[1]), [], [])
-
-    known = written(rows.mapInArrow(features, "at array<int>, toxic int"), "features")
-    known = known.select(vector("at").alias("features"), F.col("toxic").cast("double").alias("label"))
-    model = LogisticRegression(maxIter=40, regParam=2e-3, standardization=False).fit(known)
+            found = [names[buckets_of(x, table)].tolist() for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), batch.column(1)], names=["at", "toxic"])
+
+    known = written(rows.mapInArrow(features, "at array<string>, toxic int"), "features")
+    presence = CountVectorizerModel.from_vocabulary(names.tolist(), inputCol="at", outputCol="presence", binary=True)
+    scaled = ElementwiseProduct(scalingVec=Vectors.dense(ratios), inputCol="presence", outputCol="features")
+    known = scaled.transform(presence.transform(known)).select("features", F.col("toxic").cast("double").alias("label"))
+    model = LogisticRegression(maxIter=rounds, regParam=2e-3, standardization=False).fit(known)
     return Classifier(table, np.array(model.coefficients.toArray()) * ratios, float(model.intercept))
 
 
-def scores(df: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, most: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text", out: str = "score") -> DataFrame:
+def scores(df: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, most: int = TRAIN_ROWS, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text", out: str = "score") -> DataFrame:
     """df with a column `out`: the probability, from 0 to 1, that a text is toxic.
 
     Only texts are looked at; labels (doc_id, toxic) are learnt from the rows whose crc32(doc_id as text) mod `parts` is
-    not `held`, at most about `most` of them. Null and empty texts are scored as empty, by the classifier's intercept.
+    not `held`, at most about `most` of them; of rows that repeat a doc_id every text is learnt with its label. Null and empty texts are scored as empty, by the classifier's intercept.
     All other columns stay as they are; a column already named `out` is replaced. An empty label table gives every text
     the same score of 0.5.
     """
-    model = fit(training_rows(df.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text")), labels, parts, held, most))
+    model = fit(training_rows(df.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text")), labels, parts, held, most), rounds)
     shared = df.sparkSession.sparkContext.broadcast(model)
     kept = df.drop(out) if out in df.columns else df
     at = kept.columns.index(text)
