@@ -2,10 +2,9 @@
 
 A line's hash is a number from its digest; the rolling hash of a line covers it and the line before. Its value modulo the
 divisor is the line's phase, and every phase gives a chunking of its own: a document is cut after each line that has the
-phase. Borders depend on two lines only, so a passage that moves finds back to the same borders; the chunkings' borders
-differ, and each chunk also counts without its first and without its last line, so that a passage loses little at its
-ends. Chunks of two lines or more that occur again are compared byte by byte, and the lines of all but the first are
-removed.
+phase. Borders depend on two lines only, so a passage that moves finds back to the same borders; no line is a border of
+two chunkings, so what is the edge of a chunk in one lies inside a chunk of another. Chunks of two lines or more that
+occur again are compared byte by byte, and the lines of all but the first are removed.
 """
 
 from __future__ import annotations
@@ -40,11 +39,10 @@ def _cuts(phase: int) -> Column:
 
 
 def _between(cuts: Column) -> Column:
-    """Stretches between borders, whole, without the first and without the last line, of two lines or more: s and e in one number."""
+    """Stretches of two lines or more between borders: s and e in one number."""
     number = lambda s, e: F.when(e - s > 1, F.shiftleft(s.cast("long"), 32).bitwiseOR(e.cast("long")))
     start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get(cuts, k - 1))
-    found = F.flatten(F.transform(cuts, lambda e, k: F.array(number(start(k), e), number(start(k) + 1, e), number(start(k), e - 1))))
-    return F.filter(found, lambda c: c.isNotNull())
+    return F.filter(F.transform(cuts, lambda e, k: number(start(k), e)), lambda c: c.isNotNull())
 
 
 def body_of(s: Column, e: Column) -> Column:

@@ -33,7 +33,7 @@ WITH l AS (
 ), ends AS (
   SELECT doc_id, phase, k, min(i) AS s, max(i) AS e FROM k GROUP BY 1, 2, 3
 ), spans AS (
-  SELECT doc_id, s, e FROM ends UNION SELECT doc_id, s + 1, e FROM ends UNION SELECT doc_id, s, e - 1 FROM ends
+  SELECT DISTINCT doc_id, s, e FROM ends
 ), listed AS (
   SELECT doc_id, list(line ORDER BY i) AS lines FROM l GROUP BY 1
 ), chunks AS (
