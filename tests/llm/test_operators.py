@@ -286,6 +286,75 @@ def test_simhash_rows_without_id_link_others(spark, monkeypatch):
     assert found == {(1, 1), (None, 1), (3, 1), (None, None)}
 
 
+def shingle_sets(rows, size=5):
+    words = {i: (t or "").encode().lower().split() for i, t, *_ in rows if i is not None}
+    return {i: {b" ".join(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} for i, w in words.items()}
+
+
+def jaccards(rows):
+    """Likeness of the shingle sets of all pairs of documents, by ids."""
+    sets = sorted(shingle_sets(rows).items())
+    return {(a, b): len(x & y) / len(x | y) for k, (a, x) in enumerate(sets) for b, y in sets[:k]}
+
+
+def brute_alike(rows):
+    """Smallest ids of the groups that 256-bit fingerprints within the bound link, if three bytes of a triple are equal."""
+    mask, prints = (1 << 64) - 1, {}
+    for i, shingles in shingle_sets(rows).items():
+        counts = [0] * 256
+        for h in {xxhash.xxh64_intdigest(x, 42) for x in shingles if x}:
+            for lane in range(4):
+                x = (h + lane * 0x9E3779B97F4A7C15) & mask
+                for _ in range(2):
+                    x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & mask
+                x ^= x >> 32
+                for b in range(64):
+                    counts[64 * lane + b] += 1 if x >> b & 1 else -1
+        prints[i] = sum(1 << b for b in range(256) if counts[b] > 0)
+    triples = [[(p + s) % 32 for p in t] for t in simhash.TRIPLES for s in range(32)]
+    root = {i: i for i in prints}
+    for a in sorted(prints):
+        for b in sorted(prints):
+            differing = prints[a] ^ prints[b]
+            if b < a and differing.bit_count() <= 46 and any(not any(differing >> 8 * p & 255 for p in t) for t in triples):
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    return sorted(set(root.values()))
+
+
+def variants(seed=3, groups=4, size=6, words=300):
+    """Texts in groups: each text has a few words of its group's first one replaced."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(groups):
+        base = [f"w{x}" for x in rng.integers(0, 5000, words)]
+        for _ in range(size):
+            text = list(base)
+            for at in rng.integers(0, words, 3):
+                text[at] = f"x{rng.integers(0, 10**6)}"
+            rows.append((len(rows) + 1, " ".join(text), "s"))
+    return rows
+
+
+def test_alike_keeps_one_of_each_group(spark, monkeypatch):
+    rows = variants()
+    for chunk in (simhash.CHUNK, 4):
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        kept = sorted(r.doc_id for r in simhash.one_of_alike(table(spark, rows)).collect())
+        assert kept == brute_alike(rows) == [1, 7, 13, 19]
+
+
+def test_alike_awkward_rows(spark):
+    base = " ".join(f"w{k}" for k in range(400))
+    rows = [(5, None, "s"), (4, "", "s"), (6, " \n", "s"), (None, base, "s"), (None, base, "s"), (9, base, "s"), (8, base + " end", "s"), (8, "quite another text of its own", "s"), (11, "Quite another text of its own", "s"), (12, "word", "s"), (12, "word", "s")]
+    found = Counter((r.doc_id, r.text) for r in simhash.one_of_alike(table(spark, rows)).collect())
+    # The rows of 8 are one document, which takes 9 and 11 with it.
+    assert found == Counter({(4, ""): 1, (None, base): 2, (8, "quite another text of its own"): 1, (12, "word"): 1})
+    assert simhash.one_of_alike(table(spark, rows).limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        simhash.one_of_alike(table(spark, rows), similarity=0.5)
+
+
 def test_simhash_large_groups_meet_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", 8)
     base = words(400, 9)

@@ -5,6 +5,9 @@ the same positions. The index has a posting list for every value of every positi
 8 - distance positions a pair shares, one of the sets lies inside them, so a linked pair meets in a list. Within a list
 the shared positional bytes of each pair are tallied, pairs below the guaranteed minimum are dropped and the rest are
 verified by counting differing bits.
+
+Four differing bits mean shingles that are alike by 0.9 or more. For a likeness of 0.8 about ten of 64 bits differ, too
+many for such a guarantee: `one_of_alike` takes 256 bits, 32 positions and an index over position triples.
 """
 
 from __future__ import annotations
@@ -17,12 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, in_slices, text_bytes, written
+from tidemark.llm.common import connected_components, in_slices, mix64, text_bytes, written
 
 #: Shingles whose bits are counted at a time.
 BLOCK = 65_536
 #: Fingerprints of a posting list that are compared in one task; longer lists are cut into chunks and compared chunk by chunk.
-CHUNK = 1_024
+CHUNK = 4_096
 #: Distinct fingerprints up to which lists share three bytes; beyond, four, so that chance meetings stay rare.
 THREE_BYTES_UP_TO = 1 << 26
 
@@ -85,24 +88,77 @@ def posting_lists(classes: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
     return classes.select("rep", "fp", F.explode(F.array(*keys)).alias("list"))
 
 
-def links_within(reps: np.ndarray, fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Links that connect a posting list's members: all pairs are compared, but a pair that is connected already gives no row."""
-    group = np.arange(len(fps))
+def links_within(reps: np.ndarray, fps: np.ndarray, distance: int, least: int) -> list[tuple[int, int]]:
+    """Links that connect a posting list's members as all pairs would; fps has a row of 64-bit words for each member.
+
+    Members are visited breadth first, and each is compared only with those that nothing has reached yet: a group of
+    alike members costs one comparison a member, and every link is to a member that had none before.
+    """
+    left = np.arange(len(fps))
     found = []
-    for i in range(len(fps) - 1):
-        differing = fps[i + 1 :] ^ fps[i]
-        shared = (differing.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
-        near = np.flatnonzero(shared >= 8 - distance)
-        near = near[np.bitwise_count(differing[near]) <= distance] + i + 1
-        own = group[i]
-        for other in np.unique(group[near]):
-            if other != own:
-                k = near[group[near] == other][0]
-                found.append((int(reps[i]), int(reps[k])))
-                group[group == other] = own
+    while len(left) > 1:
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            i = queue.pop()
+            differing = fps[left] ^ fps[i]
+            shared = (differing.view(np.uint8) == 0).sum(axis=1)
+            near = (shared >= least) & (np.bitwise_count(differing).sum(axis=1) <= distance)
+            hit = left[near]
+            found += [(int(reps[i]), int(reps[k])) for k in hit]
+            queue.extend(hit.tolist())
+            left = left[~near]
     return found
 
 
+def links_of_lists(members: np.ndarray, distance: int, least: int) -> np.ndarray:
+    """Distinct links (a, b) of whole posting lists: members has columns list, part, rep and the fingerprint's words, sorted by list and part."""
+    cuts = np.flatnonzero((np.diff(members[:, :2], axis=0) != 0).any(axis=1)) + 1
+    starts = np.concatenate(([0], cuts))
+    sizes = np.diff(np.concatenate((starts, [len(members)])))
+    two = starts[sizes == 2]
+    differing = (members[two, 3:] ^ members[two + 1, 3:]).view(np.uint64)
+    shared = (np.ascontiguousarray(differing).view(np.uint8) == 0).sum(axis=1)
+    near = two[(shared >= least) & (np.bitwise_count(differing).sum(axis=1) <= distance)]
+    found = [np.column_stack((members[near, 2], members[near + 1, 2]))]
+    for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+        links = links_within(members[s : s + n, 2], np.ascontiguousarray(members[s : s + n, 3:]).view(np.uint64), distance, least)
+        if links:
+            found.append(np.array(links, np.int64))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def links_in_tasks(dealt: DataFrame, words: list[str], distance: int, least: int) -> DataFrame:
+    """Links (a, b) inside the parts of posting lists: rows (list, part, rep, words), of which a part is the unit of work."""
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3 + len(words))]
+            block = np.column_stack([c.astype(np.int64) for c in cols])
+            block = block if held is None else np.concatenate([held, block])
+            # The last part may go on in the next batch.
+            start = len(block) - int(np.argmax((block[::-1, :2] != block[-1, :2]).any(axis=1)) or len(block)) if len(block) else 0
+            held = block[start:]
+            if start:
+                yield rows(links_of_lists(block[:start], distance, least))
+        if held is not None and len(held):
+            yield rows(links_of_lists(held, distance, least))
+
+    def rows(found):
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy(), pa.int64()), pa.array(found[:, 1].copy(), pa.int64())], names=["a", "b"])
+
+    dealt = dealt.repartition("list", "part").sortWithinPartitions("list", "part", "rep")
+    return dealt.select("list", "part", "rep", *words).mapInArrow(run, "a long, b long")
+
+
+def in_parts(lists: DataFrame, by: str, chunk: int) -> DataFrame:
+    """Posting lists (list, .., n members) with a column part: lists of over `chunk` members are cut by a hash of `by`, and every two chunks meet in a part."""
+    parts = F.ceil(F.col("n") / chunk).cast("int")
+    own = F.pmod(F.xxhash64(by), F.col("parts")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.least(x, F.col("own")) * 65536 + F.greatest(x, F.col("own")))
+    return lists.withColumn("parts", parts).withColumn("own", own).withColumn("part", F.explode(pairs)).drop("parts", "own", "n")
+
+
 def near_links(classes: DataFrame, distance: int = 4) -> DataFrame:
     """Links (a, b) between the representatives of classes (rep, fp) of equal fingerprints.
 
@@ -116,41 +172,7 @@ def near_links(classes: DataFrame, distance: int = 4) -> DataFrame:
     size = min(least, 3 if classes.count() <= THREE_BYTES_UP_TO else 4)
     lists = posting_lists(classes, covering(size, least))
     counts = lists.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.least(x, F.col("own")) * 65536 + F.greatest(x, F.col("own")))
-    dealt = (
-        lists.join(counts, "list")
-        .withColumn("parts", parts)
-        .withColumn("own", own)
-        .select("list", "rep", "fp", F.explode(pairs).alias("part"))
-        .repartition("list", "part")
-        .sortWithinPartitions("list", "part", "rep")
-        .select("list", "part", "rep", "fp")
-    )
-
-    def run(batches):
-        held: list[np.ndarray] = []
-        for batch in batches:
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-            block = np.column_stack([c.astype(np.int64) for c in cols])
-            if held:
-                block = np.concatenate([*held, block])
-            cuts = np.flatnonzero((np.diff(block[:, :2], axis=0) != 0).any(axis=1)) + 1
-            edges = [0, *cuts.tolist()]
-            found = []
-            for s, e in zip(edges, edges[1:]):  # the last run may go on in the next batch
-                if e - s > 1:
-                    found += links_within(block[s:e, 2], block[s:e, 3].astype(np.uint64), distance)
-            held = [block[edges[-1] :]]
-            yield rows(found)
-        if held and len(held[0]) > 1:
-            yield rows(links_within(held[0][:, 2], held[0][:, 3].astype(np.uint64), distance))
-
-    def rows(found):
-        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
-
-    return dealt.mapInArrow(run, "a long, b long")
+    return links_in_tasks(in_parts(lists.join(counts, "list"), "fp", CHUNK), ["fp"], distance, least)
 
 
 def near_duplicates(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -177,6 +199,14 @@ def near_duplicates(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id:
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_row_each(df: DataFrame, first: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Of the rows of each id in `first`, the one with the smallest text; and all rows without an id."""
+    kept = df.join(first, doc_id, "left_semi")
+    order = Window.partitionBy(doc_id).orderBy(F.col(text).asc_nulls_last())
+    kept = kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    return kept.unionByName(df.where(F.col(doc_id).isNull()))
+
+
 def one_of_each_group(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """df with one row of each group of near-duplicates: the one with the smallest doc_id.
 
@@ -185,7 +215,104 @@ def one_of_each_group(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id
     """
     found = near_duplicates(df, shingle, distance, doc_id, text)
     first = found.where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    kept = df.join(first, doc_id, "left_semi")
-    order = Window.partitionBy(doc_id).orderBy(F.col(text).asc_nulls_last())
-    kept = kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
-    return kept.unionByName(df.where(F.col(doc_id).isNull()))
+    return one_row_each(df, first, doc_id, text)
+
+
+#: Words of 64 bits in a wide fingerprint.
+WIDE = 4
+#: Position triples of a wide fingerprint's index: these and their 31 shifts. Differences of the first five are all distinct,
+#: so that they share no two positions; the last two are mirrors of the first two.
+TRIPLES = ((0, 1, 7), (0, 2, 14), (0, 3, 11), (0, 4, 13), (0, 5, 15), (0, 6, 7), (0, 12, 14))
+
+
+def wide_fingerprint(data: bytes, shingle: int = 5) -> np.ndarray:
+    """The SimHash of a text's set of shingles in 256 bits, as four unsigned words: their differing bits follow the sets' likeness.
+
+    Words are as in `fingerprint`; a shingle that repeats counts once. A text without words gives zero.
+    """
+    words = data.lower().split()
+    if not words:
+        return np.zeros(WIDE, np.uint64)
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    n = max(1, len(words) - shingle + 1)
+    starts = np.concatenate(([0], ends[:-1]))[:n]
+    ends = ends[-n:] - 1
+    hashes = np.unique(np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts.tolist(), ends.tolist())), np.uint64, n))
+    counts = np.zeros((WIDE, 64), np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        for k in range(WIDE):
+            lane = mix64(hashes[at : at + BLOCK] + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
+            counts[k] += np.unpackbits(lane.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(hashes), axis=1).view(np.uint64).ravel()
+
+
+def wide_fingerprints(df: DataFrame, shingle: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, f0 to f3) of every row, as signed longs. Null texts are read as empty."""
+    names = [f"f{k}" for k in range(WIDE)]
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in in_slices(batch, 1):
+                found = np.array([wide_fingerprint(x, shingle) for x in texts], np.uint64).reshape(-1, WIDE).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(found[:, k].copy()) for k in range(WIDE))], names=["doc_id", *names])
+
+    schema = ", ".join(["doc_id long", *(f"{n} long" for n in names)])
+    return df.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text")).mapInArrow(run, schema)
+
+
+def wide_posting_lists(classes: DataFrame) -> DataFrame:
+    """(list, rep): each class under the number and the three bytes of every position triple."""
+    places = 8 * WIDE
+    sets = np.array([[(p + s) % places for p in triple] for triple in TRIPLES for s in range(places)])
+    numbers = np.arange(len(sets), dtype=np.int64) << 24
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                words = np.column_stack([part.column(k).to_numpy(zero_copy_only=False) for k in range(1, 1 + WIDE)])
+                own = np.ascontiguousarray(words, np.int64).view(np.uint8).reshape(-1, places).astype(np.int64)
+                keys = numbers | own[:, sets[:, 0]] << 16 | own[:, sets[:, 1]] << 8 | own[:, sets[:, 2]]
+                rep = np.repeat(part.column(0).to_numpy(zero_copy_only=False), len(sets))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], names=["list", "rep"])
+
+    return classes.mapInArrow(run, "list long, rep long")
+
+
+def bits_apart(similarity: float, slack: float = 1.25) -> int:
+    """Most differing bits of wide fingerprints whose shingle sets are alike by `similarity`, `slack` deviations above the mean.
+
+    Sets of equal size with Jaccard similarity s have the cosine 2s / (1 + s); a bit differs with the share of the angle.
+    """
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    bits = 64 * WIDE
+    return round(bits * share + slack * (bits * share * (1 - share)) ** 0.5)
+
+
+def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """df with one row of each group of documents whose word shingles are alike by `similarity` or more, links of links included.
+
+    The likeness of two shingle sets is read from the differing bits of 256-bit SimHashes. Candidates share all three
+    bytes of one of 224 position triples. Both are chances: on the supplied documents they find 99 % of the pairs from
+    0.8 to 0.85, and more above; pairs from 0.75 to 0.8 are mostly linked too. Texts with equal shingle sets always meet, and texts
+    without words (null, empty) are one group. Of a group the smallest doc_id stays; of rows that repeat it the one with
+    the smallest text. Rows that repeat a doc_id are one document, with the links of all of its rows. Rows with a null
+    doc_id stay as they are and link nothing. All columns are kept, an empty table gives no rows.
+    """
+    if not 0.8 <= similarity <= 1:
+        raise ValueError("the index finds likenesses of 0.8 or more")
+    words = [f"f{k}" for k in range(WIDE)]
+    prints = written(wide_fingerprints(df.where(F.col(doc_id).isNotNull()), shingle, doc_id, text), "simhash-wide")
+    classes = written(prints.groupBy(*words).agg(F.min("doc_id").alias("rep")).select("rep", *words), "simhash-wide-classes")
+    lists = wide_posting_lists(classes)
+    counts = lists.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
+    # Only members of lists with company carry their fingerprint on. An id with several texts stands for each of them.
+    dealt = in_parts(lists.join(counts, "list"), "rep", CHUNK).join(classes, "rep")
+    links = links_in_tasks(dealt, words, bits_apart(similarity), len(TRIPLES[0]))
+    twice = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    same = prints.join(twice, "doc_id").join(classes, words).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    components = connected_components(links.union(same))
+    later = components.where("node <> component").select(F.col("node").alias("rep"))
+    first = classes.select("rep").distinct().join(later, "rep", "left_anti").select(F.col("rep").alias(doc_id))
+    return one_row_each(df, first, doc_id, text)
