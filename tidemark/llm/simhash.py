@@ -218,6 +218,8 @@ def one_of_each_group(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id
     return one_row_each(df, first, doc_id, text)
 
 
+#: Classes whose posting lists, 224 rows each, one task makes.
+TASK_CLASSES = 2_048
 #: Words of 64 bits in a wide fingerprint.
 WIDE = 4
 #: Position triples of a wide fingerprint's index: these and their 31 shifts. Differences of the first five are all distinct,
@@ -305,7 +307,8 @@ def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_i
     words = [f"f{k}" for k in range(WIDE)]
     prints = written(wide_fingerprints(df.where(F.col(doc_id).isNotNull()), shingle, doc_id, text), "simhash-wide")
     classes = written(prints.groupBy(*words).agg(F.min("doc_id").alias("rep")).select("rep", *words), "simhash-wide-classes")
-    lists = wide_posting_lists(classes)
+    # The classes' files are small, their lists are not: dealt out first, a task counts and sorts half a million rows.
+    lists = wide_posting_lists(classes.repartition(max(1, -(-classes.count() // TASK_CLASSES))))
     counts = lists.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
     # Only members of lists with company carry their fingerprint on. An id with several texts stands for each of them.
     dealt = in_parts(lists.join(counts, "list"), "rep", CHUNK).join(classes, "rep")
