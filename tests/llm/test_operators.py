@@ -286,6 +286,13 @@ def test_simhash_rows_without_id_link_others(spark, monkeypatch):
     assert found == {(1, 1), (None, 1), (3, 1), (None, None)}
 
 
+def test_substring_places_that_do_not_fit_are_an_error(monkeypatch):
+    monkeypatch.setattr(substrings, "POS_BITS", 6)
+    batch = substrings.pa.RecordBatch.from_pydict({"doc": [1], "text": [" ".join(words(64, 1)).encode()], "row": [0]})
+    with pytest.raises(ValueError):
+        list(substrings.hashed([batch], lambda n, row: substrings.anchor_starts(n), 50, True))
+
+
 def shingle_sets(rows, size=5):
     words = {i: (t or "").encode().lower().split() for i, t, *_ in rows if i is not None}
     return {i: {b" ".join(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} for i, w in words.items()}

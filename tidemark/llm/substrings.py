@@ -152,6 +152,8 @@ def hashed(batches, starts_of, window: int, anchors: bool):
             if doc is None or (more and not more[0]):
                 continue
             words = data.split()
+            if len(words) >= 1 << POS_BITS or row >= 1 << ROW_BITS:
+                raise ValueError(f"document {doc}: a text of 2^{POS_BITS} words or 2^{ROW_BITS} rows of one doc_id do not fit a place")
             starts = starts_of(len(words), row, *more)
             if not len(starts):
                 continue
