@@ -351,6 +351,16 @@ def test_alike_keeps_one_of_each_group(spark, monkeypatch):
         assert kept == brute_alike(rows) == [1, 7, 13, 19]
 
 
+def test_links_go_through_the_smallest(spark):
+    # Twenty lists of one group, each with a first member of its own: every member has up to twenty links.
+    links = [(first, b) for first in range(20) for b in range(first + 1, 200)] + [(500, 501), (501, 502)]
+    df = spark.createDataFrame(links, "a long, b long")
+    less = simhash.through_smallest(df)
+    assert less.where("a < b").count() == less.count() == 199 + 2
+    whole, found = (sorted(map(tuple, connected_components(x).distinct().collect())) for x in (df, less))
+    assert found == whole
+
+
 def test_alike_awkward_rows(spark):
     base = " ".join(f"w{k}" for k in range(400))
     rows = [(5, None, "s"), (4, "", "s"), (6, " \n", "s"), (None, base, "s"), (None, base, "s"), (9, base, "s"), (8, base + " end", "s"), (8, "quite another text of its own", "s"), (11, "Quite another text of its own", "s"), (12, "word", "s"), (12, "word", "s")]

@@ -91,20 +91,21 @@ def posting_lists(classes: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
 def links_within(reps: np.ndarray, fps: np.ndarray, distance: int, least: int) -> list[tuple[int, int]]:
     """Links that connect a posting list's members as all pairs would; fps has a row of 64-bit words for each member.
 
-    Members are visited breadth first, and each is compared only with those that nothing has reached yet: a group of
-    alike members costs one comparison a member, and every link is to a member that had none before.
+    Each member is compared only with those that nothing has reached yet: a group of alike members costs one comparison
+    a member. Whatever is reached is linked to the member the search set out from, the first of its group, so that the
+    lists of one group give mostly the same links.
     """
     left = np.arange(len(fps))
     found = []
     while len(left) > 1:
-        queue, left = [left[0]], left[1:]
+        first, queue, left = left[0], [left[0]], left[1:]
         while queue and len(left):
             i = queue.pop()
             differing = fps[left] ^ fps[i]
             shared = (differing.view(np.uint8) == 0).sum(axis=1)
             near = (shared >= least) & (np.bitwise_count(differing).sum(axis=1) <= distance)
             hit = left[near]
-            found += [(int(reps[i]), int(reps[k])) for k in hit]
+            found += [(int(reps[first]), int(reps[k])) for k in hit]
             queue.extend(hit.tolist())
             left = left[~near]
     return found
@@ -159,6 +160,16 @@ def in_parts(lists: DataFrame, by: str, chunk: int) -> DataFrame:
     return lists.withColumn("parts", parts).withColumn("own", own).withColumn("part", F.explode(pairs)).drop("parts", "own", "n")
 
 
+def through_smallest(links: DataFrame) -> DataFrame:
+    """Links (a, b) with a < b that connect the same, most of them equal: each b keeps its smallest a, which is linked to its others.
+
+    A node has at most one link for each part of a list it is in, so no group of the window grows with a group of copies.
+    """
+    smallest = F.min("a").over(Window.partitionBy("b"))
+    dealt = links.withColumn("m", smallest)
+    return dealt.select(F.col("m").alias("a"), F.when(F.col("a") > F.col("m"), F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
+
+
 def near_links(classes: DataFrame, distance: int = 4) -> DataFrame:
     """Links (a, b) between the representatives of classes (rep, fp) of equal fingerprints.
 
@@ -313,7 +324,7 @@ def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_i
     counts = lists.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
     # Only members of lists with company carry their fingerprint on. An id with several texts stands for each of them.
     dealt = in_parts(lists.join(counts, "list"), "rep", CHUNK).join(classes, "rep")
-    links = links_in_tasks(dealt, words, bits_apart(similarity), len(TRIPLES[0]))
+    links = through_smallest(links_in_tasks(dealt, words, bits_apart(similarity), len(TRIPLES[0])))
     twice = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     same = prints.join(twice, "doc_id").join(classes, words).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     components = connected_components(links.union(same))
