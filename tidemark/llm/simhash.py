@@ -323,7 +323,10 @@ def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_i
     lists = wide_posting_lists(classes.repartition(max(1, -(-classes.count() // TASK_CLASSES))))
     counts = lists.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
     # Only members of lists with company carry their fingerprint on. An id with several texts stands for each of them.
-    dealt = in_parts(lists.join(counts, "list"), "rep", CHUNK).join(classes, "rep")
+    dealt = in_parts(lists.join(counts, "list"), "rep", CHUNK)
+    # A class has at most 224 lists (times the chunks of the long ones): gathered, it meets its fingerprint once, not once a list.
+    gathered = dealt.groupBy("rep").agg(F.collect_list(F.struct("list", "part")).alias("at"))
+    dealt = gathered.join(classes, "rep").select("rep", *words, F.inline("at"))
     links = through_smallest(links_in_tasks(dealt, words, bits_apart(similarity), len(TRIPLES[0])))
     twice = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     same = prints.join(twice, "doc_id").join(classes, words).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
