@@ -487,4 +487,4 @@ register("j13_new_accounts", oracle(["transfers", "balance_events"], "SELECT DIS
 
 
 # Further queries, which write and read back.
-from tidemark.plans import roundtrips  # noqa: E402, F401
+from tidemark.plans import profit, roundtrips  # noqa: E402, F401
