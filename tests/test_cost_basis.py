@@ -1,6 +1,7 @@
 """Cost basis and supply in profit against plain Python, account by account and day by day."""
 
 import random
+from decimal import Decimal
 
 import pytest
 
@@ -11,6 +12,10 @@ from tidemark.sources.schemas import SCHEMAS
 LEGS = "coldkey string, timestamp_ms long, block_number long, event_index int, delta decimal(20,0), emission boolean, price long"
 
 
+def legs_of(spark, rows):
+    return spark.createDataFrame([(*r[:4], Decimal(r[4]), *r[5:]) for r in rows], LEGS)
+
+
 def folded(rows):
     """(coldkey, day) -> (balance, cost), by the definition."""
     found, state = {}, {}
@@ -32,14 +37,14 @@ def random_legs(n, seed):
 
 def test_daily_cost_equals_a_fold_leg_by_leg_also_for_an_account_with_most_legs(spark):
     rows = random_legs(4_000, 1)
-    got = {(r["coldkey"], r["timestamp_ms"]): (int(r["balance_rao"]), int(r["cost"])) for r in cost_basis.daily_cost(spark.createDataFrame(rows, LEGS).repartition(5)).collect()}
+    got = {(r["coldkey"], r["timestamp_ms"]): (int(r["balance_rao"]), int(r["cost"])) for r in cost_basis.daily_cost(legs_of(spark, rows).repartition(5)).collect()}
     assert got == folded(rows)
 
 
 def test_amounts_beyond_64_bits_stay_exact(spark):
     big = (1 << 64) - 1
     rows = [("a", 0, 1, 0, big, False, 7), ("a", 1, 2, 0, big, False, 2), ("a", 2, 3, 0, -big, False, 9), ("a", DAY, 4, 0, -3, False, 9)]
-    got = {(r["coldkey"], r["timestamp_ms"]): (int(r["balance_rao"]), int(r["cost"])) for r in cost_basis.daily_cost(spark.createDataFrame(rows, LEGS)).collect()}
+    got = {(r["coldkey"], r["timestamp_ms"]): (int(r["balance_rao"]), int(r["cost"])) for r in cost_basis.daily_cost(legs_of(spark, rows)).collect()}
     assert got == folded(rows)
 
 
@@ -74,7 +79,7 @@ def test_as_of_carries_values_over_ranges_and_ignores_points_without_one(spark):
 def test_supply_in_profit_equals_a_table_of_accounts_by_days(spark):
     legs = random_legs(600, 2)
     prices = [(d * DAY + 7, p) for d, p in zip(range(3, 30, 2), random.Random(3).choices(range(1, 8), k=14))]
-    states = cost_basis.daily_cost(spark.createDataFrame(legs, LEGS))
+    states = cost_basis.daily_cost(legs_of(spark, legs))
     got = {r["timestamp_ms"]: (int(r["supply_rao"]), None if r["in_profit_rao"] is None else int(r["in_profit_rao"])) for r in cost_basis.supply_in_profit(states, spark.createDataFrame(prices, "timestamp_ms long, price long")).collect()}
     by_day = folded(legs)
     days = range(min(d for _, d in by_day), max(d for _, d in by_day) + DAY, DAY)
