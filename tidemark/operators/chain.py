@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.decode import account_balances
 from tidemark.operators.quality import changed_keys
 from tidemark.sources.schemas import RAO
+from tidemark.sources.files import Files, beside
 from tidemark.sources.tables import overwrite_partitions, write_if_changed
 
 #: Event methods that change balances or stake; sections are compared in lower case, methods as they are.
@@ -62,6 +63,19 @@ def missing_specs(blocks: DataFrame, metadata: DataFrame) -> DataFrame:
     return blocks.join(metadata.select(F.col("spec_version").alias("decode_spec")).distinct(), "decode_spec", "left_anti")
 
 
+def with_metadata(blocks: DataFrame, plan: DataFrame, metadata: DataFrame) -> DataFrame:
+    """blocks with decode_spec and the metadata to decode them by; blocks without any stop the job before it decodes.
+
+    metadata: (spec_version, metadata_hex, captured_at_block), of which each version's earliest capture is taken.
+    """
+    chosen = with_decode_spec(blocks, plan)
+    missing = missing_specs(chosen, metadata).groupBy("decode_spec").agg(F.min("block_number").alias("first")).orderBy("decode_spec").first()
+    if missing is not None:
+        raise ValueError(f"no metadata for version {missing['decode_spec']}, which block {missing['first']} needs")
+    by_spec = metadata.groupBy(F.col("spec_version").alias("decode_spec")).agg(F.min_by("metadata_hex", F.struct("captured_at_block", "metadata_hex")).alias("metadata_hex"))
+    return chosen.join(by_spec, "decode_spec")
+
+
 def event_rows(blocks: DataFrame) -> DataFrame:
     """One row per event of decoded blocks; event_index counts all of a block's events, wanted or not."""
     return blocks.select("block_number", "timestamp_ms", F.posexplode("events").alias("event_index", "e")).select(
@@ -94,11 +108,16 @@ def stake_events_of(events: DataFrame) -> DataFrame:
     )
 
 
-def chain_silver(decoded: DataFrame) -> dict[str, DataFrame]:
+def chain_silver(decoded: DataFrame, metadata: DataFrame | None = None) -> dict[str, DataFrame]:
     """transfers, balance_events, stake_events and bad_blocks from decoded blocks.
 
     Of repeated rows of a block one is used. Blocks without an event list could not be decoded; they are set aside.
+    metadata: what there is to decode by; given, the plan of the blocks' stamps is checked against it first, and a block
+    without metadata, or stamps that go backwards, stop the job.
     """
+    if metadata is not None:
+        stamps = decoded.select("block_number", "spec_version")
+        decoded = with_metadata(decoded, checked_plan(stamps), metadata).drop("metadata_hex")
     one = decoded.dropDuplicates(["block_number"])
     events = event_rows(one.where(F.col("events").isNotNull()))
     return {"transfers": transfers_of(events), "balance_events": balance_events_of(events), "stake_events": stake_events_of(events), "bad_blocks": one.where(F.col("events").isNull()).select("block_number")}
@@ -107,19 +126,76 @@ def chain_silver(decoded: DataFrame) -> dict[str, DataFrame]:
 def repair(silver: DataFrame, rebuilt: DataFrame, bad_blocks: DataFrame, path: str, by: str = "part") -> DataFrame:
     """Replace the partitions of rebuilt rows, all or nothing; returns the blocks whose rows changed.
 
-    silver and rebuilt: the old and the new rows of the partitions in question. If any block could not be decoded,
-    nothing is written and an error is raised.
+    silver and rebuilt: the old and the new rows of the partitions in question; a partition of silver that rebuilt has no
+    rows of goes. If any block could not be decoded, nothing is written and an error is raised.
     """
     if not bad_blocks.isEmpty():
         raise ValueError("some blocks can't be decoded; nothing is replaced")
-    staged = f"{path.rstrip('/')}.staged"
-    noted = f"{path.rstrip('/')}.changed"
+    spark = rebuilt.sparkSession
+    finish_swaps(spark, path)
+    noted, staged = beside(path, "changed"), beside(path, "staged")
     found = changed_keys(silver, rebuilt, "block_number")
-    found.write.mode("overwrite").parquet(noted)
-    changed = rebuilt.sparkSession.read.schema(found.schema).parquet(noted)
-    rebuilt.write.mode("overwrite").parquet(staged)
-    overwrite_partitions(rebuilt.sparkSession.read.schema(rebuilt.schema).parquet(staged), path, by)
-    return changed
+    found.write.parquet(noted)
+    overwrite_partitions(rebuilt, staged, by)
+    _swap(spark, path, staged, [str(r[0]) for r in silver.select(by).union(rebuilt.select(by)).distinct().collect()], by)
+    return spark.read.schema(found.schema).parquet(noted)
+
+
+def repair_blocks(path: str, silver: str, plan: DataFrame, decoded: DataFrame, rows_of, size: int, by: str = "part") -> DataFrame:
+    """Decode again the blocks that a plan names and replace their rows; (block_number, removed, added) of those that changed.
+
+    path: a table with the schema `silver`, in partitions of `size` blocks named by `by` = block_number div size; rows_of
+    makes its rows from event_rows. Only the partitions that hold named blocks are read and written (their numbers, one
+    for each such folder, pass through the driver); the others' files stay. Every named block must be there and decode,
+    or nothing is written. The new partitions are staged, noted in a marker file and then moved in one by one: a run that
+    is stopped between these steps is finished by the next one, and a reader meanwhile can miss a partition but never
+    sees half of one. Partitions that end up empty go.
+    """
+    spark = plan.sparkSession
+    finish_swaps(spark, path)
+    part = F.floor(F.col("block_number") / size).cast("long")
+    named = plan.select("block_number").distinct()
+    again = decoded.join(named, "block_number", "left_semi").dropDuplicates(["block_number"])
+    lost = named.join(again.where(F.col("events").isNotNull()), "block_number", "left_anti").orderBy("block_number").first()
+    if lost is not None:
+        raise ValueError(f"block {lost['block_number']} can't be decoded; nothing is replaced")
+    parts = [r[0] for r in named.select(part).distinct().collect()]
+    old = spark.read.schema(f"{silver}, {by} long").parquet(path).where(F.col(by).isin(parts))
+    noted, staged, made = beside(path, "changed"), beside(path, "staged"), beside(path, "rebuilt")
+    rows_of(event_rows(again)).withColumn(by, part).select(*old.columns).write.parquet(made)
+    rebuilt = spark.read.schema(old.schema).parquet(made)
+    found = changed_keys(old.join(named, "block_number", "left_semi"), rebuilt, "block_number")
+    found.write.parquet(noted)
+    overwrite_partitions(old.join(named, "block_number", "left_anti").unionByName(rebuilt), staged, by, order=["block_number", "event_index"])
+    _swap(spark, path, staged, [str(x) for x in parts], by)
+    Files(spark, made).delete(made)
+    return spark.read.schema(found.schema).parquet(noted)
+
+
+def _swap(spark: SparkSession, path: str, staged: str, parts: list[str], by: str) -> None:
+    files = Files(spark, path)
+    filled = set(files.names(staged))
+    names = [f"{by}={p}" for p in parts]
+    files.write_json(f"{beside(path, 'swap')}", {"staged": staged, "filled": [n for n in names if n in filled], "emptied": [n for n in names if n not in filled]})
+    finish_swaps(spark, path)
+
+
+def finish_swaps(spark: SparkSession, path: str) -> int:
+    """Move in what a marker beside the table names, as often as it takes; the number of markers that were found."""
+    files, path = Files(spark, path), path.rstrip("/")
+    folder, name = path.rsplit("/", 1)
+    markers = [f"{folder}/{n}" for n in files.names(folder) if n.startswith(f"{name}.swap-") and n.count(".") == name.count(".") + 1]
+    for marker in markers:
+        swap = files.read_json(marker)
+        for part in swap["filled"]:
+            if files.exists(f"{swap['staged']}/{part}"):  # else it was moved before
+                files.delete(f"{path}/{part}")
+                files.move(f"{swap['staged']}/{part}", f"{path}/{part}")
+        for part in swap["emptied"]:
+            files.delete(f"{path}/{part}")
+        files.delete(swap["staged"])
+        files.delete(marker)
+    return len(markers)
 
 
 def date_snapshots(snapshots: DataFrame, *facts: DataFrame) -> DataFrame:

@@ -85,6 +85,11 @@ def unique_violations(df: DataFrame, *keys: str) -> DataFrame:
     return duplicates(df, *keys)
 
 
+def negative_balances(balances: DataFrame) -> DataFrame:
+    """(coldkey, days, least_rao): accounts that the ledger has below zero, which are reported and not clamped."""
+    return balances.where("balance_rao < 0").groupBy("coldkey").agg(F.count("*").alias("days"), F.min("balance_rao").alias("least_rao"))
+
+
 def has_plain_address(df: DataFrame) -> bool:
     """No table may have a column `address`: accounts are coldkeys or hotkeys."""
     return "address" in df.columns

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.time_buckets import window_index
 from tidemark.operators.ledger import net_deltas
 from tidemark.sources.schemas import RAO_SUM
+from tidemark.sources.tables import append, read_table_or_empty
 
 
 def _zero():
@@ -55,6 +56,37 @@ def reconcile_checkpoints(legs: DataFrame, observed: DataFrame, first_block: int
     return rows.select("window_index", "coldkey", "baseline", "delta", "expected", "observed", (F.col("expected") == F.col("observed")).alias("matches"))
 
 
+def reconcile_resumed(legs: DataFrame, observed: DataFrame, first_block: int, last_block: int, interval: int, folder: str) -> DataFrame:
+    """reconcile_checkpoints' rows up to last_block, of which only windows that no earlier run has done are worked on.
+
+    folder keeps, for each pair of first_block and interval, the rows of the windows done, what was last observed of each
+    account, and a log of finished runs, which is written last: a run that was stopped is done again, and a run over
+    other windows never goes on from these. last_block may grow from run to run; whole windows only are done. Legs and
+    observations of windows done are not looked at, so they need not be there any more.
+    """
+    if interval <= 0:
+        raise ValueError(f"the interval must be positive, not {interval}")
+    spark, base = legs.sparkSession, f"{folder.rstrip('/')}/{first_block}-{interval}"
+    runs = "from_window long, upto_window long, touched long, mismatches long"
+    known = f"coldkey string, balance_rao {RAO_SUM}"
+    finished = read_table_or_empty(spark, f"{base}/runs", runs).orderBy("from_window").collect()
+    done, windows = max((r["upto_window"] for r in finished), default=0), (last_block - first_block + 1) // interval
+    if windows > done:
+        carry = spark.read.schema(known).parquet(f"{base}/carry/upto={done}") if done else None
+        later = observed.where(F.col("window_index") >= done).withColumn("window_index", F.col("window_index") - done)
+        rows = reconcile_checkpoints(legs, later, first_block + done * interval, last_block, interval, carry).withColumn("window_index", F.col("window_index") + done)
+        rows.write.mode("overwrite").parquet(f"{base}/rows/from={done}")
+        new = spark.read.schema(rows.schema).parquet(f"{base}/rows/from={done}")
+        latest = new.groupBy("coldkey").agg(F.max_by("observed", "window_index").alias("observed"))
+        carried(spark.createDataFrame([], known) if carry is None else carry, latest).write.mode("overwrite").parquet(f"{base}/carry/upto={windows}")
+        counts = new.agg(F.count("*"), F.count_if(~F.col("matches"))).first()
+        append(spark.createDataFrame([(done, windows, counts[0], counts[1])], runs), f"{base}/runs")
+        finished = [*finished, {"from_window": done}]
+    columns = f"window_index long, coldkey string, baseline {RAO_SUM}, delta {RAO_SUM}, expected {RAO_SUM}, observed {RAO_SUM}, matches boolean"
+    # Folders that no finished run names are not read.
+    return spark.read.schema(columns).parquet(*[f"{base}/rows/from={r['from_window']}" for r in finished]) if finished else spark.createDataFrame([], columns)
+
+
 def checkpoint_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("window_index").agg(F.count("*").alias("touched"), F.count_if(~F.col("matches")).alias("mismatches"))
 

@@ -429,20 +429,31 @@ def deduplicated_events(s, d):
     return s.read.schema("pair string, timestamp_ms long").parquet(f"{folder}/table")
 
 
-@register("t05_running_balances", oracle(["transfers"], "SELECT coldkey, CAST(sum(delta) AS BIGINT) AS balance_rao FROM (SELECT from_coldkey AS coldkey, -amount_rao AS delta FROM transfers UNION ALL SELECT to_coldkey, amount_rao FROM transfers) GROUP BY 1"))
-def streamed_balances(s, d):
-    from tidemark.streaming.streams import run_batches, running_balances
+def _streamed_balances(s, d, receiver):
+    from tidemark.streaming.streams import ROCKSDB, run_batches, running_balances
 
     rows, folder = _stream(s, d, "lineitem")
-    account = lambda key, n: F.concat(F.lit("A"), F.pmod(key, F.lit(n)).cast("string"))
     amount = t.cents("l_extendedprice")
-    both = F.explode(F.array(F.struct(account("l_suppkey", 97).alias("coldkey"), (-amount).alias("delta")), F.struct(account("l_partkey", 89).alias("coldkey"), amount.alias("delta"))))
+    both = F.explode(F.array(F.struct(_account("l_suppkey", 97).alias("coldkey"), (-amount).alias("delta")), F.struct(receiver.alias("coldkey"), amount.alias("delta"))))
     changes = running_balances(rows.select(both.alias("leg")).select("leg.*"))
-    run_batches(changes, lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{folder}/table"), f"{folder}/checkpoint")
+    run_batches(changes, lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{folder}/table"), f"{folder}/checkpoint", state=ROCKSDB)
     kept = s.read.schema("coldkey string, balance_rao decimal(38,0), batch long").parquet(f"{folder}/table")
     return longs(kept.groupBy("coldkey").agg(F.max_by("balance_rao", "batch").alias("balance_rao")), "balance_rao")
 
 
+def _account(key: str, n: int):
+    return F.concat(F.lit("A"), F.pmod(key, F.lit(n)).cast("string"))
+
+
+def _streamed_oracle(receiver: str) -> str:
+    return oracle(["transfers"], f"SELECT coldkey, CAST(sum(delta) AS BIGINT) AS balance_rao FROM (SELECT from_coldkey AS coldkey, -amount_rao AS delta FROM transfers UNION ALL SELECT {receiver}, amount_rao FROM transfers) GROUP BY 1")
+
+
+register("t05_running_balances", _streamed_oracle("to_coldkey"))(lambda s, d: _streamed_balances(s, d, _account("l_partkey", 89)))
+#: One account receives everything: it has half of all legs.
+register("t05_hot_account", _streamed_oracle("'hot'"))(lambda s, d: _streamed_balances(s, d, F.lit("hot")))
+
+
 @register("t04_daily_figures", """WITH c AS (SELECT l_returnflag AS pair, epoch_ms(l_shipdate) AS timestamp_ms, CAST(round(l_extendedprice * 100) AS BIGINT) AS close FROM lineitem)
     SELECT timestamp_ms // 86400000 * 86400000 AS timestamp_ms, pair, arg_max(close, (timestamp_ms, close)) AS close, CAST(sum(close) AS BIGINT) AS volume FROM c GROUP BY 1, 2
     HAVING timestamp_ms // 86400000 * 86400000 + 86400000 <= (SELECT max(timestamp_ms) - 172800000 FROM c)""")

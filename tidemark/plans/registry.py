@@ -5,11 +5,15 @@ from __future__ import annotations
 import graphlib
 import hashlib
 import inspect
+import sys
+import sysconfig
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -31,6 +35,7 @@ class Metric:
     build: Callable[[dict[str, DataFrame], dict[str, Value]], DataFrame] | None = None
     params: dict[str, Value] = field(default_factory=dict)
     depends_on: tuple[str, ...] = ()
+    reads: tuple[str, ...] | None = None  # sources that it reads; None: any of them
     changelog: tuple[str, ...] = ()
     export: bool = True
     shard_by: str | None = None
@@ -70,28 +75,52 @@ def evaluate(spark: SparkSession, metric: Metric, views: dict[str, DataFrame]) -
     return spark.sql(metric.sql, args=metric.params)
 
 
-def materialise(spark: SparkSession, metrics: list[Metric], sources: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+class Materialised(dict[str, DataFrame]):
+    """Written metrics by name, and how many rows each was written with."""
+
+    def __init__(self):
+        super().__init__()
+        self.rows: dict[str, int] = {}
+
+
+Source = DataFrame | Callable[[], DataFrame]
+
+
+def materialise(spark: SparkSession, metrics: list[Metric], sources: dict[str, Source], folder: str) -> Materialised:
     """Run all metrics into folder/<name>, with columns metric and version; each result is read back for those after it.
 
-    `row_counts` says how many rows each of the tables has, from their files' footers.
+    A source may be a function: it is called when the first metric that reads it runs, and not at all if none does. Rows
+    are counted while they are written.
     """
-    views = dict(sources)
-    done: dict[str, DataFrame] = {}
+    built: dict[str, DataFrame] = {}
+    done = Materialised()
+
+    def source(m: Metric, name: str) -> DataFrame:
+        if name not in sources:
+            raise ValueError(f"{m.name} reads an unknown source: {name}")
+        if name not in built:
+            given = sources[name]
+            built[name] = given() if callable(given) else given
+        return built[name]
+
     for m in ordered(metrics):
-        path = f"{folder.rstrip('/')}/{m.name}"
-        evaluate(spark, m, views).withColumns({"metric": F.lit(m.name), "version": F.lit(m.version)}).write.mode("overwrite").option("compression", "zstd").parquet(path)
-        done[m.name] = spark.read.parquet(path)
-        views[m.name] = done[m.name].drop("metric", "version")
+        path, seen = f"{folder.rstrip('/')}/{m.name}", Observation()
+        # A metric that says what it reads sees that and what it depends on; one that doesn't sees everything so far.
+        before = m.depends_on if m.reads is not None else done
+        views = {name: source(m, name) for name in (sources if m.reads is None else m.reads)} | {name: done[name].drop("metric", "version") for name in before}
+        rows = evaluate(spark, m, views).withColumns({"metric": F.lit(m.name), "version": F.lit(m.version)})
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", "zstd").parquet(path)
+        done[m.name], done.rows[m.name] = spark.read.parquet(path), seen.get["rows"]
     return done
 
 
-def row_counts(done: dict[str, DataFrame]) -> DataFrame:
-    """(metric, rows) of written metrics."""
+def row_counts(done: Materialised) -> DataFrame:
+    """(metric, rows) of written metrics, as counted while they were written."""
     spark = next(iter(done.values())).sparkSession
-    return spark.createDataFrame([(name, df.count()) for name, df in done.items()], "metric string, rows long")
+    return spark.createDataFrame(list(done.rows.items()), "metric string, rows long")
 
 
-def export(done: dict[str, DataFrame], metrics: list[Metric]) -> DataFrame:
+def export(done: Materialised, metrics: list[Metric]) -> DataFrame:
     """One row per exportable metric in run order: (position, metric, version, points), points sorted by time.
 
     NULL values are exported as 0. Series are days or weeks long: one of more than MOST_POINTS points, such as a minute
@@ -100,7 +129,7 @@ def export(done: dict[str, DataFrame], metrics: list[Metric]) -> DataFrame:
     rows = None
     for n, m in enumerate(x for x in ordered(metrics) if x.export):
         points = F.sort_array(F.collect_list(F.struct(F.col("timestamp_ms").alias("timestampMs"), F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"))))
-        if done[m.name].count() > MOST_POINTS:
+        if done.rows[m.name] > MOST_POINTS:
             raise ValueError(f"{m.name} has too many points to be exported")
         one = done[m.name].agg(points.alias("points")).select(F.lit(n).alias("position"), F.lit(m.name).alias("metric"), F.lit(m.version).alias("version"), "points")
         rows = one if rows is None else rows.unionByName(one)
@@ -126,9 +155,11 @@ def materialise_sharded(spark: SparkSession, metric: Metric, sources: dict[str,
     if metric.shard_by is None:
         raise ValueError(f"{metric.name} has no shard_by")
     key, base = metric.shard_by, f"{folder.rstrip('/')}/{metric.name}"
-    bucket = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(buckets)).cast("int")
-    inputs = [tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("*"))).first()) for _, df in sorted(sources.items())]
-    code = [code_of(f) for f in (metric.build, metric.keyed)]
+    bucket = bucket_of(key, buckets)
+    sources = {name: df() if callable(df) else df for name, df in sources.items() if metric.reads is None or name in metric.reads}
+    # A sum as well as an exclusive or: pairs of equal rows cancel in the latter.
+    inputs = [tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("*")), F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()) for _, df in sorted(sources.items())]
+    code = [definition(f) for f in (metric.build, metric.keyed)]
     parts = (metric.name, metric.version, metric.sql, code, sorted(metric.params.items()), buckets, sorted(sources), inputs)
     fingerprint = hashlib.sha256(repr(parts).encode()).hexdigest()
     schema = "bucket int, fingerprint string"
@@ -150,13 +181,74 @@ def materialise_sharded(spark: SparkSession, metric: Metric, sources: dict[str,
     return spark.read.parquet(base).drop("bucket")
 
 
-def code_of(f: Callable | None) -> str:
-    """What a function does, as text: its own code and that of the functions it holds on to, wherever they are."""
-    if f is None:
-        return ""
-    inner = [c.cell_contents for c in f.__closure__ or ()]
-    consts = [c.co_code.hex() if hasattr(c, "co_code") else repr(c) for c in f.__code__.co_consts]
-    return repr((f.__code__.co_code.hex(), f.__code__.co_names, consts, [code_of(x) if inspect.isfunction(x) else repr(x) for x in inner]))
+def bucket_of(key: str, buckets: int) -> Column:
+    """The bucket of a row by its key, from 0; null counts as the empty text."""
+    return F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(buckets)).cast("int")
+
+
+def definition(f: Callable | None) -> str:
+    """Digest of what a function does: its code and that of all it reaches, through names, modules, classes and closures.
+
+    Code of installed libraries is named but not followed. What a function finds in other ways, such as by a computed
+    name or an attribute of an object, is not seen.
+    """
+    found: dict[str, str] = {}
+    _describe(f, found)
+    return hashlib.sha256(repr(sorted(found.items())).encode()).hexdigest()
+
+
+def _describe(value, found: dict[str, str]) -> str:
+    """Text that stands for a value; functions and classes of ours are put into found under their names."""
+    if inspect.isfunction(value):
+        name = f"{value.__module__}.{value.__qualname__}:{value.__code__.co_firstlineno if '<' in value.__qualname__ else ''}"
+        if _is_ours(value.__module__) and name not in found:
+            found[name] = ""  # so that a circle ends
+            code, inner = value.__code__, [c.cell_contents for c in value.__closure__ or ()]
+            parts = [_of_code(code), [_describe(x, found) for x in inner], _describe(value.__defaults__, found), _describe(value.__kwdefaults__, found)]
+            for owner in (n for n in sorted(_names(code)) if n in value.__globals__):
+                reached = value.__globals__[owner]
+                if inspect.ismodule(reached):
+                    if _is_ours(reached.__name__):
+                        parts += [(owner, n, _describe(vars(reached)[n], found)) for n in sorted(_names(code)) if n in vars(reached)]
+                else:
+                    parts.append((owner, _describe(reached, found)))
+            found[name] = repr(parts)
+        return name
+    if inspect.isclass(value):
+        name = f"{value.__module__}.{value.__qualname__}"
+        if _is_ours(value.__module__) and name not in found:
+            found[name] = ""
+            found[name] = repr([(k, _describe(v, found)) for k, v in sorted(vars(value).items()) if not k.startswith("__") or inspect.isfunction(v)])
+        return name
+    if isinstance(value, (staticmethod, classmethod)):
+        return _describe(value.__func__, found)
+    if isinstance(value, (list, tuple)):
+        return repr([_describe(x, found) for x in value])
+    if isinstance(value, (set, frozenset)):
+        return repr(sorted(_describe(x, found) for x in value))
+    if isinstance(value, dict):
+        return repr(sorted((_describe(k, found), _describe(v, found)) for k, v in value.items()))
+    if value is None or isinstance(value, (str, bytes, int, float, Decimal)):
+        return repr(value)
+    return f"{type(value).__module__}.{type(value).__qualname__}"
+
+
+def _of_code(code) -> str:
+    return repr((code.co_code.hex(), code.co_names, code.co_varnames, [_of_code(c) if hasattr(c, "co_code") else repr(c) for c in code.co_consts]))
+
+
+def _names(code) -> set[str]:
+    """Names that a function's code, and the functions inside of it, look up."""
+    return set(code.co_names).union(*[_names(c) for c in code.co_consts if hasattr(c, "co_code")])
+
+
+@lru_cache(maxsize=None)
+def _is_ours(module: str) -> bool:
+    """Whether a module is of this package, or neither Python's nor an installed library's."""
+    if module.split(".")[0] == __name__.split(".")[0]:
+        return True
+    file = getattr(sys.modules.get(module.split(".")[0]), "__file__", None) or getattr(sys.modules.get(module), "__file__", None)
+    return file is not None and not any(file.startswith(sysconfig.get_path(p)) for p in ("stdlib", "platstdlib", "purelib", "platlib"))
 
 
 def found_or_none(spark: SparkSession, path: str, schema: str | None = None, kind: str = "parquet") -> DataFrame | None:

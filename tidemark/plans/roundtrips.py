@@ -124,14 +124,14 @@ register("p22_slugs", "SELECT p_partkey, trim(regexp_replace(lower(p_brand || '
 
 
 def minute_candles(candles):
-    """Candles of one venue, so that the monthly partitions are some hundreds."""
-    candles = candles.withColumn("exchange", F.lit("x"))
+    """Candles of two venues, their line status, so that the monthly partitions are some hundreds."""
     price = [F.col("close").cast("double").alias(c) for c in ("open", "high", "low", "close")]
-    return candles.select("exchange", "pair", "timestamp_ms", *price, F.col("base_volume").cast("double").alias("base_volume"), F.col("quote_volume").cast("double").alias("quote_volume"), F.lit(False).alias("is_partial"))
+    venue = F.substring("exchange", 1, 1).alias("exchange")
+    return candles.select(venue, "pair", "timestamp_ms", *price, F.col("base_volume").cast("double").alias("base_volume"), F.col("quote_volume").cast("double").alias("quote_volume"), F.lit(False).alias("is_partial"))
 
 
 def _newest(late: str) -> str:
-    return oracle(["candles"], f"SELECT exchange, pair, timestamp_ms, close, base_volume, quote_volume FROM (SELECT 'x' AS exchange, * EXCLUDE (exchange), row_number() OVER (PARTITION BY pair, timestamp_ms ORDER BY {late}close DESC, base_volume DESC, quote_volume DESC) AS nth FROM candles) WHERE nth = 1")
+    return oracle(["candles"], f"SELECT exchange, pair, timestamp_ms, close, base_volume, quote_volume FROM (SELECT substr(exchange, 1, 1) AS exchange, * EXCLUDE (exchange), row_number() OVER (PARTITION BY substr(exchange, 1, 1), pair, timestamp_ms ORDER BY {late}close DESC, base_volume DESC, quote_volume DESC) AS nth FROM candles) WHERE nth = 1")
 
 
 def stored_candles(s, folder):
@@ -147,6 +147,17 @@ def candle_upsert(s, d):
     return stored_candles(s, folder)
 
 
+@register("snk01_files_in_order", oracle(["candles"], "SELECT substr(exchange, 1, 1) AS exchange, pair, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m') AS month, count(DISTINCT timestamp_ms) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM candles GROUP BY 1, 2, 3"))
+def files_in_order(s, d):
+    """Rows of each candle file, and how many of them come before an earlier one; later candles were merged in."""
+    folder, rows = shared_folder(s, "ordered"), t.candles(s, d)
+    for part in (rows.where("quote_volume % 3 <> 0"), rows.where("quote_volume % 3 = 0")):
+        tables.upsert_candles(minute_candles(part), folder)
+    found = tables.out_of_order(s.read.schema(SCHEMAS["ohlcv_1m"] + ", month string").parquet(folder), "timestamp_ms")
+    key = lambda name: F.regexp_extract("file", f"/{name}=([^/]+)/", 1).alias(name)
+    return found.select(key("exchange"), key("pair"), key("month"), "rows", "out_of_order").groupBy("exchange", "pair", "month").agg(F.sum("rows").alias("rows"), F.sum("out_of_order").alias("out_of_order"))
+
+
 @register("t03_streamed_upserts", _newest(""))
 def streamed_upserts(s, d):
     folder = shared_folder(s, "streamed")
@@ -155,7 +166,7 @@ def streamed_upserts(s, d):
     return stored_candles(s, f"{folder}/table")
 
 
-@register("d19_monthly_partitions", oracle(["candles"], "SELECT 'x' AS exchange, pair, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m') AS month, count(DISTINCT timestamp_ms) AS minutes FROM candles GROUP BY 1, 2, 3"))
+@register("d19_monthly_partitions", oracle(["candles"], "SELECT substr(exchange, 1, 1) AS exchange, pair, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m') AS month, count(DISTINCT timestamp_ms) AS minutes FROM candles GROUP BY 1, 2, 3"))
 def monthly_partitions(s, d):
     folder = shared_folder(s, "months")
     tables.upsert_candles(minute_candles(t.candles(s, d)), folder)
@@ -264,16 +275,82 @@ register("j10_decode_spec", oracle(["stamps"], "SELECT block_number, spec_versio
 )
 
 
-@register("d07_repair", oracle(["transfers"], "SELECT block_number, event_index, CASE WHEN block_number % 97 = 3 THEN amount_rao + 1 ELSE amount_rao END AS amount_rao FROM transfers"))
+def landed_metadata(s, d) -> str:
+    """Metadata of every version but that of the last stamp, landed twice."""
+    folder = shared_folder(s, "metadata")
+    found = t.stamps(s, d).groupBy("spec_version").agg(F.min("block_number").alias("captured_at_block"))
+    rows = found.select("spec_version", F.concat(F.lit("0x"), F.hex("spec_version")).alias("metadata_hex"), "captured_at_block")
+    for part in (rows, rows.withColumn("captured_at_block", F.col("captured_at_block") + 1).withColumn("metadata_hex", F.lit("0xff"))):
+        tables.append(part, folder)
+    return folder
+
+
+_DECODE = "SELECT block_number, spec_version, coalesce(CASE WHEN lag(spec_version) OVER w <> spec_version THEN lag(spec_version) OVER w END, spec_version) AS decode_spec FROM canonical WINDOW w AS (ORDER BY block_number)"
+
+
+@register("src04_block_metadata", oracle(["stamps"], f"SELECT *, '0x' || to_hex(decode_spec) AS metadata_hex FROM ({_DECODE})", canonical=_PLAN))
+def block_metadata(s, d):
+    """Each block's metadata, scanned from where it landed; a block without any would stop the job."""
+    blocks = chain.canonical_blocks(t.stamps(s, d)).select("block_number", "spec_version")
+    return chain.with_metadata(blocks, chain.checked_plan(t.stamps(s, d)), tables.read(s, "chain_metadata", landed_metadata(s, d)))
+
+
+@register("j10_missing_metadata", oracle(["stamps"], f"SELECT decode_spec, count(*) AS blocks FROM ({_DECODE}) WHERE decode_spec % 3 = 1 GROUP BY 1", canonical=_PLAN))
+def missing_metadata(s, d):
+    """Versions whose metadata is lost, and how many blocks would need them."""
+    blocks = chain.canonical_blocks(t.stamps(s, d)).select("block_number", "spec_version")
+    chosen = chain.with_decode_spec(blocks, chain.checked_plan(t.stamps(s, d)))
+    some = tables.read(s, "chain_metadata", landed_metadata(s, d)).where("spec_version % 3 <> 1")
+    return chain.missing_specs(chosen, some).groupBy("decode_spec").agg(F.count("*").alias("blocks"))
+
+
+#: Stamps of decoded blocks: a new version every 400 blocks; the block before every other one has both stamps.
+PART, PER_VERSION = 100, 400
+
+
+def decoded_plan(decoded):
+    own = decoded.select("block_number", div(F.col("block_number"), PER_VERSION).cast("int").alias("spec_version"))
+    both = own.where((F.pmod("block_number", F.lit(PER_VERSION)) == PER_VERSION - 1) & (F.col("spec_version") % 2 == 0))
+    return chain.checked_plan(own.unionByName(both.withColumn("spec_version", F.col("spec_version") + 1)))
+
+
+def repaired(s, d):
+    """(path, schema, parts before): transfers in parts of 100 blocks, with wrong amounts where the plan has a block, repaired."""
+    folder, decoded = shared_folder(s, "repair"), t.decoded(s, d)
+    plan = decoded_plan(decoded)
+    wrong = F.col("block_number").isin([r[0] for r in plan.select("block_number").collect()])  # two for each version
+    rows = chain.transfers_of(chain.event_rows(decoded.where("events is not null"))).withColumn("amount_rao", F.when(wrong, F.col("amount_rao") + 1).otherwise(F.col("amount_rao")).cast("decimal(20,0)"))
+    tables.overwrite_partitions(rows.withColumn("part", div(F.col("block_number"), PART).cast("long")), folder, "part", order=["block_number", "event_index"])
+    before = _part_files(s, folder)
+    before.write.parquet(f"{folder}.before")
+    changed = chain.repair_blocks(folder, SCHEMAS["transfers"], plan, decoded, chain.transfers_of, PART)
+    return folder, s.read.schema(before.schema).parquet(f"{folder}.before"), changed
+
+
+def _part_files(s, folder):
+    found = s.read.schema(SCHEMAS["transfers"] + ", part long").parquet(folder)
+    return found.groupBy("part").agg(F.array_join(F.sort_array(F.collect_set("_metadata.file_name")), ",").alias("files"))
+
+
+_PLANNED = f"(block_number % {PER_VERSION} = {PER_VERSION - 1} AND block_number // {PER_VERSION} % 2 = 0) OR (block_number % {PER_VERSION} = 0 AND block_number // {PER_VERSION} % 2 = 0 AND block_number > 0)"
+_MOVED = "SELECT block_number, event_index, u AS from_coldkey, o AS to_coldkey, amount_rao FROM decoded WHERE k = 0 AND block_number % 50 <> 7"
+
+
+@register("d07_repair", oracle(["decoded"], _MOVED))
 def repair(s, d):
-    """Silver in parts of 1,000 blocks, rebuilt where a block was wrong."""
-    folder = shared_folder(s, "repair")
-    rows = longs(t.transfers(s, d), "amount_rao").select("block_number", "event_index", "amount_rao", div(F.col("block_number"), 1000).alias("part"))
-    tables.overwrite_partitions(rows, folder, "part")
-    old = s.read.schema(rows.schema).parquet(folder)
-    rebuilt = rows.withColumn("amount_rao", F.when(F.col("block_number") % 97 == 3, F.col("amount_rao") + 1).otherwise(F.col("amount_rao")))
-    chain.repair(old, rebuilt, s.createDataFrame([], "block_number long"), folder)
-    return s.read.schema(rows.schema).parquet(folder).drop("part")
+    """Transfers after the blocks at version changes and with two stamps were decoded again."""
+    return longs(s.read.schema(SCHEMAS["transfers"]).parquet(repaired(s, d)[0]), "amount_rao").drop("timestamp_ms", "part")
+
+
+register("d07_changed_blocks", oracle(["decoded"], f"SELECT block_number, count(*) AS removed, count(*) AS added FROM ({_MOVED}) WHERE {_PLANNED} GROUP BY 1"))(lambda s, d: repaired(s, d)[2])
+
+
+@register("d07_rewritten_parts", oracle(["decoded"], f"SELECT block_number // {PART} AS part, bool_or({_PLANNED}) AS rewritten FROM (SELECT DISTINCT block_number FROM decoded) GROUP BY 1 HAVING part IN (SELECT block_number // {PART} FROM ({_MOVED}))"))
+def rewritten_parts(s, d):
+    """Which parts have other files after the repair: those that hold a block of the plan."""
+    folder, before, _ = repaired(s, d)
+    after = _part_files(s, folder).withColumnRenamed("files", "now")
+    return before.join(after, "part", "full").select("part", (~F.col("files").eqNullSafe(F.col("now"))).alias("rewritten"))
 
 
 @register("d10_sharded_balances", oracle(["balances"], "SELECT coldkey, timestamp_ms, CAST(balance_rao AS BIGINT) AS balance_rao FROM balances"))
@@ -285,11 +362,41 @@ def sharded_balances(s, d):
     return longs(registry.materialise_sharded(s, entry, sources, folder, 8), "balance_rao")
 
 
-@register("p08_bucket_rows", oracle(["transfers"], "SELECT from_coldkey AS coldkey, CAST(1 AS BIGINT) AS buckets, count(*) AS rows FROM transfers GROUP BY 1"))
+@register("p08_bucket_rows", oracle(["transfers"], "SELECT CASE WHEN event_index <> 3 THEN from_coldkey END AS coldkey, CAST(1 AS BIGINT) AS buckets, true AS in_range, count(*) AS rows FROM transfers GROUP BY 1"))
 def bucket_rows(s, d):
-    """Every account lies in one bucket of the sharded run."""
-    bucket = F.pmod(F.xxhash64("from_coldkey"), F.lit(64))
-    return t.transfers(s, d).groupBy(F.col("from_coldkey").alias("coldkey")).agg(F.count_distinct(bucket).alias("buckets"), F.count("*").alias("rows"))
+    """Every account lies in one bucket of the sharded run, rows without one in the same."""
+    rows = t.transfers(s, d).select(F.when(F.col("event_index") != 3, F.col("from_coldkey")).alias("coldkey")).withColumn("bucket", registry.bucket_of("coldkey", 64))
+    return rows.groupBy("coldkey").agg(F.count_distinct("bucket").alias("buckets"), F.bool_and(F.col("bucket").between(0, 63)).alias("in_range"), F.count("*").alias("rows"))
+
+
+@register("d08_dimension_on_demand", oracle(["transfers", "protocol"], """SELECT 'prices' AS run, CAST(0 AS BIGINT) AS built, CAST(0 AS BIGINT) AS transfers UNION ALL
+    SELECT 'transfers', 1, count(*) FROM transfers WHERE from_coldkey IN (SELECT coldkey FROM protocol) OR to_coldkey IN (SELECT coldkey FROM protocol)"""))
+def dimension_on_demand(s, d):
+    """How often the protocol accounts are derived: not for prices alone, once for both metrics that read them."""
+    built, rows = [], []
+
+    def accounts():
+        built.append(1)
+        return t.protocol(s, d)
+
+    for run, names in (("prices", ["price_composite_usd"]), ("transfers", ["transfer_count_daily", "transfer_count_protocol_daily"])):
+        entries = [m for m in metrics("A,R", "N", "O1", "A", "2-HIGH") if m.name in names]
+        done = registry.materialise(s, entries, catalog.registry_sources(s, d) | {"pallet_accounts": accounts}, shared_folder(s, f"demand-{run}"))
+        total = done["transfer_count_protocol_daily"].agg(F.sum("value")).first()[0] if "transfer_count_protocol_daily" in done else 0
+        rows.append((run, len(built), total))
+    return s.createDataFrame(rows, "run string, built long, transfers long")
+
+
+@register("d13_reconcile_resumed", catalog.ORACLES["d13_reconcile_checkpoints"])
+def reconcile_resumed(s, d):
+    """Three runs, each up to a later block, the later ones without the legs of windows that are done."""
+    (lo, hi), folder = catalog.block_range(s, d), shared_folder(s, "reconciled")
+    legs, observed = catalog.legs(s, d), catalog.observed_windows(s, d)
+    for upto in (lo + (hi - lo) // 3, lo + 2 * (hi - lo) // 3, hi):
+        found = reconcile.reconcile_resumed(legs, observed, lo, upto, 2000, folder)
+        done = (upto - lo + 1) // 2000
+        legs, observed = legs.where(F.col("block_number") >= lo + done * 2000), observed.where(F.col("window_index") >= done)
+    return longs(found, "baseline", "delta", "expected", "observed")
 
 
 # --- checks -----------------------------------------------------------------------------------------------------------
@@ -297,6 +404,9 @@ def bucket_rows(s, d):
 register("a16_sizing_total", f"SELECT count(*) AS windows, CAST(sum(touched) AS BIGINT) AS touched, CAST(sum(new) AS BIGINT) AS new, CAST(sum(calls) AS BIGINT) AS calls FROM ({catalog.ORACLES['d14_reconciliation_sizing']})")(
     lambda s, d: reconcile.sizing_total(catalog.sizing(s, d))
 )
+register("q03_negative_balances", oracle(["balances"], "SELECT coldkey, count(*) AS days, CAST(min(balance_rao) AS BIGINT) AS least_rao FROM balances WHERE balance_rao < 0 GROUP BY 1"))(
+    lambda s, d: longs(quality.negative_balances(catalog.balances(s, d)), "least_rao")
+)
 register("o03_first_divergences", f"SELECT * FROM ({catalog.ORACLES['d11_cross_rate_check']}) ORDER BY timestamp_ms LIMIT 20")(
     lambda s, d: prices.first_divergences(catalog.cross_rate_check(s, d), 20)
 )
@@ -309,12 +419,50 @@ def segments_log(s, d):
     return tables.read_or_empty(s, "runtime_versions", folder)
 
 
+def in_turns(s, df, column: str, folder: str, turns: int, run) -> tuple[int, int]:
+    """Land rows in turns of equal time, in order, and run a stream after each; (least, width) of the turns."""
+    lo, hi = df.agg(F.min(column), F.max(column)).first()
+    turn = F.floor((F.col(column) - lo) * turns / (hi - lo + 1))
+    for k in range(turns):
+        df.where(turn == k).write.mode("append").parquet(folder)
+        run(k, lo + (k + 1) * (hi - lo + 1) // turns - 1)
+    return lo, hi
+
+
 @register("t07_live_rate", catalog.ORACLES["m04_cross_rate"])
 def live_rate(s, d):
-    """Two landed price series, joined as streams."""
-    folder, schema = shared_folder(s, "rates"), "timestamp_ms long, value double"
-    for name, df in (("usd", catalog.usd(s, d)), ("reference", catalog.reference(s, d))):
-        df.select("timestamp_ms", "value").write.parquet(f"{folder}/{name}")
-    rate = streams.live_rate(streams.landed(s, f"{folder}/usd", schema), streams.landed(s, f"{folder}/reference", schema), "3650 days")
-    streams.run_available(rate, f"{folder}/table", f"{folder}/checkpoint")
-    return s.read.schema(schema).parquet(f"{folder}/table")
+    """Two price series that land in three turns, joined as streams that remember two days."""
+    folder, schema = shared_folder(s, "rates"), "timestamp_ms long, side string, value double"
+    both = catalog.usd(s, d).withColumn("side", F.lit("usd")).unionByName(catalog.reference(s, d).withColumn("side", F.lit("reference")))
+    tables.append(both.select("timestamp_ms", "side", "value"), f"{folder}/both")
+    rows = s.read.schema(schema).parquet(f"{folder}/both")
+
+    def run(k, upto):
+        of = lambda side: streams.landed(s, f"{folder}/in", schema).where(F.col("side") == side).select("timestamp_ms", "value")
+        streams.run_available(streams.live_rate(of("usd"), of("reference"), "2 days"), f"{folder}/table", f"{folder}/checkpoint")
+
+    in_turns(s, rows, "timestamp_ms", f"{folder}/in", 3, run)
+    return s.read.schema("timestamp_ms long, value double").parquet(f"{folder}/table")
+
+
+SILENT = 2 * 86_400_000
+
+
+@register("t06_silence_alarms", f"""WITH ticks_ AS (SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS series, epoch_us(ts) // 1000 // 3600000 * 3600000 AS ms FROM events),
+    b AS (SELECT min(ms) AS lo, max(ms) AS hi FROM ticks_), parts AS (SELECT series, ms, (ms - lo) * 3 // (hi - lo + 1) AS k FROM ticks_, b),
+    clock AS (SELECT k, lo + (k + 1) * (hi - lo + 1) // 3 - 1 AS now_ms FROM b, (SELECT unnest([0, 1, 2]) AS k) UNION ALL SELECT 3, hi + 432000000 FROM b),
+    latest AS (SELECT c.k, p.series, max(p.ms) AS last_ms FROM clock c JOIN parts p ON p.k <= c.k GROUP BY 1, 2)
+    SELECT DISTINCT series, last_ms + {SILENT} AS silent_from_ms FROM latest JOIN clock USING (k) WHERE last_ms + {SILENT} < now_ms - 3600000""")
+def silence_alarms(s, d):
+    """Users without an event for two days, as ticks land in three turns; then all of them stop and only the clock goes on."""
+    folder, schema = shared_folder(s, "silence"), "series string, timestamp_ms long"
+    ticks = t.table(s, d, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("series"), (F.floor(millis("ts") / 3_600_000) * 3_600_000).cast("long").alias("timestamp_ms")).distinct()
+
+    def run(k, now):
+        tables.append(s.createDataFrame([(now,)], "timestamp_ms long"), f"{folder}/clock")
+        alarms = streams.silence_alarms(streams.landed(s, f"{folder}/in", schema), SILENT, "1 hour", streams.landed(s, f"{folder}/clock", "timestamp_ms long"))
+        streams.run_available(alarms, f"{folder}/table", f"{folder}/checkpoint")
+
+    _, hi = in_turns(s, ticks, "timestamp_ms", f"{folder}/in", 3, run)
+    run(3, hi + 432_000_000)
+    return s.read.schema("series string, silent_from_ms long").parquet(f"{folder}/table")

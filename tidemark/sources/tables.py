@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time_buckets import month_key
+from tidemark.sources.files import Files, beside
 from tidemark.sources.schemas import SCHEMAS
 
 
@@ -17,14 +18,19 @@ def read(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(path)
 
 
-def read_or_empty(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """The table, or an empty one of its schema where nothing was written yet."""
+def read_table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table by its schema, or an empty one where nothing was written yet."""
     try:
-        return read(spark, name, path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], SCHEMAS[name])
+        return spark.createDataFrame([], schema)
+
+
+def read_or_empty(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A persisted table, or an empty one of its schema where nothing was written yet."""
+    return read_table_or_empty(spark, path, SCHEMAS[name])
 
 
 def read_blocks(spark: SparkSession, path: str, first: int | None = None, last: int | None = None, blocks: Iterable[int] | None = None) -> DataFrame:
@@ -57,9 +63,19 @@ def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
-    """Replace exactly the partitions that df has rows of."""
-    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+def overwrite_partitions(df: DataFrame, path: str, *by: str, order: Iterable[str] = ()) -> None:
+    """Replace exactly the partitions that df has rows of; their files are sorted by `order`.
+
+    The sort comes after the exchange and begins with the partition columns, so the writer keeps it.
+    """
+    df.repartition(*by).sortWithinPartitions(*by, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def out_of_order(df: DataFrame, *order: str) -> DataFrame:
+    """(file, rows, out_of_order): how many rows of each file of a table come before an earlier one, by their place in the file."""
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = F.lag(F.struct(*order)).over(Window.partitionBy("_file").orderBy("_row"))
+    return placed.withColumn("_back", before > F.struct(*order)).groupBy(F.col("_file").alias("file")).agg(F.count("*").alias("rows"), F.count_if("_back").alias("out_of_order"))
 
 
 def write_ranges(df: DataFrame, path: str, number: str, size: int, name: str = "first") -> None:
@@ -96,23 +112,16 @@ def upsert_candles(new: DataFrame, path: str) -> None:
     """Merge candles into their (exchange, pair, month) partitions; a new row replaces the old one of its minute.
 
     Only the partitions that new rows fall into are read and written. The merged rows go through a staged copy beside
-    the table, as a partition cannot be read and overwritten in one job.
+    the table, under a name of its own, as a partition cannot be read and overwritten in one job. Files are sorted by time.
     """
     spark = new.sparkSession
     keyed = new.withColumn("month", month_key("timestamp_ms"))
-    old = _partitioned(spark, path)
+    old = read_table_or_empty(spark, path, SCHEMAS["ohlcv_1m"] + ", month string")
     touched = keyed.select("exchange", "pair", "month").distinct()
     merged = latest_by_key(old.join(touched, ["exchange", "pair", "month"], "left_semi").select(*keyed.columns), keyed, ["exchange", "pair", "timestamp_ms"])
-    staged = f"{path.rstrip('/')}.staged"
-    merged.write.mode("overwrite").parquet(staged)
-    overwrite_partitions(spark.read.schema(merged.schema).parquet(staged).sortWithinPartitions("timestamp_ms"), path, "exchange", "pair", "month")
-
-
-def _partitioned(spark: SparkSession, path: str) -> DataFrame:
-    schema = SCHEMAS["ohlcv_1m"] + ", month string"
+    staged = beside(path, "staged")
+    merged.write.parquet(staged)
     try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+        overwrite_partitions(spark.read.schema(merged.schema).parquet(staged), path, "exchange", "pair", "month", order=["timestamp_ms"])
+    finally:
+        Files(spark, staged).delete(staged)

@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
+from tidemark.sources.schemas import RAO_SUM
 from tidemark.sources.tables import upsert_candles
 
+#: The state store for state by `transformWithState`.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def landed(spark: SparkSession, folder: str, schema: str, glob: str | None = None) -> DataFrame:
     """A stream of the Parquet files in a folder."""
@@ -22,9 +29,17 @@ def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append
     df.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path).awaitTermination()
 
 
-def run_batches(df: DataFrame, write, checkpoint: str, mode: str = "update") -> None:
-    """The same with a function (batch, number) as the sink."""
-    df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def run_batches(df: DataFrame, write, checkpoint: str, mode: str = "update", state: str | None = None) -> None:
+    """The same with a function (batch, number) as the sink; state: the class that keeps the state, if not the session's."""
+    conf, key = df.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key)
+    try:
+        if state:
+            conf.set(key, state)
+        query = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.set(key, before)
+    query.awaitTermination()
 
 
 def deduplicated(events: DataFrame, keys: list[str], ts: str = "timestamp_ms", late: str = "1 day") -> DataFrame:
@@ -49,29 +64,48 @@ def daily_figures(candles: DataFrame, late: str = "2 days", width: str = "1 day"
     )
 
 
-def running_balances(legs: DataFrame) -> DataFrame:
-    """(coldkey, balance_rao) after each batch, from (coldkey, delta): one exact state per account.
+def summed_by_batch(legs: DataFrame) -> DataFrame:
+    """(coldkey, delta): one row for each account in each Arrow batch, so that few rows of a busy account meet its state."""
 
-    Integers are held as text, so no sum leaves DECIMAL(38,0). In update mode a key is emitted when it changes.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by("coldkey").aggregate([("delta", "sum")])
+            yield from found.select(["coldkey", "delta_sum"]).rename_columns(["coldkey", "delta"]).cast(batch.schema).to_batches()
+
+    whole = legs.select("coldkey", F.col("delta").cast(RAO_SUM).alias("delta")).where("delta is not null")
+    return whole.mapInArrow(run, f"coldkey string, delta {RAO_SUM}")
+
+
+class _Balance(StatefulProcessor):
+    """An account's balance, an exact decimal."""
+
+    def init(self, handle) -> None:
+        self.total = handle.getValueState("total", f"total {RAO_SUM}")
 
-    def fold(key, batches: Iterator[pd.DataFrame], state):
-        total = int(state.get[0]) if state.exists else 0
-        for pdf in batches:
-            total += sum(int(x) for x in pdf["delta"])
-        state.update((str(total),))
-        yield pd.DataFrame({"coldkey": [key[0]], "balance": [str(total)]})
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self.total.get()
+        total = sum((d for pdf in rows for d in pdf["delta"]), known[0] if known else Decimal(0))
+        self.total.update((total,))
+        yield pd.DataFrame({"coldkey": [key[0]], "balance_rao": [total]})
 
-    summed = legs.select("coldkey", F.col("delta").cast("string").alias("delta")).where("delta is not null")
-    found = summed.groupBy("coldkey").applyInPandasWithState(fold, "coldkey string, balance string", "total string", "update", "NoTimeout")
-    return found.select("coldkey", F.col("balance").cast("decimal(38,0)").alias("balance_rao"))
+    def close(self) -> None:
+        pass
+
+
+def running_balances(legs: DataFrame) -> DataFrame:
+    """(coldkey, balance_rao) after each batch, from (coldkey, delta): one exact state per account, emitted when it changes.
+
+    Legs are summed per account before they are shuffled, so an account with half of them is a few rows. The state needs
+    the RocksDB store: start the query with `run_batches(..., state=ROCKSDB)`.
+    """
+    return summed_by_batch(legs).groupBy("coldkey").transformWithStateInPandas(_Balance(), f"coldkey string, balance_rao {RAO_SUM}", "Update", "None")
 
 
 def gap_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour") -> DataFrame:
     """(series, gap_start_ms, gap_end_ms, missing): gaps of each series as they close, from (series, timestamp_ms).
 
     The state is the last bucket of the series. Buckets of one batch are put in order first; a bucket that comes later
-    than the watermark allows is not looked at.
+    than the watermark allows is dropped before it gets here, as event-time state has it (no timer is ever set).
     """
 
     def watch(key, batches: Iterator[pd.DataFrame], state):
@@ -87,19 +121,24 @@ def gap_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour") -> Data
         yield pd.DataFrame(found, columns=["series", "gap_start_ms", "gap_end_ms", "missing"])
 
     at = ticks.withColumn("_at", F.timestamp_millis("timestamp_ms")).withWatermark("_at", late).select("series", "timestamp_ms", "_at")
-    return at.groupBy("series").applyInPandasWithState(watch, "series string, gap_start_ms long, gap_end_ms long, missing long", "last long", "append", "NoTimeout")
+    return at.groupBy("series").applyInPandasWithState(watch, "series string, gap_start_ms long, gap_end_ms long, missing long", "last long", "append", "EventTimeTimeout")
 
 
-def silence_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour") -> DataFrame:
+def silence_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour", clock: DataFrame | None = None) -> DataFrame:
     """(series, silent_from_ms): series whose next tick is overdue, from (series, timestamp_ms); gap_alarms gives the gap once it closes.
 
     The state is the last bucket of the series and whether its silence is reported; the timer fires once the watermark has
-    passed the next bucket. Every call clears the timer, so a tick that is no news sets it again. The watermark moves with all series, so if all of them stop, none is reported.
+    passed the next bucket. Every call clears the timer, so a tick that is no news sets it again. The watermark moves with
+    all series and with clock, a stream of (timestamp_ms) such as one row for each run of the poller: with it, a stop of
+    all series is reported as well.
     """
 
     def watch(key, batches: Iterator[pd.DataFrame], state):
         found = []
-        if state.hasTimedOut:
+        if key[0] is None:  # the clock
+            for _ in batches:
+                pass
+        elif state.hasTimedOut:
             found.append((key[0], state.get[0] + interval_ms))
             state.update((state.get[0], True))
         else:
@@ -111,7 +150,10 @@ def silence_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour") ->
                 state.setTimeoutTimestamp(max(last + interval_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(found, columns=["series", "silent_from_ms"])
 
-    at = ticks.withColumn("_at", F.timestamp_millis("timestamp_ms")).withWatermark("_at", late).select("series", "timestamp_ms", "_at")
+    rows = ticks.select("series", "timestamp_ms").where("series is not null")
+    if clock is not None:  # before the watermark, so that there is one of both
+        rows = rows.unionByName(clock.select(F.lit(None).cast("string").alias("series"), "timestamp_ms"))
+    at = rows.withColumn("_at", F.timestamp_millis("timestamp_ms")).withWatermark("_at", late).select("series", "timestamp_ms", "_at")
     return at.groupBy("series").applyInPandasWithState(watch, "series string, silent_from_ms long", "last long, reported boolean", "append", "EventTimeTimeout")
 
 
