@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +27,46 @@ PART, GROUP = 65_536, 1_000
 #: Pieces of text that a worker remembers the ids of, and characters that the tokenizer gets at a time.
 MOST_PIECES, JOINED = 1 << 20, 100_000
 #: Bytes of text that are cut into pieces at a time.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: The code points that Unicode calls white space, as a character class.
 SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 SCHEMA = "doc_id long, doc_at long, n_tokens long, part int, ids array<int>"
 
 
+class Table:
+    """Ids of pieces of text by their keys: each has a number, and its ids stand at a place in one array."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.values, self.used = np.zeros(1 << 18, np.int32), 0
+
+    def keep(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Note the ids of new keys, which stand one after another in ids."""
+        n, more = len(self.known), len(keys)
+        while n + more > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros(len(x), x.dtype)]) for x in (self.starts, self.sizes))
+        while self.used + len(ids) > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros(len(self.values), np.int32)])
+        self.values[self.used : self.used + len(ids)] = ids
+        self.starts[n : n + more] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n : n + more] = sizes
+        self.known.update(zip(keys, range(n, n + more)))
+        self.used += len(ids)
+
+    def numbers(self, keys: list[str]) -> np.ndarray:
+        """Each key's number, -1 for unknown ones."""
+        return np.array([*map(self.known.get, keys, repeat(-1))], np.int64)
+
+    def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a sequence of pieces, and how many ids each piece has."""
+        sizes = self.sizes[numbers].astype(np.int64)
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.values[at], sizes
+
+
 class Encoder:
     """The tokenizers library behind a table of pieces of text.
 
@@ -56,71 +90,63 @@ class Encoder:
         self.pieces = re.compile(f"{narrow}*{narrow.replace('[', '[^', 1)}+|{narrow}+")
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         # White space of three or more characters, or of two at the end or before a special token, is more than splitting at spaces and line feeds gets right.
-        self.odd = "|".join([f"{SPACE}{{3}}|{SPACE}{{2}}$", *(re.sub(r"([^\w])", r"\\\1", x) for x in special)])
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
-        self.values, self.used = np.zeros(1 << 18, np.int32), 0
-
-    def _keep(self, piece: str, ids: np.ndarray) -> None:
-        n = len(self.known)
-        if n == len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros(n, x.dtype)]) for x in (self.starts, self.sizes))
-        while self.used + len(ids) > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros(len(self.values), np.int32)])
-        self.values[self.used : self.used + len(ids)] = ids
-        self.starts[n], self.sizes[n], self.known[piece] = self.used, len(ids), n
-        self.used += len(ids)
+        self.odd = "|".join([f"{SPACE}{{3}}|{SPACE}{{2}}$|\\x00", *(re.sub(r"([^\w])", r"\\\1", x) for x in special)])
+        # What is asked for again moves from the old table to the new one, which becomes the old one when it is full.
+        self.new, self.old = Table(), Table()
 
     def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
-    def _learn(self, pieces: Iterable[str]) -> None:
+    def _learn(self, keys: Iterable[str]) -> None:
         """Give new pieces to the library: those that start with one space or line feed joined, the others one by one."""
         group: list[str] = []
         size = 0
-        for piece in pieces:
-            if len(piece) > 1 and piece[0] in " \n" and not piece[1].isspace():
-                group.append(piece)
-                size += len(piece)
+        for key in keys:
+            body = key.removeprefix("\n")
+            if body and body[0] != "\0" and not body[0].isspace():
+                group.append(key)
+                size += len(key)
                 if size >= JOINED:
                     self._learn_joined(group)
                     group, size = [], 0
             else:
-                self._keep(piece, self._encode(piece))
+                self._learn_one(key)
         if group:
             self._learn_joined(group)
 
+    def _learn_one(self, key: str) -> None:
+        ids = self._encode(self.piece(key))
+        self.new.keep([key], ids, np.array([len(ids)]))
+
+    @staticmethod
+    def piece(key: str) -> str:
+        """The piece of text that a key stands for: what follows a space, a line feed and what follows it, or after a null the piece as it is."""
+        return key if key[:1] == "\n" else key[1:] if key[:1] == "\0" else " " + key
+
     def _learn_joined(self, group: list[str]) -> None:
-        ids = self._encode("".join(group))
+        ids = self._encode("".join([x if x[0] == "\n" else " " + x for x in group]))
         starts = np.flatnonzero(self.begins[ids])
         if len(starts) == len(group) and starts[0] == 0:
-            for piece, own in zip(group, np.split(ids, starts[1:])):
-                self._keep(piece, own)
+            self.new.keep(group, ids, np.diff(starts, append=len(ids)))
         else:  # a space or line feed inside of a piece
-            for piece in group:
-                self._keep(piece, self._encode(piece))
-
-    def numbers(self, pieces: list[str]) -> np.ndarray:
-        """Where the table has the ids of each piece; new ones are learnt."""
-        found = [self.known.get(x, -1) for x in pieces]
-        new = dict.fromkeys(x for x, n in zip(pieces, found) if n < 0)
-        if new and len(self.known) + len(new) > MOST_PIECES:
-            self.clear()
-            new = dict.fromkeys(pieces)
-        if new:
-            self._learn(new)
-            found = [self.known[x] for x in pieces]
-        return np.array(found, np.int64)
-
-    def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a sequence of pieces, and how many ids each piece has."""
-        sizes = self.sizes[numbers].astype(np.int64)
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return self.values[at], sizes
+            for key in group:
+                self._learn_one(key)
+
+    def numbers(self, keys: list[str]) -> np.ndarray:
+        """Numbers of the keys in the new table; pieces that neither table has are learnt."""
+        found = self.new.numbers(keys)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            wanted = list(dict.fromkeys([keys[k] for k in missing]))
+            if len(self.new.known) + len(wanted) > MOST_PIECES // 2:
+                self.new, self.old = Table(), self.new
+                missing, wanted = np.arange(len(keys)), list(dict.fromkeys(keys))
+            before = self.old.numbers(wanted)
+            again = before >= 0
+            self.new.keep([k for k, b in zip(wanted, again) if b], *self.old.gathered(before[again]))
+            self._learn([k for k, b in zip(wanted, again) if not b])
+            found[missing] = self.new.numbers([keys[k] for k in missing])
+        return found
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the ids of all texts one after another, and where each text's end."""
@@ -130,7 +156,7 @@ class Encoder:
         if odd.any():
             ids, ends = self.encode_all(texts.filter(pa.array(~odd)))
             plain = iter(np.split(ids, ends[:-1]))
-            found = [self.gathered(self.numbers(self.pieces.findall(t)))[0] if o else next(plain) for t, o in zip(texts.to_pylist(), odd)]
+            found = [self.new.gathered(self.numbers(["\0" + x for x in self.pieces.findall(t)]))[0] if o else next(plain) for t, o in zip(texts.to_pylist(), odd)]
             return np.concatenate(found), np.cumsum([len(x) for x in found])
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         coded = split.flatten().dictionary_encode()
@@ -139,12 +165,11 @@ class Encoder:
         offsets = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
         # A text's first piece has no space before it; the others have one, unless they start with their line feed.
         firsts = offsets[:-1]
-        plain = sorted({words[c] for c in np.unique(codes[firsts])})
-        numbers = self.numbers([x if x.startswith("\n") else " " + x for x in words] + plain)
-        own = dict(zip(plain, numbers[len(words) :]))
+        own, which = np.unique(codes[firsts], return_inverse=True)
+        numbers = self.numbers(words + ["\0" + words[c] for c in own])
         at = numbers[: len(words)][codes]
-        at[firsts] = [own[words[c]] for c in codes[firsts]]
-        ids, sizes = self.gathered(at)
+        at[firsts] = numbers[len(words) :][which]
+        ids, sizes = self.new.gathered(at)
         return ids, np.concatenate([[0], np.cumsum(sizes)])[offsets[1:]]
 
 
