@@ -29,13 +29,12 @@ def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append
     df.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path).awaitTermination()
 
 
-def run_batches(df: DataFrame, write, checkpoint: str, mode: str = "update", state: str | None = None) -> None:
-    """The same with a function (batch, number) as the sink; state: the class that keeps the state, if not the session's."""
+def run_batches(df: DataFrame, write, checkpoint: str, mode: str = "update", state: str = ROCKSDB) -> None:
+    """The same with a function (batch, number) as the sink; state: the class that keeps the state."""
     conf, key = df.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
     before = conf.get(key)
     try:
-        if state:
-            conf.set(key, state)
+        conf.set(key, state)
         query = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
         conf.set(key, before)
@@ -96,7 +95,7 @@ def running_balances(legs: DataFrame) -> DataFrame:
     """(coldkey, balance_rao) after each batch, from (coldkey, delta): one exact state per account, emitted when it changes.
 
     Legs are summed per account before they are shuffled, so an account with half of them is a few rows. The state needs
-    the RocksDB store: start the query with `run_batches(..., state=ROCKSDB)`.
+    the RocksDB store, with which run_batches starts a query.
     """
     return summed_by_batch(legs).groupBy("coldkey").transformWithStateInPandas(_Balance(), f"coldkey string, balance_rao {RAO_SUM}", "Update", "None")
 
@@ -104,12 +103,13 @@ def running_balances(legs: DataFrame) -> DataFrame:
 def gap_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour") -> DataFrame:
     """(series, gap_start_ms, gap_end_ms, missing): gaps of each series as they close, from (series, timestamp_ms).
 
-    The state is the last bucket of the series. Buckets of one batch are put in order first; a bucket that comes later
-    than the watermark allows is dropped before it gets here, as event-time state has it (no timer is ever set).
+    The state is the last bucket of the series. Buckets of one batch are put in order first; a bucket older than
+    the watermark is dropped.
     """
 
     def watch(key, batches: Iterator[pd.DataFrame], state):
-        times = sorted({int(t) for pdf in batches for t in pdf["timestamp_ms"]})
+        oldest = state.getCurrentWatermarkMs()
+        times = sorted({int(t) for pdf in batches for t in pdf["timestamp_ms"] if t >= oldest})
         last = state.get[0] if state.exists else None
         found = []
         for t in times:
@@ -121,7 +121,7 @@ def gap_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour") -> Data
         yield pd.DataFrame(found, columns=["series", "gap_start_ms", "gap_end_ms", "missing"])
 
     at = ticks.withColumn("_at", F.timestamp_millis("timestamp_ms")).withWatermark("_at", late).select("series", "timestamp_ms", "_at")
-    return at.groupBy("series").applyInPandasWithState(watch, "series string, gap_start_ms long, gap_end_ms long, missing long", "last long", "append", "EventTimeTimeout")
+    return at.groupBy("series").applyInPandasWithState(watch, "series string, gap_start_ms long, gap_end_ms long, missing long", "last long", "append", "NoTimeout")
 
 
 def silence_alarms(ticks: DataFrame, interval_ms: int, late: str = "1 hour", clock: DataFrame | None = None) -> DataFrame:
