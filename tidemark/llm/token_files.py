@@ -148,6 +148,10 @@ class Encoder:
             found[missing] = self.new.numbers([keys[k] for k in missing])
         return found
 
+    def _of_pieces(self, pieces: list[str]) -> np.ndarray:
+        numbers = self.numbers(["\0" + x for x in pieces])  # may begin a new table
+        return self.new.gathered(numbers)[0]
+
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the ids of all texts one after another, and where each text's end."""
         if not len(texts):
@@ -156,7 +160,7 @@ class Encoder:
         if odd.any():
             ids, ends = self.encode_all(texts.filter(pa.array(~odd)))
             plain = iter(np.split(ids, ends[:-1]))
-            found = [self.new.gathered(self.numbers(["\0" + x for x in self.pieces.findall(t)]))[0] if o else next(plain) for t, o in zip(texts.to_pylist(), odd)]
+            found = [self._of_pieces(self.pieces.findall(t)) if o else next(plain) for t, o in zip(texts.to_pylist(), odd)]
             return np.concatenate(found), np.cumsum([len(x) for x in found])
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         coded = split.flatten().dictionary_encode()
