@@ -84,7 +84,7 @@ def remove_repeated_lines(df: DataFrame, divisor: int = 2, doc_id: str = "doc_id
     a still earlier place. A text of one line loses nothing, and a text from which nothing is removed comes back as it
     is. Null texts are read as empty and have one empty line. Rows that repeat a doc_id are ordered by a hash of their
     text; equal rows lose the same chunks, and none if no other row has them. Rows with a null doc_id keep everything.
-    All other columns stay as they are. Time and memory grow with a text's lines in proportion.
+    All other columns stay as they are; those named as a result are replaced. Time and memory grow with a text's lines in proportion.
     """
     body = lambda column: F.coalesce(column, F.lit(""))
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), body(F.col(text)).alias("text")).where("doc_id is not null")
@@ -99,7 +99,7 @@ def remove_repeated_lines(df: DataFrame, divisor: int = 2, doc_id: str = "doc_id
         .withColumn("n_lines", F.size("lines").cast("long"))
         .withColumn("n_removed", F.col("n_lines") - F.size("_left"))
         .withColumn("kept_text", F.array_join(F.transform("_left", lambda i: F.get("lines", i)), "\n"))
-        .select("_row.*", "kept_text", "n_lines", "n_removed")
+        .select(*[F.col("_row").getField(c).alias(c) for c in df.columns if c.lower() not in ("kept_text", "n_lines", "n_removed")], "kept_text", "n_lines", "n_removed")
     )
 
 
