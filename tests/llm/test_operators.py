@@ -94,6 +94,21 @@ def test_merkle_locates_edits(spark):
     assert found[1].near_edited > 0.5 and found[1].first_changed > 20
 
 
+def test_merkle_descends_only_where_branches_differ(spark):
+    lines = [f"paragraph {k} says {' '.join(words(12, k))}." for k in range(60)] + ["\x01b marks \x01", "", "end"]
+    one = ("\n".join(lines[:20] + ["one more line."] + lines[20:]), "\n".join(lines))
+    trees = spark.createDataFrame([one, (one[1], one[1]), ("", one[1]), ("", "")], "x string, y string")
+    for name, prefix in (("x", "a_"), ("y", "b_")):
+        trees = merkle.with_tree(trees, name, prefix)
+    found = merkle.with_likeness(trees, "a_", "b_", "like").select("like", F.size(F.array_except("a_paragraphs", "b_paragraphs")).alias("new"), F.array_except("a_branches", "b_branches").alias("open"), "a_branches", "a_sections").collect()
+    assert found[0].new == 1 and 0.98 < found[0].like < 1 and [r.like for r in found[1:]] == [1.0, 0.0, 1.0]
+    # Only the section that holds the new line is looked into, and each branch has its section's digest.
+    assert 1 <= len(found[0].open) <= 2 < len(found[0].a_branches)
+    assert [b[: merkle.DIGEST] for b in found[0].a_branches] == found[0].a_sections
+    shared = sum(len(x.replace("\x01", "\x01a")) for x in lines)
+    assert found[0].like == pytest.approx(shared / (shared + len("one more line.")), abs=0.01)
+
+
 def brute_repeats(rows, window):
     """Kept words of each row, by the definition."""
     split = [(i, (t or "").encode().split()) for i, t, _ in rows]
@@ -200,6 +215,20 @@ def test_score_is_the_models_log_probability(spark):
         assert 0.99 < sum(p(w, context) for w in words) + (len(words) + 1) * p(b"?", context) < 1.01
 
 
+def test_the_filters_probabilities_add_up_to_one_after_frequent_and_rare_contexts(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("text").cast("binary").alias("text"))
+    counts, figures, data = ngram_model.train(rows)
+    exact = {bytes(r.token): r.c for r in counts.collect()}
+    assert figures["least_pair"] == figures["least_word"] == 1 and len(exact) > 50_000
+    model, words = ngram_model.Model(data, figures, {}), list(exact)
+    ranked = sorted(words, key=lambda w: (-exact[w], w))
+    contexts = [ranked[k] for k in (0, 1, 5, 20, 100, 500, 1_000, 3_000, 5_000, 10_000, 15_000)] + [b"never seen"]
+    unseen = (figures["words"] + 1) * model.p_of[0]
+    for context in contexts:
+        share = float(ngram_model.CONTEXT_SHARE[model.filter.codes(ngram_model.context_keys(np.array([ngram_model.word_hash(context)], np.uint64)))[0]])
+        assert 0.95 < model.after(context, words).sum() + (1 - share) * unseen < 1.01, (context, exact.get(context))
+
+
 @pytest.mark.parametrize("most_bits", [400_000, 60_000, 20_000, 1_000])
 def test_scores_do_not_depend_on_the_filter_bound(spark, most_bits):
     rows = [(i, " ".join(f"w{int(900 * random.Random(i * 1000 + k).random() ** 2)}" for k in range(300)), "a") for i in range(60)]
@@ -305,9 +334,11 @@ def jaccards(rows):
 
 
 def brute_alike(rows):
-    """Smallest ids of the groups that 256-bit fingerprints within the bound link, if three bytes of a triple are equal."""
+    """Smallest ids of the groups of likeness 0.8: pairs of 256-bit fingerprints within the bound, with three equal bytes of a triple, and alike by their shingle sets."""
     mask, prints = (1 << 64) - 1, {}
-    for i, shingles in shingle_sets(rows).items():
+    sets = shingle_sets(rows)
+    likeness = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    for i, shingles in sets.items():
         counts = [0] * 256
         for h in {xxhash.xxh64_intdigest(x, 42) for x in shingles if x}:
             for lane in range(4):
@@ -323,7 +354,7 @@ def brute_alike(rows):
     for a in sorted(prints):
         for b in sorted(prints):
             differing = prints[a] ^ prints[b]
-            if b < a and differing.bit_count() <= 46 and any(not any(differing >> 8 * p & 255 for p in t) for t in triples):
+            if b < a and differing.bit_count() <= 46 and any(not any(differing >> 8 * p & 255 for p in t) for t in triples) and likeness(a, b) >= 0.8:
                 low, high = sorted((root[a], root[b]))
                 root = {k: low if v == high else v for k, v in root.items()}
     return sorted(set(root.values()))
@@ -351,14 +382,60 @@ def test_alike_keeps_one_of_each_group(spark, monkeypatch):
         assert kept == brute_alike(rows) == [1, 7, 13, 19]
 
 
-def test_links_go_through_the_smallest(spark):
-    # Twenty lists of one group, each with a first member of its own: every member has up to twenty links.
-    links = [(first, b) for first in range(20) for b in range(first + 1, 200)] + [(500, 501), (501, 502)]
-    df = spark.createDataFrame(links, "a long, b long")
-    less = simhash.through_smallest(df)
-    assert less.where("a < b").count() == less.count() == 199 + 2
-    whole, found = (sorted(map(tuple, connected_components(x).distinct().collect())) for x in (df, less))
-    assert found == whole
+def test_pairs_of_a_list_connect_what_all_pairs_connect():
+    rng = np.random.default_rng(8)
+    for n, distance in ((2, 46), (14, 46), (60, 46), (300, 46), (300, 20)):
+        centres = rng.integers(0, 1 << 63, (5, 4)).astype(np.uint64)
+        fps = centres[rng.integers(0, 5, n)]
+        for _ in range(6):  # up to 6 * 4 flipped bits from a centre
+            fps = fps ^ (np.uint64(1) << rng.integers(0, 64, fps.shape).astype(np.uint64)) * rng.integers(0, 2, fps.shape).astype(np.uint64)
+        reps = np.arange(n) * 10
+        bits = np.bitwise_count(fps[:, None] ^ fps[None]).sum(axis=2)
+        pairs = simhash.near_pairs_within(reps, fps, distance, 0)
+        assert all(bits[a // 10, b // 10] <= distance for a, b in pairs)
+
+        def parts(links):
+            root = {r: r for r in reps.tolist()}
+            for a, b in links:
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+            return root
+
+        assert parts(pairs) == parts([(10 * a, 10 * b) for a, b in zip(*np.nonzero(bits <= distance))])
+        assert n <= simhash.ALL_PAIRS or len(pairs) < n
+
+
+def test_a_document_goes_only_through_pairs_that_are_alike(spark):
+    # Likenesses from 0.65 to 0.95 of one base text: fingerprints alone would link those a little below 0.8 as well.
+    base, rows = words(500, 31), []
+    for i in range(40):
+        text, changed = list(base), random.Random(i)
+        for at in changed.sample(range(0, 500, 6), 2 + i // 2):
+            text[at] = f"y{i}_{at}"
+        rows.append((i + 1, " ".join(text), "s"))
+    sets = shingle_sets(rows)
+    like = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    kept = {r.doc_id for r in simhash.one_of_alike(table(spark, rows)).collect()}
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and like(a, b) >= 0.8:
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    assert {i for i in sets if root[i] == i} <= kept and len(kept) <= len(set(root.values())) + 3
+    assert len(kept) > 3
+
+
+def test_columns_of_any_name_are_kept(spark):
+    df = table(spark, variants()).withColumn("_nth", F.lit(7)).withColumn("_nth0", F.lit(8))
+    for found in (simhash.one_of_alike(df), simhash.one_of_each_group(df)):
+        assert found.columns == df.columns and {(r["_nth"], r["_nth0"]) for r in found.collect()} == {(7, 8)}
+
+
+def test_removal_replaces_columns_named_as_its_results(spark):
+    df = table(spark, [(1, "a\nb", "s"), (2, "a\nb", "s")]).withColumn("kept_text", F.lit("old")).withColumn("n_removed", F.lit(9))
+    found = linechunks.remove_repeated_lines(df)
+    assert sorted(found.columns) == sorted({*df.columns, "n_lines"}) and sorted((r.kept_text, r.n_removed) for r in found.collect()) == [("", 2), ("a\nb", 0)]
 
 
 def test_alike_awkward_rows(spark):

@@ -7,7 +7,8 @@ the shared positional bytes of each pair are tallied, pairs below the guaranteed
 verified by counting differing bits.
 
 Four differing bits mean shingles that are alike by 0.9 or more. For a likeness of 0.8 about ten of 64 bits differ, too
-many for such a guarantee: `one_of_alike` takes 256 bits, 32 positions and an index over position triples.
+many for such a guarantee: `one_of_alike` takes 256 bits, 32 positions and an index over position triples, and compares
+the shingle sets of the pairs that it finds.
 """
 
 from __future__ import annotations
@@ -111,7 +112,66 @@ def links_within(reps: np.ndarray, fps: np.ndarray, distance: int, least: int) -
     return found
 
 
-def links_of_lists(members: np.ndarray, distance: int, least: int) -> np.ndarray:
+#: Members of a list up to which all pairs within the distance are handed on, and up to which all are looked at.
+ALL_PAIRS, MATRIX = 16, 128
+#: Share of the distance within which members of a longer list are grouped first.
+TIGHT = 0.7
+
+
+def near_pairs_within(reps: np.ndarray, fps: np.ndarray, distance: int, least: int) -> list[tuple[int, int]]:
+    """Pairs of members within the distance that connect what all such pairs connect, the nearest ones where it matters.
+
+    Up to ALL_PAIRS members these are all pairs, up to MATRIX a tree of the smallest distances. In longer lists members
+    within a tight bound are grouped first, breadth first from the smallest, so that a group's pairs are mostly those
+    with its smallest member, in one list as in the next; groups are then connected by pairs up to the whole distance.
+    """
+    n = len(fps)
+    if n <= MATRIX:
+        a, b = np.triu_indices(n, 1)
+        differing = fps[a] ^ fps[b]
+        bits = np.bitwise_count(differing).sum(axis=1)
+        near = np.flatnonzero((bits <= distance) & ((differing.view(np.uint8) == 0).sum(axis=1) >= least))
+        if n > ALL_PAIRS:
+            root, tree = list(range(n)), []
+            for k in near[np.argsort(bits[near], kind="stable")].tolist():
+                i, j = a[k], b[k]
+                while root[i] != i:
+                    i = root[i]
+                while root[j] != j:
+                    j = root[j]
+                if i != j:
+                    root[max(i, j)] = min(i, j)
+                    tree.append(k)
+            near = np.array(tree, np.int64)
+        return list(zip(reps[a[near]].tolist(), reps[b[near]].tolist()))
+    group, found = np.arange(n), []
+    for bound in (int(distance * TIGHT), distance):
+        groups: dict[int, list[int]] = {}
+        for k, g in enumerate(group.tolist()):
+            groups.setdefault(g, []).append(k)
+        left = np.ones(n, bool)
+        for first in list(groups):
+            if not left[first]:
+                continue
+            queue = list(groups[first])
+            left[queue] = False
+            for i in queue:
+                others = np.flatnonzero(left)
+                if not len(others):
+                    break
+                differing = fps[others] ^ fps[i]
+                near = (np.bitwise_count(differing).sum(axis=1) <= bound) & ((differing.view(np.uint8) == 0).sum(axis=1) >= least)
+                for k in others[near].tolist():
+                    if left[k]:  # else its group came along with another member
+                        found.append((int(reps[i]), int(reps[k])))
+                        own = groups[group[k]]
+                        left[own] = False
+                        queue.extend(own)
+            group[queue] = first
+    return found
+
+
+def links_of_lists(members: np.ndarray, distance: int, least: int, within=links_within) -> np.ndarray:
     """Distinct links (a, b) of whole posting lists: members has columns list, part, rep and the fingerprint's words, sorted by list and part."""
     cuts = np.flatnonzero((np.diff(members[:, :2], axis=0) != 0).any(axis=1)) + 1
     starts = np.concatenate(([0], cuts))
@@ -122,13 +182,13 @@ def links_of_lists(members: np.ndarray, distance: int, least: int) -> np.ndarray
     near = two[(shared >= least) & (np.bitwise_count(differing).sum(axis=1) <= distance)]
     found = [np.column_stack((members[near, 2], members[near + 1, 2]))]
     for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-        links = links_within(members[s : s + n, 2], np.ascontiguousarray(members[s : s + n, 3:]).view(np.uint64), distance, least)
+        links = within(members[s : s + n, 2], np.ascontiguousarray(members[s : s + n, 3:]).view(np.uint64), distance, least)
         if links:
             found.append(np.array(links, np.int64))
     return np.unique(np.concatenate(found), axis=0)
 
 
-def links_in_tasks(dealt: DataFrame, words: list[str], distance: int, least: int) -> DataFrame:
+def links_in_tasks(dealt: DataFrame, words: list[str], distance: int, least: int, within=links_within) -> DataFrame:
     """Links (a, b) inside the parts of posting lists: rows (list, part, rep, words), of which a part is the unit of work."""
 
     def run(batches):
@@ -141,9 +201,9 @@ def links_in_tasks(dealt: DataFrame, words: list[str], distance: int, least: int
             start = len(block) - int(np.argmax((block[::-1, :2] != block[-1, :2]).any(axis=1)) or len(block)) if len(block) else 0
             held = block[start:]
             if start:
-                yield rows(links_of_lists(block[:start], distance, least))
+                yield rows(links_of_lists(block[:start], distance, least, within))
         if held is not None and len(held):
-            yield rows(links_of_lists(held, distance, least))
+            yield rows(links_of_lists(held, distance, least, within))
 
     def rows(found):
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy(), pa.int64()), pa.array(found[:, 1].copy(), pa.int64())], names=["a", "b"])
@@ -160,16 +220,6 @@ def in_parts(lists: DataFrame, by: str, chunk: int) -> DataFrame:
     return lists.withColumn("parts", parts).withColumn("own", own).withColumn("part", F.explode(pairs)).drop("parts", "own", "n")
 
 
-def through_smallest(links: DataFrame) -> DataFrame:
-    """Links (a, b) with a < b that connect the same, most of them equal: each b keeps its smallest a, which is linked to its others.
-
-    A node has at most one link for each part of a list it is in, so no group of the window grows with a group of copies.
-    """
-    smallest = F.min("a").over(Window.partitionBy("b"))
-    dealt = links.withColumn("m", smallest)
-    return dealt.select(F.col("m").alias("a"), F.when(F.col("a") > F.col("m"), F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
-
-
 def near_links(classes: DataFrame, distance: int = 4) -> DataFrame:
     """Links (a, b) between the representatives of classes (rep, fp) of equal fingerprints.
 
@@ -214,7 +264,8 @@ def one_row_each(df: DataFrame, first: DataFrame, doc_id: str, text: str) -> Dat
     """Of the rows of each id in `first`, the one with the smallest text; and all rows without an id."""
     kept = df.join(first, doc_id, "left_semi")
     order = Window.partitionBy(doc_id).orderBy(F.col(text).asc_nulls_last())
-    kept = kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    nth = next(n for n in (f"_nth{k}" for k in range(len(df.columns) + 1)) if n.lower() not in {c.lower() for c in df.columns})
+    kept = kept.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth)
     return kept.unionByName(df.where(F.col(doc_id).isNull()))
 
 
@@ -303,14 +354,60 @@ def bits_apart(similarity: float, slack: float = 1.25) -> int:
     return round(bits * share + slack * (bits * share * (1 - share)) ** 0.5)
 
 
+def shingle_set(data: bytes, shingle: int) -> np.ndarray:
+    """The distinct word shingles of a text as sorted 32-bit hashes, words as in `fingerprint`; none for a text without words."""
+    words = data.lower().split()
+    joined, n = b" ".join(words), max(1, len(words) - shingle + 1)
+    if not words:
+        return np.zeros(0, np.uint32)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate(([0], ends[:-1]))[:n]
+    hashes = (xxhash.xxh3_64_intdigest(joined[s:e]) & 0xFFFFFFFF for s, e in zip(starts.tolist(), (ends[-n:] - 1).tolist()))
+    return np.unique(np.fromiter(hashes, np.uint32, n))
+
+
+def shingle_sets(df: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, shingles) of (doc_id, text) rows, the shingles as the bytes of `shingle_set`."""
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in in_slices(batch, 1):
+                found = [shingle_set(x, shingle).tobytes() for x in texts]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["doc_id", "shingles"])
+
+    return df.mapInArrow(run, "doc_id long, shingles binary")
+
+
+def alike_links(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of which some texts have shingle sets with a Jaccard similarity of `similarity` or more; texts: (doc_id, text as bytes)."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = written(shingle_sets(texts.join(named, "doc_id", "left_semi"), shingle), "shingles")
+
+    def run(batches):
+        for batch in batches:
+            a, b, x, y = batch.columns
+            keep = []
+            for one, other in zip(x, y):
+                one, other = (np.frombuffer(v.as_buffer(), np.uint32) for v in (one, other))
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                every = len(one) + len(other) - both
+                keep.append(both >= similarity * every)
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
+
+    met = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+    return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+
+
 def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """df with one row of each group of documents whose word shingles are alike by `similarity` or more, links of links included.
 
-    The likeness of two shingle sets is read from the differing bits of 256-bit SimHashes. Candidates share all three
-    bytes of one of 224 position triples. Both are chances, not guarantees: of the supplied documents' pairs from 0.8 to 0.85
-    256 of 257 are found, from 0.85 to 0.9 28 of 29, on the sample by which triples and bound were chosen; exactly at 0.8
-    the bound alone is expected to pass 91 %. Pairs from 0.75 to 0.8 are mostly linked too. Texts with equal shingle sets always meet, and texts
-    without words (null, empty) are one group. Of a group the smallest doc_id stays; of rows that repeat it the one with
+    Candidates are pairs of 256-bit SimHashes within a number of differing bits that share all three bytes of one of 224
+    position triples; each candidate is then compared by its whole shingle sets (as 32-bit hashes), and only those that
+    are alike by `similarity` link. So a document goes only if a chain of such pairs leads to the one that stays. Finding
+    candidates is a chance, not a guarantee: at exactly 0.8 the bound on the bits is expected to pass 91 %, and in posting
+    lists of many members the nearest pairs stand for all. Texts with equal fingerprints are one class without a further
+    comparison, and texts without words (null, empty) are one group. Of a group the smallest doc_id stays; of rows that repeat it the one with
     the smallest text. Rows that repeat a doc_id are one document, with the links of all of its rows. Rows with a null
     doc_id stay as they are and link nothing. All columns are kept, an empty table gives no rows.
     """
@@ -327,10 +424,16 @@ def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_i
     # A class has at most 224 lists (times the chunks of the long ones): gathered, it meets its fingerprint once, not once a list.
     gathered = dealt.groupBy("rep").agg(F.collect_list(F.struct("list", "part")).alias("at"))
     dealt = gathered.join(classes, "rep").select("rep", *words, F.inline("at"))
-    links = through_smallest(links_in_tasks(dealt, words, bits_apart(similarity), len(TRIPLES[0])))
+    pairs = written(links_in_tasks(dealt, words, bits_apart(similarity), len(TRIPLES[0]), near_pairs_within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "simhash-pairs")
+    texts = df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
     twice = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     same = prints.join(twice, "doc_id").join(classes, words).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    components = connected_components(links.union(same))
+    # Each class is compared with its smallest partner first; pairs that are then still apart are few, even in a large group.
+    near = written(alike_links(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), texts, shingle, similarity).union(same), "alike")
+    of = connected_components(near)
+    named = lambda end: of.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+    apart = pairs.join(named("a"), "a", "left").join(named("b"), "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+    components = connected_components(near.union(alike_links(written(apart, "apart"), texts, shingle, similarity)))
     later = components.where("node <> component").select(F.col("node").alias("rep"))
     first = classes.select("rep").distinct().join(later, "rep", "left_anti").select(F.col("rep").alias(doc_id))
     return one_row_each(df, first, doc_id, text)
