@@ -66,6 +66,19 @@ def test_materialise_and_export(spark, tmp_path):
     assert daily == {"metric": "price_composite_usd_daily", "version": 1, "points": [{"timestampMs": 0, "value": 510.0}]}
 
 
+def test_points_of_a_series_of_any_length_are_exported(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "MOST_POINTS", 5)
+    entries = [Metric("long", 2, "", sql="SELECT id AS timestamp_ms, nullif(id, 3) AS value FROM range(40)"), Metric("none", 1, "", sql="SELECT id AS timestamp_ms, id AS value FROM range(0)")]
+    done = registry.materialise(spark, entries, {}, str(tmp_path / "gold"))
+    rows = sorted(map(tuple, registry.exported_points(done, entries).collect()))
+    assert rows == [(0, "long", 2, k, 0.0 if k == 3 else float(k)) for k in range(40)]
+
+
+def test_the_registered_export_has_no_bound_on_points(spark, monkeypatch):
+    monkeypatch.setattr(registry, "MOST_POINTS", 5)
+    assert catalog.registry_export(spark, "/root/testdata/sf0.001").where("metric = 'social_trends_weekly'").count() > 5
+
+
 @pytest.mark.parametrize("buckets", [1, 5])
 def test_sharded_equals_one_pass(spark, tmp_path, buckets):
     legs = spark.createDataFrame([(f"a{i % 7}", i, (i % 5) * DAY, Decimal(i)) for i in range(100)], "coldkey string, block_number long, timestamp_ms long, delta decimal(38,0)")

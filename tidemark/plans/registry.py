@@ -120,11 +120,26 @@ def row_counts(done: Materialised) -> DataFrame:
     return spark.createDataFrame(list(done.rows.items()), "metric string, rows long")
 
 
+def exported_points(done: Materialised, metrics: list[Metric]) -> DataFrame:
+    """(position, metric, version, timestampMs, value): what is exported, one row per point, metrics numbered in run order.
+
+    NULL values are exported as 0. Nothing is gathered, so a series may have any number of points.
+    """
+    point = [F.col("timestamp_ms").alias("timestampMs"), F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value")]
+    rows = None
+    for n, m in enumerate(x for x in ordered(metrics) if x.export):
+        one = done[m.name].select(F.lit(n).alias("position"), F.lit(m.name).alias("metric"), F.lit(m.version).alias("version"), *point)
+        rows = one if rows is None else rows.unionByName(one)
+    if rows is None:
+        raise ValueError("no metric is exportable")
+    return rows
+
+
 def export(done: Materialised, metrics: list[Metric]) -> DataFrame:
     """One row per exportable metric in run order: (position, metric, version, points), points sorted by time.
 
-    NULL values are exported as 0. Series are days or weeks long: one of more than MOST_POINTS points, such as a minute
-    series, is refused, as each series is one row.
+    NULL values are exported as 0. For the document of write_export, in which each series is one row: one of more than
+    MOST_POINTS points, such as a minute series, is refused here; exported_points has no such bound.
     """
     rows = None
     for n, m in enumerate(x for x in ordered(metrics) if x.export):
