@@ -119,3 +119,16 @@ def test_constraints(spark):
     assert not any(quality.has_plain_address(spark.createDataFrame([], s)) for s in SCHEMAS.values())
     same = quality.changed_keys(df, df.select("n", "k").orderBy(F.desc("n")), "k")
     assert same.count() == 0
+
+
+def test_records_are_dealt_out_and_their_digits_cut_once(spark, monkeypatch):
+    from tidemark.functions import decode
+    from tidemark.plans import roundtrips
+
+    monkeypatch.setattr(roundtrips, "TASK_RECORDS", 2)
+    raw = roundtrips.raw_snapshots(spark, "/root/testdata/sf0.001")
+    assert raw.rdd.getNumPartitions() > 6  # the tasks are not bounded by the join's six remainders
+    free, whole = "0100000000000000", "00" * 16
+    rows = spark.createDataFrame([(whole + free + "02" + "00" * 7,), ("0x" + whole + free + "ff" * 8,), (whole + free,), (whole + free[:-2],), ("",), (None,)], "account_info_hex string")
+    found = [tuple(None if v is None else int(v) for v in r) for r in decode.account_balances(rows).select("free_rao", "reserved_rao").collect()]
+    assert found == [(1, 2), (1, 2**64 - 1), (1, None), (None, None), (None, None), (0, 0)]

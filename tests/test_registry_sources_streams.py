@@ -79,6 +79,26 @@ def test_the_registered_export_has_no_bound_on_points(spark, monkeypatch):
     assert catalog.registry_export(spark, "/root/testdata/sf0.001").where("metric = 'social_trends_weekly'").count() > 5
 
 
+def test_same_rows_counts_repeats_and_is_exact(spark, monkeypatch):
+    frame = lambda rows: spark.createDataFrame(rows, "a int, b double")
+    rows = [(1, None), (1, None), (2, float("nan")), (None, 0.0)]
+    assert tables.same_rows(frame(rows), frame(rows[::-1])) and tables.same_rows(frame([]), frame([]))
+    assert tables.same_rows(frame([(1, 0.0)]), frame([(1, -0.0)]))
+    assert not tables.same_rows(frame(rows), frame(rows[1:])) and not tables.same_rows(frame(rows), frame([rows[0], *rows[2:], rows[2]]))
+    assert not tables.same_rows(frame(rows), frame([])) and not tables.same_rows(frame([]), frame(rows))
+    # Digests that agree are no proof: the rows themselves decide.
+    monkeypatch.setattr(tables.F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    assert tables.same_rows(frame(rows), frame(rows[::-1])) and not tables.same_rows(frame(rows), frame([(9, None), *rows[1:]]))
+
+
+def test_a_first_write_compares_nothing(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tables, "same_rows", lambda a, b: seen.append(1))
+    rows, path = spark.createDataFrame([candle(0, 1.0, 1.0)], CANDLE), str(tmp_path / "t")
+    assert not tables.write_if_changed(rows.where("false"), "ohlcv_1m", path)
+    assert tables.write_if_changed(rows, "ohlcv_1m", path) and not seen
+
+
 @pytest.mark.parametrize("buckets", [1, 5])
 def test_sharded_equals_one_pass(spark, tmp_path, buckets):
     legs = spark.createDataFrame([(f"a{i % 7}", i, (i % 5) * DAY, Decimal(i)) for i in range(100)], "coldkey string, block_number long, timestamp_ms long, delta decimal(38,0)")

@@ -20,13 +20,18 @@ FREE_AT, RESERVED_AT, BALANCE_BYTES = 16, 24, 8
 
 def bare(hex_: Column) -> Column:
     """Hex digits without 0x."""
-    return F.regexp_replace(hex_, "^0x", "")
+    return F.when(hex_.startswith("0x"), F.substring(hex_, 3, (1 << 31) - 1)).otherwise(hex_)
 
 
 def little_endian(hex_: Column, at: int = 0, size: int = 8) -> Column:
-    """An unsigned little-endian integer of up to 8 bytes at a byte offset of hex digits, as DECIMAL(20,0); null if the digits end early."""
-    digits = F.concat(*[F.substring(hex_, 2 * (at + k) + 1, 2) for k in reversed(range(size))])
-    return F.when(F.length(digits) == 2 * size, F.conv(digits, 16, 10).cast("decimal(20,0)"))
+    """An unsigned little-endian integer of up to 8 bytes at a byte offset of hex digits, as DECIMAL(20,0); null if the digits end early.
+
+    The bytes are cut out of digits that are null if they end early, not under a condition: so Spark makes them once a row.
+    """
+    own = F.substring(hex_, 2 * at + 1, 2 * size)
+    own = F.when(F.length(own) == 2 * size, own)
+    digits = F.concat(*[F.substring(own, 2 * k + 1, 2) for k in reversed(range(size))])
+    return F.conv(digits, 16, 10).cast("decimal(20,0)")
 
 
 def block_timestamp(hex_: str | Column) -> Column:
@@ -37,9 +42,8 @@ def block_timestamp(hex_: str | Column) -> Column:
 
 def account_balances(df: DataFrame, hex_: str = "account_info_hex") -> DataFrame:
     """df with free_rao and reserved_rao, DECIMAL(20,0); a null record reads as two zeros."""
-    digits, zero = bare(F.col(hex_)), F.lit(0).cast("decimal(20,0)")
-    value = lambda at: F.when(F.col(hex_).isNull(), zero).otherwise(little_endian(digits, at, BALANCE_BYTES))
-    return df.withColumns({"free_rao": value(FREE_AT), "reserved_rao": value(RESERVED_AT)})
+    digits = bare(F.coalesce(F.col(hex_), F.lit("00" * (RESERVED_AT + BALANCE_BYTES))))
+    return df.withColumns({"free_rao": little_endian(digits, FREE_AT, BALANCE_BYTES), "reserved_rao": little_endian(digits, RESERVED_AT, BALANCE_BYTES)})
 
 
 def account_id(storage_key: str) -> Column:
