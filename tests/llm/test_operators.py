@@ -405,6 +405,17 @@ def test_pairs_of_a_list_connect_what_all_pairs_connect():
         assert n <= simhash.ALL_PAIRS or len(pairs) < n
 
 
+def test_posting_lists_are_not_broadcast(spark, tmp_path):
+    # A written table of classes is small, and Spark takes the lists made from it for as small.
+    spark.range(1_000).selectExpr("id AS rep", "xxhash64(id) AS fp").write.parquet(str(tmp_path / "classes"))
+    classes = spark.read.parquet(str(tmp_path / "classes"))
+    joined = simhash.in_company(simhash.posting_lists(classes, simhash.covering(3, 4)))
+    links = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
+    for df in (joined, simhash.connected_components(links)):
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_document_goes_only_through_pairs_that_are_alike(spark):
     # Likenesses from 0.65 to 0.95 of one base text: fingerprints alone would link those a little below 0.8 as well.
     base, rows = words(500, 31), []

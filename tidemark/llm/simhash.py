@@ -212,6 +212,16 @@ def links_in_tasks(dealt: DataFrame, words: list[str], distance: int, least: int
     return dealt.select("list", "part", "rep", *words).mapInArrow(run, "a long, b long")
 
 
+def in_company(lists: DataFrame) -> DataFrame:
+    """Rows of posting lists of two members and more, with the number n of members.
+
+    The join is a shuffle by hint: Spark takes the lists for as small as the classes that they are made from, a
+    hundredth of their size, and would broadcast them through the driver.
+    """
+    counts = lists.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
+    return lists.hint("merge").join(counts, "list")
+
+
 def in_parts(lists: DataFrame, by: str, chunk: int) -> DataFrame:
     """Posting lists (list, .., n members) with a column part: lists of over `chunk` members are cut by a hash of `by`, and every two chunks meet in a part."""
     parts = F.ceil(F.col("n") / chunk).cast("int")
@@ -232,8 +242,7 @@ def near_links(classes: DataFrame, distance: int = 4) -> DataFrame:
     least = 8 - distance
     size = min(least, 3 if classes.count() <= THREE_BYTES_UP_TO else 4)
     lists = posting_lists(classes, covering(size, least))
-    counts = lists.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
-    return links_in_tasks(in_parts(lists.join(counts, "list"), "fp", CHUNK), ["fp"], distance, least)
+    return links_in_tasks(in_parts(in_company(lists), "fp", CHUNK), ["fp"], distance, least)
 
 
 def near_duplicates(df: DataFrame, shingle: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -418,9 +427,8 @@ def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_i
     classes = written(prints.groupBy(*words).agg(F.min("doc_id").alias("rep")).select("rep", *words), "simhash-wide-classes")
     # The classes' files are small, their lists are not: dealt out first, a task counts and sorts half a million rows.
     lists = wide_posting_lists(classes.repartition(max(1, -(-classes.count() // TASK_CLASSES))))
-    counts = lists.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
     # Only members of lists with company carry their fingerprint on. An id with several texts stands for each of them.
-    dealt = in_parts(lists.join(counts, "list"), "rep", CHUNK)
+    dealt = in_parts(in_company(lists), "rep", CHUNK)
     # A class has at most 224 lists (times the chunks of the long ones): gathered, it meets its fingerprint once, not once a list.
     gathered = dealt.groupBy("rep").agg(F.collect_list(F.struct("list", "part")).alias("at"))
     dealt = gathered.join(classes, "rep").select("rep", *words, F.inline("at"))
