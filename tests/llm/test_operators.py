@@ -715,3 +715,35 @@ def test_top_k_prunes():
     assert sum(visited) == 1  # of ten blocks
     scores = matrix @ near[0]
     assert [f[1] for f in found] == sorted(range(len(ids)), key=lambda i: (-scores[i], i))[:3]
+
+
+def test_alike_pairs_beside_the_nearest_ones_of_a_list_link(spark, monkeypatch):
+    # In one long list the nearest pair of each member is not alike, a farther one is.
+    calls, near = [], simhash.links_in_tasks
+
+    def only_nearest(dealt, words_, distance, least, within=simhash.links_within, of_lists=simhash.links_of_lists):
+        calls.append(of_lists)
+        return near(dealt, words_, distance, least, within, of_lists)
+
+    monkeypatch.setattr(simhash, "links_in_tasks", only_nearest)
+    monkeypatch.setattr(simhash, "ALL_PAIRS", 1)
+    rng = random.Random(0)
+    base, rows = words(400, 77), []
+    for n in range(24):
+        own = list(base)
+        for at in rng.sample(range(400), 5):
+            own[at] = f"v{rng.randrange(10**6)}"
+        rows.append((n, " ".join(own), "s"))
+    kept = sorted(r.doc_id for r in simhash.one_of_alike(table(spark, rows)).collect())
+    assert simhash.links_across in calls and kept == brute_alike(rows)
+
+
+def test_pairs_across_components_are_all_found():
+    rng = np.random.default_rng(3)
+    fps = rng.integers(0, 1 << 63, (1, 4)) ^ (np.int64(1) << rng.integers(0, 60, (300, 4))) * rng.integers(0, 2, (300, 4))
+    of = rng.integers(0, 5, 300)
+    rows = np.column_stack((np.repeat([1, 2, 3], 100), np.zeros(300, np.int64), np.arange(300), fps, of))
+    bits = np.bitwise_count((fps[:, None] ^ fps[None]).view(np.uint64)).sum(axis=2)
+    want = [(a, b) for a in range(300) for b in range(a + 1, 300) if a // 100 == b // 100 and of[a] != of[b] and bits[a, b] <= 5]
+    assert want and sorted(map(tuple, simhash.links_across(rows, 5, 0).tolist())) == want
+    assert not len(simhash.links_across(rows[of == 1], 5, 0))

@@ -188,7 +188,25 @@ def links_of_lists(members: np.ndarray, distance: int, least: int, within=links_
     return np.unique(np.concatenate(found), axis=0)
 
 
-def links_in_tasks(dealt: DataFrame, words: list[str], distance: int, least: int, within=links_within) -> DataFrame:
+def links_across(members: np.ndarray, distance: int, least: int, within=None) -> np.ndarray:
+    """All pairs (a, b) of whole posting lists within the distance whose members have different components: as links_of_lists, a row's last column being its component."""
+    found = [np.zeros((0, 2), np.int64)]
+    cuts = np.flatnonzero((np.diff(members[:, :2], axis=0) != 0).any(axis=1)) + 1
+    for rows in np.split(members, cuts):
+        reps, of, fps = rows[:, 2], rows[:, -1], np.ascontiguousarray(rows[:, 3:-1]).view(np.uint64)
+        if (of == of[0]).all():
+            continue
+        own = []
+        for i in range(len(rows) - 1):
+            others = i + 1 + np.flatnonzero(of[i + 1 :] != of[i])
+            differing = fps[others] ^ fps[i]
+            near = others[(np.bitwise_count(differing).sum(axis=1) <= distance) & ((differing.view(np.uint8) == 0).sum(axis=1) >= least)]
+            own.append(np.column_stack((np.full(len(near), reps[i]), reps[near])))
+        found.append(np.concatenate(own))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def links_in_tasks(dealt: DataFrame, words: list[str], distance: int, least: int, within=links_within, of_lists=links_of_lists) -> DataFrame:
     """Links (a, b) inside the parts of posting lists: rows (list, part, rep, words), of which a part is the unit of work."""
 
     def run(batches):
@@ -201,9 +219,9 @@ def links_in_tasks(dealt: DataFrame, words: list[str], distance: int, least: int
             start = len(block) - int(np.argmax((block[::-1, :2] != block[-1, :2]).any(axis=1)) or len(block)) if len(block) else 0
             held = block[start:]
             if start:
-                yield rows(links_of_lists(block[:start], distance, least, within))
+                yield rows(of_lists(block[:start], distance, least, within))
         if held is not None and len(held):
-            yield rows(links_of_lists(held, distance, least, within))
+            yield rows(of_lists(held, distance, least, within))
 
     def rows(found):
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy(), pa.int64()), pa.array(found[:, 1].copy(), pa.int64())], names=["a", "b"])
@@ -414,8 +432,8 @@ def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_i
     Candidates are pairs of 256-bit SimHashes within a number of differing bits that share all three bytes of one of 224
     position triples; each candidate is then compared by its whole shingle sets (as 32-bit hashes), and only those that
     are alike by `similarity` link. So a document goes only if a chain of such pairs leads to the one that stays. Finding
-    candidates is a chance, not a guarantee: at exactly 0.8 the bound on the bits is expected to pass 91 %, and in posting
-    lists of many members the nearest pairs stand for all. Texts with equal fingerprints are one class without a further
+    candidates is a chance, not a guarantee: at exactly 0.8 the bound on the bits is expected to pass 91 %. In posting
+    lists of many members the nearest pairs are compared first, then all pairs that these leave apart. Texts with equal fingerprints are one class without a further
     comparison, and texts without words (null, empty) are one group. Of a group the smallest doc_id stays; of rows that repeat it the one with
     the smallest text. Rows that repeat a doc_id are one document, with the links of all of its rows. Rows with a null
     doc_id stay as they are and link nothing. All columns are kept, an empty table gives no rows.
@@ -428,11 +446,14 @@ def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_i
     # The classes' files are small, their lists are not: dealt out first, a task counts and sorts half a million rows.
     lists = wide_posting_lists(classes.repartition(max(1, -(-classes.count() // TASK_CLASSES))))
     # Only members of lists with company carry their fingerprint on. An id with several texts stands for each of them.
-    dealt = in_parts(in_company(lists), "rep", CHUNK)
+    long = F.col("n") > ALL_PAIRS
+    dealt = in_parts(in_company(lists).withColumn("long", long), "rep", CHUNK)
     # A class has at most 224 lists (times the chunks of the long ones): gathered, it meets its fingerprint once, not once a list.
-    gathered = dealt.groupBy("rep").agg(F.collect_list(F.struct("list", "part")).alias("at"))
+    gathered = written(dealt.groupBy("rep").agg(F.collect_list(F.struct("list", "part", "long")).alias("at")), "simhash-lists")
     dealt = gathered.join(classes, "rep").select("rep", *words, F.inline("at"))
-    pairs = written(links_in_tasks(dealt, words, bits_apart(similarity), len(TRIPLES[0]), near_pairs_within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "simhash-pairs")
+    bounds = bits_apart(similarity), len(TRIPLES[0])
+    in_order = lambda links: links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    pairs = written(in_order(links_in_tasks(dealt, words, *bounds, near_pairs_within)), "simhash-pairs")
     texts = df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
     twice = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     same = prints.join(twice, "doc_id").join(classes, words).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -441,7 +462,13 @@ def one_of_alike(df: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_i
     of = connected_components(near)
     named = lambda end: of.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
     apart = pairs.join(named("a"), "a", "left").join(named("b"), "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-    components = connected_components(near.union(alike_links(written(apart, "apart"), texts, shingle, similarity)))
+    near = written(near.union(alike_links(written(apart, "apart"), texts, shingle, similarity)), "alike-more")
+    # The nearest pairs of a long list connect its candidates, but those of them that are alike may be others: whatever
+    # is within the distance and not yet in one group is compared as well.
+    of = written(connected_components(near), "alike-groups")
+    grouped = dealt.where("long").join(of.withColumnRenamed("node", "rep"), "rep", "left").select("list", "part", "rep", *words, F.coalesce("component", "rep").alias("component"))
+    others = in_order(links_in_tasks(grouped, [*words, "component"], *bounds, of_lists=links_across)).join(pairs, ["a", "b"], "left_anti")
+    components = connected_components(near.union(alike_links(written(others, "simhash-others"), texts, shingle, similarity)))
     later = components.where("node <> component").select(F.col("node").alias("rep"))
     first = classes.select("rep").distinct().join(later, "rep", "left_anti").select(F.col("rep").alias(doc_id))
     return one_row_each(df, first, doc_id, text)
