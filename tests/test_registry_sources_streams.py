@@ -79,6 +79,18 @@ def test_the_registered_export_has_no_bound_on_points(spark, monkeypatch):
     assert catalog.registry_export(spark, "/root/testdata/sf0.001").where("metric = 'social_trends_weekly'").count() > 5
 
 
+def test_a_large_bucket_is_cut_by_several_tasks(spark, tmp_path):
+    legs = spark.range(0, 40_000, 1, 4).selectExpr("'a' AS coldkey", "id AS block_number", "id * 86400000 AS timestamp_ms", "CAST(id AS decimal(38,0)) AS delta")
+    m = Metric("balances", 1, "", build=lambda v, p: ledger.daily_balances(v["legs"]), shard_by="coldkey")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "50k")
+    try:
+        found = registry.materialise_sharded(spark, m, {"legs": legs}, str(tmp_path), 2)
+    finally:
+        spark.conf.unset(size)
+    assert found.count() == 40_000 and len(list(Path(tmp_path).glob("balances.shards/*/legs/_bucket=*/part-*"))) > 1
+
+
 def test_same_rows_counts_repeats_and_is_exact(spark, monkeypatch):
     frame = lambda rows: spark.createDataFrame(rows, "a int, b double")
     rows = [(1, None), (1, None), (2, float("nan")), (None, 0.0)]

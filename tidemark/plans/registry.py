@@ -187,7 +187,8 @@ def materialise_sharded(spark: SparkSession, metric: Metric, sources: dict[str,
             if key in df.columns:
                 path = f"{base}.shards/{fingerprint[:16]}/{name}"
                 if found_or_none(spark, f"{path}/_SUCCESS", "value string", "text") is None:
-                    df.withColumn("_bucket", bucket).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
+                    # A rebalanced bucket is split where it is large: a task sorts and writes one piece of it.
+                    df.withColumn("_bucket", bucket).hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
                 cut[name] = spark.read.schema(StructType([*df.schema.fields, StructField("_bucket", IntegerType())])).parquet(path)
         for b in wanted:
             views = own | {name: df.where(F.col("_bucket") == b).drop("_bucket") for name, df in cut.items()}
