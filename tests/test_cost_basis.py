@@ -92,3 +92,11 @@ def test_supply_in_profit_equals_a_table_of_accounts_by_days(spark):
         held = [(q, c) for q, c in state.values() if q > 0]
         want[now] = sum(q for q, _ in held), None if price is None else sum(q for q, c in held if c < q * price)
     assert got == want
+
+
+def test_packed_rows_are_bounded(spark):
+    rows = spark.range(1_000).selectExpr("if(id < 700, 'a', 'b') AS coldkey", "id AS day", "CAST(id AS decimal(38,0)) AS delta", "id * 2 AS price").coalesce(1)
+    packs = cost_basis._packed(rows).orderBy("nth").collect()
+    assert max(len(p.days) for p in packs) <= 128 and {(len(p.days), len(p.deltas), len(p.prices)) for p in packs} == {(n, n, n) for n in (128, 60, 44)}
+    assert [d for p in packs for d in p.days] == list(range(1_000)) and [p.nth for p in packs] == list(range(len(packs)))
+    assert [p.coldkey for p in packs] == ["a"] * 6 + ["b"] * 3

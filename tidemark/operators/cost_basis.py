@@ -24,6 +24,8 @@ from tidemark.sources.schemas import RAO, RAO_SUM
 EMISSION_RULES = ("zero", "market")
 #: The order in which an account's legs are folded: time, which is that of blocks, then all that tells legs apart.
 ORDER = ("timestamp_ms", "block_number", "event_index", "delta", "emission")
+#: Legs in one packed row. Spark hands rows to Python some ten thousand at a time, so this bounds what a worker holds.
+PACK = 128
 
 
 def as_of(asked: DataFrame, points: DataFrame, key: str, value: str, width: int) -> DataFrame:
@@ -107,7 +109,9 @@ def _packed(ordered: DataFrame) -> DataFrame:
                 continue
             accounts = batch.column(0)
             code = accounts.dictionary_encode().indices.to_numpy()
-            starts = np.flatnonzero(np.diff(code, prepend=-1))
+            first = np.flatnonzero(np.diff(code, prepend=-1))
+            own = np.arange(len(code)) - np.repeat(first, np.diff(first, append=len(code)))
+            starts = np.flatnonzero(own % PACK == 0)
             offsets = pa.array(np.append(starts, len(code)).astype(np.int32))
             numbers = np.arange(nth, nth + len(starts), dtype=np.int64)
             nth += len(starts)
@@ -121,7 +125,7 @@ def daily_cost(legs: DataFrame) -> DataFrame:
     """(coldkey, timestamp_ms, balance_rao, cost): each account's balance and cost at the end of each day on which it moved.
 
     Legs are sorted in ranges of account and time, so the legs of a busy account are sorted by many tasks and leave them
-    packed, some thousand to a row. One task then reads an account's packs in order; it holds two numbers at a time.
+    packed, PACK to a row. One task then reads an account's packs in order; it holds two numbers at a time.
     """
     keyed = legs.withColumn("day", day("timestamp_ms"))
     ordered = keyed.repartitionByRange("coldkey", *ORDER).sortWithinPartitions("coldkey", *ORDER)
