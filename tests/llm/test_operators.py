@@ -747,3 +747,44 @@ def test_pairs_across_components_are_all_found():
     want = [(a, b) for a in range(300) for b in range(a + 1, 300) if a // 100 == b // 100 and of[a] != of[b] and bits[a, b] <= 5]
     assert want and sorted(map(tuple, simhash.links_across(rows, 5, 0).tolist())) == want
     assert not len(simhash.links_across(rows[of == 1], 5, 0))
+
+
+def test_a_large_group_is_not_compared_by_rows_of_pairs(spark, monkeypatch):
+    # Sixty texts within reach of each other, most pairs of which are not alike: all pairs would be 1,770 rows.
+    given, compare = [], simhash.alike_links
+    monkeypatch.setattr(simhash, "alike_links", lambda pairs, *more: given.append(pairs.count()) or compare(pairs, *more))
+    rng = random.Random(5)
+    base, rows = words(400, 99), []
+    for n in range(60):
+        own = list(base)
+        for at in rng.sample(range(400), 5 + n % 4):
+            own[at] = f"v{rng.randrange(10**6)}"
+        rows.append((n, " ".join(own), "s"))
+    likes = jaccards(rows)
+    assert sum(x < 0.8 for x in likes.values()) > 0.9 * len(likes)
+    for size in (simhash.SET_BYTES, 16 << 10):  # as a whole and in chunks
+        monkeypatch.setattr(simhash, "SET_BYTES", size)
+        kept = sorted(r.doc_id for r in simhash.one_of_alike(table(spark, rows)).collect())
+        assert kept == brute_alike(rows) and 1 < len(kept) < 60
+        assert sum(given) < 60
+        given.clear()
+
+
+def test_links_across_by_sets_are_trees_of_alike_members():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(np.concatenate((np.arange(k % 3 * 100, k % 3 * 100 + 60), rng.integers(10**6, 10**9, k % 9)))).astype(np.uint32) for k in range(90)] + [np.zeros(0, np.uint32)]
+    rows = np.column_stack((np.ones(91, np.int64), np.zeros(91, np.int64), np.arange(91), np.zeros((91, 4), np.int64), np.arange(91)))
+    found = simhash.links_across(rows, 46, 3, simhash.by_sets(0.8)(np.array([x.tobytes() for x in sets], object))).tolist()
+    root = list(range(91))
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets[:a]):
+            both = len(np.intersect1d(x, y))
+            if both >= 0.8 * (len(x) + len(y) - both):
+                low, high = sorted((root[a], root[b]))
+                root = [low if v == high else v for v in root]
+    tree = list(range(91))
+    for a, b in found:
+        assert tree[a] != tree[b]
+        low, high = sorted((tree[a], tree[b]))
+        tree = [low if v == high else v for v in tree]
+    assert tree == root and len(set(root)) == 4
