@@ -1,6 +1,7 @@
 """What goes on where it stopped: reconciliation, sharded metrics, repairs; and sources, counts and files of materialised tables."""
 
 import random
+import threading
 from decimal import Decimal
 
 import pytest
@@ -158,6 +159,58 @@ def test_a_repair_that_was_stopped_while_it_moved_parts_is_finished(spark, tmp_p
     assert [b for b, to in repaired.items() if to == "z"] == [1, 11, 21] and len(repaired) == 40
 
 
+def test_a_repair_computes_the_plan_and_the_blocks_once(spark, tmp_path):
+    decoded, folder = silver(spark, tmp_path)
+    seen = {"plan": spark.sparkContext.accumulator(0), "decoded": spark.sparkContext.accumulator(0)}
+
+    def counted(df, name):
+        added = seen[name]
+
+        def count(block):
+            added.add(1)
+            return True
+
+        return df.where(F.udf(count, "boolean")("block_number"))
+
+    again = spark.createDataFrame([(b, ms, v, [transfer("z", b)]) for b, ms, v, e in decoded], SCHEMAS["decoded_events"])
+    changed = chain.repair_blocks(folder, SCHEMAS["transfers"], counted(plan(spark, 1, 11, 21), "plan"), counted(again, "decoded"), chain.transfers_of, 10)
+    assert sorted(r.block_number for r in changed.collect()) == [1, 11, 21]
+    assert seen["plan"].value == 3 and seen["decoded"].value < 80  # 40 blocks, those of the plan perhaps again
+    assert not [n for n in Files(spark, folder).names(str(tmp_path)) if "asked" in n or "again" in n]
+
+
+def test_many_parts_are_listed_written_and_moved_by_several_tasks(spark, tmp_path, monkeypatch):
+    context, folder = spark.sparkContext, str(tmp_path / "many")
+
+    def tasks(group, run):
+        context.setJobGroup(group, group)
+        try:
+            out = run()
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        status = context.statusTracker()
+        return out, [status.getStageInfo(n).numTasks for j in status.getJobIdsForGroup(group) for n in status.getJobInfo(j).stageIds if status.getStageInfo(n)]
+
+    rows = spark.range(2000).select(F.col("id").alias("block_number"), F.floor(F.col("id") / 20).cast("long").alias("part"))
+    _, wrote = tasks("wrote", lambda: tables.overwrite_partitions(rows, folder, "part", order=["block_number"]))
+    assert max(wrote[1:]) == int(spark.conf.get("spark.sql.shuffle.partitions"))  # not one task for so few bytes
+    before = spark.conf.get(tables.LISTING)
+    found, listed = tasks("listed", lambda: tables.read_partitions(spark, folder, "block_number long, part long"))
+    assert 0 < sum(listed) <= 4 * context.defaultParallelism < 100 and spark.conf.get(tables.LISTING) == before
+    assert sorted(map(tuple, found.collect())) == [(k, k // 20) for k in range(2000)]
+    staged, movers, move = f"{folder}.staged", set(), Files.move
+    tables.overwrite_partitions(rows.withColumn("block_number", -F.col("block_number")), staged, "part")
+
+    def noting(self, source, target):
+        movers.add(threading.get_ident())
+        move(self, source, target)
+
+    monkeypatch.setattr(Files, "move", noting)
+    chain._swap(spark, folder, staged, [str(k) for k in range(101)], "part")
+    assert len(movers) > 1 and Files(spark, folder).names(str(tmp_path)) == ["many"]
+    assert sorted(map(tuple, spark.read.schema("block_number long, part long").parquet(folder).collect())) == sorted((-k, k // 20) for k in range(2000))
+
+
 def test_decoding_stops_without_metadata(spark):
     decoded = spark.createDataFrame([(1, 10, 1, [transfer("x", 1)]), (2, 20, 2, [transfer("x", 2)]), (3, 30, 2, [transfer("x", 3)])], SCHEMAS["decoded_events"])
     metadata = spark.createDataFrame([(1, "0x01", 5), (1, "0x00", 4)], SCHEMAS["chain_metadata"])
