@@ -130,6 +130,34 @@ def test_upsert(spark, tmp_path):
     assert [r.close for r in got] == [1.0, 1.0, 9.0, 4.0, 5.0] and {r.month for r in got} == {"1970-01", "1970-02"}
 
 
+def test_an_upsert_is_one_job_without_a_copy_and_a_stopped_one_leaves_the_table(spark, tmp_path):
+    path, seen = str(tmp_path / "candles"), spark.sparkContext.accumulator(0)
+
+    def counted(fail=False):
+        def count(ms):
+            if fail and ms >= 40 * DAY:
+                raise ValueError("stopped")
+            seen.add(1)
+            return True
+
+        return F.udf(count, "boolean")
+
+    first = spark.createDataFrame([candle(k * DAY, 1.0, 1.0) for k in range(80)], CANDLE)
+    tables.upsert_candles(first.where(counted()("timestamp_ms")), path)
+    assert seen.value == 80  # a first write reads its rows once
+    assert [f.name for f in tmp_path.iterdir()] == ["candles"]
+    held = lambda: [(r.timestamp_ms // DAY, r.close, r.month) for r in spark.read.parquet(path).orderBy("timestamp_ms").collect()]
+    before, files = held(), sorted(str(f) for f in tmp_path.rglob("*.parquet"))
+    later = spark.createDataFrame([candle(k * DAY, 2.0, 1.0) for k in (3, 40, 41)], CANDLE)
+    with pytest.raises(Exception, match="stopped"):
+        tables.upsert_candles(later.where(counted(fail=True)("timestamp_ms")), path)
+    assert held() == before and sorted(str(f) for f in tmp_path.rglob("*.parquet")) == files
+    tables.upsert_candles(later, path)  # reads and replaces January and February, March stays
+    assert held() == [(k, 2.0 if k in (3, 40, 41) else 1.0, m) for k, _, m in before]
+    now = sorted(str(f) for f in tmp_path.rglob("*.parquet"))
+    assert [f for f in now if f in files] == [f for f in files if "1970-03" in f] and len(now) == len(files)
+
+
 def test_tables(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.read_or_empty(spark, "runtime_versions", path).count() == 0
