@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -276,6 +277,40 @@ def test_bpe_fuzz():
         assert [coder.ids[t] for t in streamed] == library.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_encodes_each_word_of_many_texts_once(monkeypatch):
+    library, rnd = Tokenizer.from_file(PATH), random.Random(5)
+    parts = [" ", " ", " ", "\n", "ab", "the", "é", ".", ". ", ",", ", ", "'s", "1", "\t", "😀", "\x1c", "日本", "  "]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(30))) for _ in range(2000)] + [""]
+    texts += [" ".join(rnd.choice(["alpha", "beta", "gamma"]) + rnd.choice(["", ",", "."]) for _ in range(500)) for _ in range(20)]
+    asked, short = Counter(), bpe.Transducer._short
+    monkeypatch.setattr(bpe.Transducer, "_short", lambda self, data: asked.update([data]) or short(self, data))
+    for most in (bpe.MOST_PIECES, 40):  # a table that is full again and again
+        monkeypatch.setattr(bpe, "MOST_PIECES", most)
+        coder = bpe.PieceCoder(PATH)
+        plain = [t for t, odd in zip(texts, coder.is_odd(pa.array(texts, pa.string()))) if not odd]
+        asked.clear()
+        ids, ends = coder.encode_plain(pa.array(plain, pa.string()))
+        want = [library.encode(t, add_special_tokens=False) for t in plain]
+        assert len(plain) > 900 and [x.tolist() for x in np.split(ids, ends[:-1])] == [x.ids for x in want]
+        assert all(asked[f" {w}".encode()] == 1 for w in ("alpha", "beta", "gamma"))
+        of_ids, of_texts = coder.digests(ids, ends)
+        assert of_ids == [hashlib.sha256(",".join(map(str, x.ids)).encode()).hexdigest() for x in want]
+        assert of_texts == [hashlib.sha256(t.encode()).hexdigest() for t in plain]
+
+
+def test_bpe_of_long_pieces_long_texts_and_broken_bytes(spark, monkeypatch):
+    library = Tokenizer.from_file(PATH)
+    texts = ["plain text, plain.", "x" * 64 + " y", "ab" * 40 + " y", "é" * 70, "a    b", "the end " * 150_000, "", "<|endoftext|> x", "q\0r", b"bad \xff\xfe bytes"]
+    rows = [(k, t if isinstance(t, bytes) else t.encode()) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, data binary").selectExpr("doc_id", "cast(data as string) text").repartition(1)
+    found = {r.doc_id: r for r in bpe.round_trip(df, PATH, keep_ids=True).collect()}
+    for k, data in rows:
+        want = library.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids
+        assert found[k].token_ids == want and found[k].n_tokens == len(want)
+        assert found[k].ids_sha256 == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
+        assert found[k].decoded_sha256 == hashlib.sha256(data.decode("utf-8", "replace").encode()).hexdigest()
+
+
 def test_incremental_decoding():
     coder = bpe.transducer(PATH)
     ids = [i for b in coder.encode("é🙂日") for i in b]

@@ -20,12 +20,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from tidemark.llm.common import in_slices, schema_with, text_bytes
+from tidemark.llm.common import byte_slices, in_slices, schema_with, text_bytes
+from tidemark.llm.pieces import SPACE, Pieces
 
 #: The contractions and character classes of the byte-level pre-tokenizer.
 PRETOKEN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -34,6 +36,9 @@ PRETOKEN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{
 CACHE_BYTES, MOST_KEPT = 96 << 20, 40
 #: Tokens that are hashed and decoded at a time, characters of a text that are cut into words at a time, and tokens of a result batch.
 BLOCK, PART, BATCH_TOKENS = 65_536, 65_536, 1 << 20
+#: Bytes of text that are encoded at a time by their distinct pieces, pieces that a worker remembers, and characters of a piece and
+#: bytes of a text beyond which a text is encoded on its own, block by block.
+SLICE, MOST_PIECES, LONG_PIECE, LONG_TEXT = 8 << 20, 1 << 20, 64, 1 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -84,50 +89,69 @@ class Transducer:
             self.parts.setdefault(a + b, (a, b, n))
         self.longest = max(map(len, self.ids))
         self.tokens = set(self.parts) | {bytes([b]) for b in range(256)} & set(self.ids)
-        self.left: dict[bytes, list[tuple[bytes, int]]] = {}
-        self.right: dict[bytes, list[tuple[bytes, int]]] = {}
-        # Tokens by their first and by their last two bytes: how long the longest is, so that few others are tried.
-        self.head, self.tail = {}, {}
+        # By numbers: the rank of two tokens' merge, what a token is made of and when, its size, and the next shorter token it starts with.
+        self.most = max(self.bytes_of) + 1
+        self.merge = {self.ids[a] * self.most + self.ids[b]: n for (a, b), n in self.rank.items()}
+        self.made = {self.ids[t]: (self.ids[a], self.ids[b], n) for t, (a, b, n) in self.parts.items()}
+        self.size = {self.ids[t]: len(t) for t in self.tokens}
+        self.left: dict[int, list[tuple[int, int]]] = {}
+        self.right: dict[int, list[tuple[int, int]]] = {}
+        # For the bytes that tokens start with: the longest token they start with, or -1.
+        self.best, self.shorter = {b"": -1}, {}
+        for token in sorted(self.tokens, key=len):
+            for k in range(1, len(token)):
+                if token[:k] not in self.best:
+                    self.best[token[:k]] = self.best[token[: k - 1]]
+            self.shorter[self.ids[token]] = self.best[token[:-1]]
+            self.best[token] = self.ids[token]
+        # Tokens by their last two bytes: how long the longest is, so that few others are tried.
+        self.tail = {}
         for token in self.tokens:
-            for table, two in ((self.head, token[:2]), (self.tail, token[-2:])):
-                table[two] = max(len(token), table.get(two, 1))
-        self.pairs = Remembered(CACHE_BYTES // 4, lambda pair, _: 200 + len(pair[0]) + len(pair[1]))
-        self.words = Remembered(3 * CACHE_BYTES // 4, lambda word, ids: 150 + len(word) + 8 * len(ids))
+            self.tail[token[-2:]] = max(len(token), self.tail.get(token[-2:], 1))
+        self.pairs = Remembered(CACHE_BYTES // 2, lambda *_: 150)
+        self.words = Remembered(CACHE_BYTES // 2, lambda word, ids: 150 + len(word) + 8 * len(ids))
         self.split = regex.compile(PRETOKEN)
         self.border = regex.compile(r"\P{White_Space} (?=\P{White_Space})")
         self.blank = regex.compile(r" (?:\s|$)")
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.lookahead = self._sufficient_lookahead()
 
-    def _spine(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
+    def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """The tokens that stand at one edge of a token while it is built, each with the rank at which it is consumed."""
-        found, spines = [], self.left if side == 0 else self.right
-        if token not in spines:
-            here, until = token, len(self.rank) + 1
+        spines = self.left if side == 0 else self.right
+        found = spines.get(token)
+        if found is None:
+            found, here, until = [], token, len(self.rank) + 1
             while True:
                 found.append((here, until))
-                if here not in self.parts:
+                made = self.made.get(here)
+                if made is None:
                     break
-                here, until = self.parts[here][side], self.parts[here][2]
+                here, until = made[side], made[2]
             spines[token] = found
-        return spines[token]
+        return found
 
-    def stable(self, a: bytes, b: bytes) -> bool:
+    def stable(self, a: int, b: int) -> bool:
         """Whether no merge crosses the border between a and b: a crossing merge fires if it comes before either side is consumed; of equal ranks the left one is first."""
-        key = (a, b)
+        key = a * self.most + b
         known = self.pairs.young.get(key)
         if known is None:
             known = self.pairs.recall(key)
         if known is None:
-            rank = self.rank
-            known = not any(
-                (r := rank.get((x, y))) is not None and r < x_until and r <= y_until
-                for x, x_until in self._spine(a, 1)
-                for y, y_until in self._spine(b, 0)
-            )
+            known = self._stable(a, b)
             self.pairs.keep(key, known)
         return known
 
+    def _stable(self, a: int, b: int) -> bool:
+        rank, spine = self.merge.get, self._spine(b, 0)
+        for x, x_until in self._spine(a, 1):
+            x *= self.most
+            for y, y_until in spine:
+                r = rank(x + y)
+                if r is not None and r < x_until and r <= y_until:
+                    return False
+        return True
+
     def _sufficient_lookahead(self) -> int:
         """Bytes that must follow a border before it is final.
 
@@ -160,7 +184,7 @@ class Transducer:
             token = text[start:end]
             if token in self.tokens:
                 before = last[start]
-                if not before or self.stable(before, token):
+                if not before or self.stable(self.ids[before], self.ids[token]):
                     return token
         raise ValueError(f"no token ends in byte {text[-1]}")
 
@@ -187,46 +211,60 @@ class Transducer:
         kept[0] = last[cut]  # the pair test needs the token left of the first pending byte
         return done, pending[cut:], kept
 
-    def _short(self, data: bytes) -> list[bytes]:
-        """Tokens of a word within the lookahead.
+    def _short(self, data: bytes) -> list[int]:
+        """Ids of a word within the lookahead.
 
         Only one sequence of tokens has no unstable pair, so whichever search meets one has found the encoding: take the
         longest token that is stable after the one before it, and step back where none is.
         """
-        tokens, pairs, head = self.tokens, self.pairs.young.get, self.head.get
-        found: list[bytes] = []
-        ends, size = [0], len(data)
-        end = min(size, head(data[:2], 1))
-        before = start = 0
+        best, shorter, sizes, pairs, most = self.best.get, self.shorter, self.size, self.pairs.young.get, self.most
+        found: list[int] = []
+        start, before, size = 0, -1, len(data)
         while start < size:
-            while end > start:
-                token = data[start:end]
-                if token in tokens:
-                    if not before:
-                        break
-                    known = pairs((before, token))
-                    if known or (known is None and self.stable(before, token)):
-                        break
-                end -= 1
-            if end > start:
-                found.append(token)
-                ends.append(end)
-                before, start = token, end
-                end = min(size, start + head(data[start : start + 2], 1))
-            elif found:
-                found.pop()
-                end = ends.pop() - 1
-                before, start = found[-1] if found else 0, ends[-1]
+            # The longest token that starts here, by way of the longest start of any token.
+            end = start + 4
+            token = best(data[start:end])
+            if token is None:
+                while token is None:
+                    end -= 1
+                    token = best(data[start:end])
             else:
-                raise ValueError(f"no token starts with byte {data[0]}")
+                while end < size:
+                    end += 1
+                    longer = best(data[start:end])
+                    if longer is None:
+                        break
+                    token = longer
+            while True:
+                if before >= 0:
+                    while token >= 0:
+                        known = pairs(before * most + token)
+                        if known or (known is None and self.stable(before, token)):
+                            break
+                        token = shorter[token]
+                if token >= 0:
+                    found.append(token)
+                    start += sizes[token]
+                    before = token
+                    break
+                if not found:
+                    raise ValueError(f"no token starts with byte {data[0]}")
+                token = found.pop()
+                start -= sizes[token]
+                before = found[-1] if found else -1
+                token = shorter[token]
         return found
 
+    def word_ids(self, word: str) -> Iterable[int]:
+        """Ids of a word of any length; beyond the longest token it goes through the stream."""
+        data = word.encode("utf-8")
+        return self._short(data) if len(data) <= self.longest else (self.ids[token] for token in self.stream([data]))
+
     def _word(self, word: str) -> tuple[int, ...]:
         """Ids of a word within the lookahead."""
         known = self.words.young.get(word) or self.words.recall(word)
         if known is None:
-            ids = self.ids
-            known = tuple([ids[token] for token in self._short(word.encode("utf-8"))])
+            known = tuple(self._short(word.encode("utf-8")))
             self.words.keep(word, known)
         return known
 
@@ -249,9 +287,8 @@ class Transducer:
             if len(word) <= MOST_KEPT:
                 yield self._word(word)
             else:
-                data = word.encode("utf-8")
-                for token in self._short(data) if len(data) <= self.longest else self.stream([data]):
-                    yield (self.ids[token],)
+                for i in self.word_ids(word):
+                    yield (i,)
 
     def encode(self, text: str) -> Iterator[list[int]]:
         """Ids of a text, in blocks of bounded size.
@@ -326,6 +363,50 @@ def transducer(path: str) -> Transducer:
     return Transducer(path)
 
 
+class PieceCoder(Pieces):
+    """The transducer behind a table of pieces of text, for many texts at once that have no long piece."""
+
+    def __init__(self, path: str):
+        self.coder = coder = transducer(path)
+        super().__init__(list(coder.special), MOST_PIECES, f"{SPACE.replace('[', '[^', 1)}{{{LONG_PIECE + 1}}}")
+        # Each id's decimal and comma, and its bytes, for ids up to the largest.
+        self.names = pa.array([f"{i}," for i in range(coder.most)], pa.binary())
+        self.raw = pa.array([coder.bytes_of.get(i, b"") for i in range(coder.most)], pa.binary())
+
+    def learn(self, keys: list[str]) -> None:
+        coder, ids, sizes = self.coder, array("i"), []
+        for key in keys:
+            if len(key) < coder.longest and key.isascii() and key.isalpha():
+                found = coder._short(b" " + key.encode())
+            else:
+                found = [i for word in coder.split.findall(self.piece(key)) for i in coder.word_ids(word)]
+            ids.extend(found)
+            sizes.append(len(found))
+        self.new.keep(keys, np.frombuffer(ids, np.int32), np.array(sizes, np.int64))
+
+    def digests(self, ids: np.ndarray, ends: np.ndarray) -> tuple[list[str], list[str]]:
+        """SHA-256 of each text's ids, in decimal and with commas, and of the text that they decode to."""
+        of_ids, of_texts = [], []
+        (names, at), (raw, place) = self._joined(self.names, ids, ends), self._joined(self.raw, ids, ends)
+        for a, b, c, d in zip(at, at[1:], place, place[1:]):
+            of_ids.append(hashlib.sha256(names[a : max(a, b - 1)]).hexdigest())
+            of_texts.append(hashlib.sha256(str(raw[c:d], "utf-8", "replace").encode()).hexdigest())
+        return of_ids, of_texts
+
+    @staticmethod
+    def _joined(table: pa.Array, ids: np.ndarray, ends: np.ndarray) -> tuple[memoryview, list[int]]:
+        """A table's entries for all ids, one after another, and where each text's begin and the last one's end."""
+        found = table.take(pa.array(ids))
+        _, offsets, data = found.buffers()
+        return memoryview(data or b""), np.frombuffer(offsets, np.int32)[np.concatenate([[0], ends])].tolist()
+
+
+@lru_cache(maxsize=2)
+def piece_coder(path: str) -> PieceCoder:
+    """One coder of pieces per Python worker and vocabulary file."""
+    return PieceCoder(path)
+
+
 def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """df with a column of token ids (array<int>) of each whole text.
 
@@ -376,7 +457,11 @@ def decode_documents(df: DataFrame, path: str, ids: str = "token_ids", text: str
 
 
 def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Digests of each document's ids and of the text they decode to, in one pass; beside the text itself a document takes constant memory.
+    """Digests of each document's ids and of the text they decode to, in one pass.
+
+    About SLICE bytes of texts are encoded at a time by their distinct pieces. Texts beyond LONG_TEXT, and those with
+    long pieces, much white space or special tokens, are encoded block by block: beside the text itself such a document
+    takes constant memory.
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256; with keep_ids, token_ids (array<int>) too: a row's ids are
     then whole in memory, four bytes each, and results are handed on every BATCH_TOKENS tokens. Null and empty texts have
@@ -400,21 +485,49 @@ def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
             of_text.update(part.encode())
         return count, of_ids.hexdigest(), of_text.hexdigest()
 
-    def run(batches):
+    def of_plain(rows, texts):
+        pieces = piece_coder(path)
+        ids, ends = pieces.encode_plain(texts)
+        of_ids, of_texts = pieces.digests(ids, ends)
+        starts, start = np.concatenate([[0], ends]), 0
+        while start < len(ends):
+            end = max(start + 1, int(np.searchsorted(ends, starts[start] + BATCH_TOKENS, "right")))
+            columns = [rows.slice(start, end - start), pa.array(np.diff(starts[start : end + 1]), pa.int64()), pa.array(of_ids[start:end], pa.string()), pa.array(of_texts[start:end], pa.string())]
+            if keep_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array((starts[start : end + 1] - starts[start]).astype(np.int32)), pa.array(ids[starts[start] : starts[end]])))
+            yield pa.RecordBatch.from_arrays(columns, names=names_out)
+            start = end
+
+    def of_odd(part, texts):
         coder = transducer(path)
+        start, rows, values, ends = 0, [], array("i"), array("i", [0])
+        for k, data in enumerate(texts):
+            rows.append(one(coder, data.as_py(), values))
+            ends.append(len(values))
+            if len(values) >= BATCH_TOKENS or k == len(texts) - 1:
+                counts, of_ids, of_texts = zip(*rows)
+                columns = [part.slice(start, len(rows)), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())]
+                if keep_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.frombuffer(ends, np.int32)), pa.array(np.frombuffer(values, np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, names=names_out)
+                start, rows, values, ends = k + 1, [], array("i"), array("i", [0])
+
+    def run(batches):
+        pieces = piece_coder(path)
         for batch in batches:
-            for part, texts in in_slices(batch, 1):
-                start, rows, values, ends = 0, [], array("i"), array("i", [0])
-                for k, data in enumerate(texts):
-                    rows.append(one(coder, data, values))
-                    ends.append(len(values))
-                    if len(values) >= BATCH_TOKENS or k == len(texts) - 1:
-                        counts, of_ids, of_texts = zip(*rows)
-                        columns = [part.column(0).slice(start, len(rows)), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())]
-                        if keep_ids:
-                            columns.append(pa.ListArray.from_arrays(pa.array(np.frombuffer(ends, np.int32)), pa.array(np.frombuffer(values, np.int32))))
-                        yield pa.RecordBatch.from_arrays(columns, names=names_out)
-                        start, rows, values, ends = k + 1, [], array("i"), array("i", [0])
+            for part in byte_slices(batch, 1, SLICE):
+                rows, data = part.columns
+                odd = pc.binary_length(data).to_numpy(zero_copy_only=False) > LONG_TEXT
+                short = pa.array(~odd)
+                texts = data.filter(short)
+                try:
+                    texts = texts.cast(pa.string())
+                except pa.ArrowInvalid:  # bytes that are no UTF-8
+                    texts = pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+                found = pieces.is_odd(texts)
+                odd[~odd] = found
+                yield from of_plain(rows.filter(pa.array(~odd)), texts.filter(pa.array(~found)))
+                yield from of_odd(rows.filter(pa.array(odd)), data.filter(pa.array(odd)))
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids
     return df.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text")).mapInArrow(run, schema)
