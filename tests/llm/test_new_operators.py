@@ -50,6 +50,18 @@ def test_pieces_give_the_librarys_ids(monkeypatch):
         assert [coder.encode_all(pa.array([t], pa.string()))[0].tolist() for t in texts[:200]] == want[:200]
 
 
+def test_words_with_and_without_a_mark_are_learnt_once(monkeypatch):
+    library, given = Tokenizer.from_file(PATH), []
+    words = [f"{a}{b}{c}ly" for a in "bcdf" for b in "aeiou" for c in "lmnrst"]
+    text = " ".join(w + mark for mark in ("", ",", ".", ",") for w in words) + "\nlast... e.g. x.,y a.  b,\nc."
+    coder = token_files.Encoder(PATH)
+    learn = coder.learn
+    monkeypatch.setattr(coder, "learn", lambda keys: given.extend(keys) or learn(keys))
+    ids, ends = coder.encode_all(pa.array([text, "no " + text], pa.string()))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in (text, "no " + text)]
+    assert len(given) == len(set(given)) < len(words) + 20
+
+
 def expected_files(rows):
     """(doc_id, start, n_tokens, crc) in order; ties have one multiset of places, so only the sum of starts is compared for them."""
     library, start, found = Tokenizer.from_file(PATH), 0, []

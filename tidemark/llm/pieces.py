@@ -49,9 +49,11 @@ class Table:
 
     def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a sequence of pieces, and how many ids each piece has."""
-        sizes = self.sizes[numbers].astype(np.int64)
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        # Four bytes for a place: a table and an Arrow array of texts both stay below 2^31.
+        at = np.repeat((self.starts[numbers] - (ends - sizes)).astype(np.int32), sizes)
+        at += np.arange(len(at), dtype=np.int32)
         return self.values[at], sizes
 
 
@@ -99,17 +101,25 @@ class Pieces:
         """(ids, ends): the ids of texts that are not odd, one after another, and where each text's end."""
         if not len(texts):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        marked = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " \n"), "([a-z])([.,])( |$)", "\\1 \0\\2\\3")
-        split = pc.split_pattern(marked, " ")
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        codes = coded.indices.to_numpy().astype(np.int64)
-        offsets = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        words, codes, offsets = self._split(texts)
         # A text's first piece has no space before it; the others have one, unless they start with their line feed.
         firsts = offsets[:-1]
         own, which = np.unique(codes[firsts], return_inverse=True)
-        numbers = self.numbers(words + ["\0" + words[c] for c in own])
-        at = numbers[: len(words)][codes]
-        at[firsts] = numbers[len(words) :][which]
+        words += ["\0" + words[c] for c in own]
+        numbers, own = self.numbers(words).astype(np.int32), len(words) - len(own)
+        del words
+        at = numbers[codes]
+        at[firsts] = numbers[own:][which]
         ids, sizes = self.new.gathered(at)
-        return ids, np.concatenate([[0], np.cumsum(sizes)])[offsets[1:]]
+        return ids, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[offsets[1:]]
+
+    @staticmethod
+    def _split(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(words, codes, offsets): the distinct pieces, which of them the texts have one after another, and where each text's begin."""
+        marked = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " \n"), "([a-z])([.,])( |$)", "\\1 \0\\2\\3")
+        split = pc.split_pattern(marked, " ")
+        del marked
+        coded = split.flatten().dictionary_encode()
+        offsets = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        del split
+        return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), offsets

@@ -12,67 +12,29 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import byte_slices
+from tidemark.llm.pieces import SPACE, Pieces
+
 #: Ids in one file row, and rows in one row group of the index.
 PART, GROUP = 65_536, 1_000
-#: Pieces of text that a worker remembers the ids of, and characters that the tokenizer gets at a time.
-MOST_PIECES, JOINED = 1 << 20, 100_000
+#: Pieces of text that a worker remembers the ids of, characters that the tokenizer gets as one text, and texts in a call.
+MOST_PIECES, JOINED, CALL = 3 << 18, 2_000, 64
 #: Bytes of text that are cut into pieces at a time.
-SLICE = 4 << 20
-#: The code points that Unicode calls white space, as a character class.
-SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SLICE = 6 << 20
 
 SCHEMA = "doc_id long, doc_at long, n_tokens long, part int, ids array<int>"
 
 
-class Table:
-    """Ids of pieces of text by their keys: each has a number, and its ids stand at a place in one array."""
-
-    def __init__(self):
-        self.known: dict[str, int] = {}
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
-        self.values, self.used = np.zeros(1 << 18, np.int32), 0
-
-    def keep(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Note the ids of new keys, which stand one after another in ids."""
-        n, more = len(self.known), len(keys)
-        while n + more > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros(len(x), x.dtype)]) for x in (self.starts, self.sizes))
-        while self.used + len(ids) > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros(len(self.values), np.int32)])
-        self.values[self.used : self.used + len(ids)] = ids
-        self.starts[n : n + more] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[n : n + more] = sizes
-        self.known.update(zip(keys, range(n, n + more)))
-        self.used += len(ids)
-
-    def numbers(self, keys: list[str]) -> np.ndarray:
-        """Each key's number, -1 for unknown ones."""
-        return np.array([*map(self.known.get, keys, repeat(-1))], np.int64)
-
-    def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a sequence of pieces, and how many ids each piece has."""
-        sizes = self.sizes[numbers].astype(np.int64)
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return self.values[at], sizes
-
-
-class Encoder:
-    """The tokenizers library behind a table of pieces of text.
-
-    A byte-level pre-tokenizer never crosses the start of a run of white space, so a text's ids are those of its pieces,
-    each a run of white space and what follows it. Pieces repeat, so each is given to the library once, many at a time.
-    """
+class Encoder(Pieces):
+    """The tokenizers library behind a table of pieces of text: new pieces are given to it once, many at a time."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -81,6 +43,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        super().__init__([t.content for t in self.library.get_added_tokens_decoder().values()], MOST_PIECES)
         # In the byte alphabet of the vocabulary, these two characters stand for a space and a line feed.
         self.begins = np.zeros(max(self.library.get_vocab(with_added_tokens=True).values()) + 1, bool)
         for token, i in self.library.get_vocab(with_added_tokens=True).items():
@@ -88,65 +51,37 @@ class Encoder:
         narrow = SPACE.replace("\\x{", "\\u{")
         narrow = re.sub(r"\\u\{([0-9a-f]+)\}", lambda m: f"\\u{int(m[1], 16):04x}", narrow)
         self.pieces = re.compile(f"{narrow}*{narrow.replace('[', '[^', 1)}+|{narrow}+")
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        # White space of three or more characters, or of two at the end or before a special token, is more than splitting at spaces and line feeds gets right.
-        self.odd = "|".join([f"{SPACE}{{3}}|{SPACE}{{2}}$|\\x00", *(re.sub(r"([^\w])", r"\\\1", x) for x in special)])
-        # What is asked for again moves from the old table to the new one, which becomes the old one when it is full.
-        self.new, self.old = Table(), Table()
+        # Pieces that start with one space or line feed, after which there is something else.
+        self.plain = re.compile(r"\n?(?!\0|\s).", re.DOTALL)
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, keys: Iterable[str]) -> None:
+    def learn(self, keys: list[str]) -> None:
         """Give new pieces to the library: those that start with one space or line feed joined, the others one by one."""
-        group: list[str] = []
-        size = 0
+        plain, alone, groups, size = self.plain.match, [], [[]], 0
         for key in keys:
-            body = key.removeprefix("\n")
-            if body and body[0] != "\0" and not body[0].isspace():
-                group.append(key)
+            if plain(key):
+                groups[-1].append(key)
                 size += len(key)
                 if size >= JOINED:
-                    self._learn_joined(group)
-                    group, size = [], 0
+                    groups.append([])
+                    size = 0
             else:
-                self._learn_one(key)
-        if group:
-            self._learn_joined(group)
-
-    def _learn_one(self, key: str) -> None:
-        ids = self._encode(self.piece(key))
-        self.new.keep([key], ids, np.array([len(ids)]))
-
-    @staticmethod
-    def piece(key: str) -> str:
-        """The piece of text that a key stands for: what follows a space, a line feed and what follows it, or after a null the piece as it is."""
-        return key if key[:1] == "\n" else key[1:] if key[:1] == "\0" else " " + key
-
-    def _learn_joined(self, group: list[str]) -> None:
-        ids = self._encode("".join([x if x[0] == "\n" else " " + x for x in group]))
-        starts = np.flatnonzero(self.begins[ids])
-        if len(starts) == len(group) and starts[0] == 0:
-            self.new.keep(group, ids, np.diff(starts, append=len(ids)))
-        else:  # a space or line feed inside of a piece
-            for key in group:
-                self._learn_one(key)
-
-    def numbers(self, keys: list[str]) -> np.ndarray:
-        """Numbers of the keys in the new table; pieces that neither table has are learnt."""
-        found = self.new.numbers(keys)
-        missing = np.flatnonzero(found < 0)
-        if len(missing):
-            wanted = list(dict.fromkeys([keys[k] for k in missing]))
-            if len(self.new.known) + len(wanted) > MOST_PIECES // 2:
-                self.new, self.old = Table(), self.new
-                missing, wanted = np.arange(len(keys)), list(dict.fromkeys(keys))
-            before = self.old.numbers(wanted)
-            again = before >= 0
-            self.new.keep([k for k, b in zip(wanted, again) if b], *self.old.gathered(before[again]))
-            self._learn([k for k, b in zip(wanted, again) if not b])
-            found[missing] = self.new.numbers([keys[k] for k in missing])
-        return found
+                alone.append(key)
+        for start in range(0, len(groups), CALL):
+            some = [group for group in groups[start : start + CALL] if group]
+            for group, ids in zip(some, self._encode(["".join([x if x[0] == "\n" else " " + x for x in group]) for group in some])):
+                ids = np.array(ids, np.int32)
+                starts = np.flatnonzero(self.begins[ids])
+                if len(starts) == len(group) and starts[0] == 0:
+                    self.new.keep(group, ids, np.diff(starts, append=len(ids)))
+                else:  # a space or line feed inside of a piece
+                    alone += group
+        for start in range(0, len(alone), CALL):
+            some = alone[start : start + CALL]
+            found = self._encode([self.piece(key) for key in some])
+            self.new.keep(some, np.array([i for ids in found for i in ids], np.int32), np.array([len(ids) for ids in found]))
 
     def _of_pieces(self, pieces: list[str]) -> np.ndarray:
         numbers = self.numbers(["\0" + x for x in pieces])  # may begin a new table
@@ -154,27 +89,13 @@ class Encoder:
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the ids of all texts one after another, and where each text's end."""
-        if not len(texts):
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
-        if odd.any():
-            ids, ends = self.encode_all(texts.filter(pa.array(~odd)))
-            plain = iter(np.split(ids, ends[:-1]))
-            found = [self._of_pieces(self.pieces.findall(t)) if o else next(plain) for t, o in zip(texts.to_pylist(), odd)]
-            return np.concatenate(found), np.cumsum([len(x) for x in found])
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        codes = coded.indices.to_numpy().astype(np.int64)
-        offsets = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
-        # A text's first piece has no space before it; the others have one, unless they start with their line feed.
-        firsts = offsets[:-1]
-        own, which = np.unique(codes[firsts], return_inverse=True)
-        numbers = self.numbers(words + ["\0" + words[c] for c in own])
-        at = numbers[: len(words)][codes]
-        at[firsts] = numbers[len(words) :][which]
-        ids, sizes = self.new.gathered(at)
-        return ids, np.concatenate([[0], np.cumsum(sizes)])[offsets[1:]]
+        odd = self.is_odd(texts)
+        if not odd.any():
+            return self.encode_plain(texts)
+        ids, ends = self.encode_plain(texts.filter(pa.array(~odd)))
+        plain = iter(np.split(ids, ends[:-1]))
+        found = [self._of_pieces(self.pieces.findall(t)) if o else next(plain) for t, o in zip(texts.to_pylist(), odd)]
+        return np.concatenate(found), np.cumsum([len(x) for x in found])
 
 
 @lru_cache(maxsize=2)
@@ -183,23 +104,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows with about SLICE bytes of text at a time."""
-    sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(sizes):
-        end = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + SLICE, "right")))
-        yield batch.slice(start, end - start)
-        start = end
-
-
 def encoded(ordered: DataFrame, path: str, end_id: int) -> DataFrame:
     """File rows (doc_id, doc_at, n_tokens, part, ids) of (doc_id, text) rows, partition by partition in their order."""
 
     def run(batches):
         coder, before = encoder(path), 0
         for batch in batches:
-            for rows in _slices(batch):
+            for rows in byte_slices(batch, 1, SLICE):
                 ids, ends = coder.encode_all(rows.column(1))
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                 counts = ends - starts + 1
