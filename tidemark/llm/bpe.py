@@ -33,12 +33,12 @@ from tidemark.llm.pieces import SPACE, Pieces
 PRETOKEN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
 #: Bytes, by estimate, that a worker's remembered words and pairs take, and characters of the longest word that is remembered.
-CACHE_BYTES, MOST_KEPT = 96 << 20, 40
+CACHE_BYTES, MOST_KEPT = 48 << 20, 40
 #: Tokens that are hashed and decoded at a time, characters of a text that are cut into words at a time, and tokens of a result batch.
 BLOCK, PART, BATCH_TOKENS = 65_536, 65_536, 1 << 20
 #: Bytes of text that are encoded at a time by their distinct pieces, pieces that a worker remembers, and characters of a piece and
 #: bytes of a text beyond which a text is encoded on its own, block by block.
-SLICE, MOST_PIECES, LONG_PIECE, LONG_TEXT = 8 << 20, 1 << 20, 64, 1 << 20
+SLICE, MOST_PIECES, LONG_PIECE, LONG_TEXT = 4 << 20, 1 << 18, 64, 1 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
