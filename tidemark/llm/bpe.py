@@ -513,10 +513,14 @@ def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
                 start, rows, values, ends = k + 1, [], array("i"), array("i", [0])
 
     def run(batches):
-        pieces = piece_coder(path)
+        # Results with ids come after stages whose workers stay in memory: no table of pieces there.
+        pieces = None if keep_ids else piece_coder(path)
         for batch in batches:
             for part in byte_slices(batch, 1, SLICE):
                 rows, data = part.columns
+                if pieces is None:
+                    yield from of_odd(rows, data)
+                    continue
                 odd = pc.binary_length(data).to_numpy(zero_copy_only=False) > LONG_TEXT
                 short = pa.array(~odd)
                 texts = data.filter(short)
