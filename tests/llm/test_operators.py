@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, linechunks, merkle, mixing, ngram_model, simhash, substrings, topk, toxicity, warc
 from tidemark.llm.common import connected_components
+from tidemark.llm.q_ngram import op3_lm_scoring
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, doc long, tag int, size long, _row string"
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -243,6 +244,77 @@ def test_scores_do_not_depend_on_the_filter_bound(spark, most_bits):
     assert held and sum(r.score for r in held) >= sum(r.base_score for r in held) - 1e-2 * len(held)
 
 
+def brute_model_of_all_pairs(texts):
+    """The same with the pairs that occur once; what a context gives to other words follows from its distinct pairs."""
+    v = lambda c: float(ngram_model.VALUE[sum(t <= c for t in ngram_model.LEVELS)])
+    tokens = [ngram_model.tokens_of(t.encode()) for t in texts]
+    words, pairs = Counter(w for ts in tokens for w in ts), Counter(p for ts in tokens for p in zip([ngram_model.END, *ts], ts))
+    once, n = sum(c == 1 for c in words.values()), sum(words.values())
+    total, unseen = sum(map(v, words.values())), (once + 1) / (n + once + 1)
+    sums, distinct, figures = Counter(), Counter(c for c, _ in pairs), {}
+    for (c, _), x in pairs.items():
+        sums[c] += v(x)
+    for c, x in sums.items():
+        level, fine = ngram_model.context_codes(np.array([x]), np.array([float(words[c])]), np.array([float(distinct[c])]))
+        code = int(level[0]) << ngram_model.FINE | int(fine[0])
+        figures[c] = ngram_model.CONTEXT_SUM[code], ngram_model.CONTEXT_SHARE[code]
+        assert figures[c][1] == pytest.approx(x / (max(words[c], x) + distinct[c]), abs=1 / 32)
+
+    def p(word, context):
+        alone = (1 - unseen) * v(words[word]) / total if word in words else unseen / (len(words) + 1)
+        s, share = figures.get(context, (1.0, 0.0))
+        return share * min(v(pairs[context, word]) / s if (context, word) in pairs else 0.0, 1.0) + (1 - share) * alone
+
+    return p, words, pairs
+
+
+def test_the_query_learns_from_pairs_that_occur_once(spark, tmp_path):
+    rows = [(i, " ".join(f"w{int(120 * random.Random(i * 999 + k).random() ** 3)}" for k in range(50)), "a") for i in range(40)]
+    rows += [(100, None, "a"), (101, "never seen words", "a"), (102, "", "a"), (103, "only here w1 only", "a"), (103, "only here w1 only", "a")]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    p, words, pairs = brute_model_of_all_pairs([t or "" for i, t, _ in rows if not held(i)])
+    single, want = 0, {}
+    for i, t, _ in rows:
+        tokens = ngram_model.tokens_of((t or "").encode())
+        want[i] = sum(math.log10(p(w, c)) for c, w in zip([ngram_model.END, *tokens], tokens))
+        single += held(i) and sum(pairs[c, w] == 1 for c, w in zip([ngram_model.END, *tokens], tokens))
+    found = op3_lm_scoring(spark, str(tmp_path)).collect()
+    assert single > 10 and len(found) == len(rows)
+    assert {i: pytest.approx(x, abs=1e-6) for i, x in want.items()} == {r.doc_id: r.score for r in found}
+    for context in [*list(words)[:60], b"unknown"]:
+        assert 0.98 < sum(p(w, context) for w in words) + (len(words) + 1) * p(b"?", context) < 1.02
+
+
+def test_the_probabilities_of_all_pairs_add_up_to_one_by_the_filter(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("text").cast("binary").alias("text"))
+    counts, figures, data = ngram_model.train(rows, once=True)
+    exact = {bytes(r.token): r.c for r in counts.collect()}
+    assert figures["least_pair"] == figures["least_word"] == figures["least_once"] == 1
+    model, words = ngram_model.Model(data, figures, {}), list(exact)
+    ranked = sorted(words, key=lambda w: (-exact[w], w))
+    for context in [ranked[k] for k in (0, 1, 5, 20, 100, 500, 3_000, 10_000, 15_000, 60_000)] + [b"never seen"]:
+        of = np.array([ngram_model.word_hash(context)], np.uint64)
+        share = float(ngram_model.CONTEXT_SHARE[model.contexts(of, model.filter.levels(ngram_model.word_keys(of)))[0]])
+        assert 0.95 < model.after(context, words).sum() + (1 - share) * (figures["words"] + 1) * model.p_of[0] < 1.02, (context, exact.get(context))
+
+
+@pytest.mark.parametrize("most_bits", [700_000, 400_000, 60_000, 1_000])
+def test_scores_by_all_pairs_do_not_depend_on_the_filter_bound(spark, most_bits):
+    rows = [(i, " ".join(f"w{int(900 * random.Random(i * 1000 + k).random() ** 2)}" for k in range(300)), "a") for i in range(60)]
+    df = table(spark, [*rows, *awkward()])
+    key = lambda r: (str(r.doc_id), r.n_tokens, round(r.base_score, 6))
+    bound, free = (sorted(ngram_model.scores(df, most_bits=n, once=True).collect(), key=key) for n in (most_bits, ngram_model.MOST_BITS))
+    assert [key(r) for r in bound] == [key(r) for r in free]
+    assert all(abs(a.score - b.score) < 1e-2 * abs(b.score) + 0.2 for a, b in zip(bound, free))
+    if most_bits <= 60_000:  # what the counts answer is the model's own
+        every = [*rows, *awkward()]
+        p, _, _ = brute_model_of_all_pairs([x or "" for i, x, _ in every if i is None or zlib.crc32(str(i).encode()) % 7 != 2])
+        tokens = [(str(i), ngram_model.tokens_of((x or "").encode())) for i, x, _ in every]
+        want = sorted((i, sum(math.log10(p(w, c)) for c, w in zip([ngram_model.END, *ts], ts))) for i, ts in tokens)
+        assert [(i, pytest.approx(x, abs=1e-4)) for i, x in want] == sorted((str(r.doc_id), r.score) for r in bound)
+
+
 def test_bpe(docs):
     rows, df = docs
     library = Tokenizer.from_file(PATH)
