@@ -132,3 +132,16 @@ def test_records_are_dealt_out_and_their_digits_cut_once(spark, monkeypatch):
     rows = spark.createDataFrame([(whole + free + "02" + "00" * 7,), ("0x" + whole + free + "ff" * 8,), (whole + free,), (whole + free[:-2],), ("",), (None,)], "account_info_hex string")
     found = [tuple(None if v is None else int(v) for v in r) for r in decode.account_balances(rows).select("free_rao", "reserved_rao").collect()]
     assert found == [(1, 2), (1, 2**64 - 1), (1, None), (None, None), (None, None), (0, 0)]
+
+
+def test_an_accounts_record_is_decoded_once_for_all_of_its_snapshots(spark):
+    from tidemark.plans import roundtrips
+    from tidemark.plans.catalog import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    found = QUERIES["p17_account_balances"](spark, sf)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("Join") < plan.index("conv(")  # decoded below the join with the blocks
+    one_by_one = roundtrips.longs(roundtrips.decode.account_balances(roundtrips.raw_snapshots(spark, sf)), "free_rao", "reserved_rao")
+    every = lambda df: sorted(tuple(r) for r in df.select("block_number", "coldkey", "free_rao", "reserved_rao").collect())
+    assert every(found) == every(one_by_one) and found.count() > 0
