@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from tidemark.functions.time_buckets import DAY, HOUR
-from tidemark.operators import ledger, quality
+from tidemark.operators import chain, ledger, quality
 from tidemark.plans import catalog, metrics, registry
 from tidemark.plans.registry import Metric
 from tidemark.sources import tables
@@ -103,6 +103,38 @@ def test_same_rows_counts_repeats_and_is_exact(spark, monkeypatch):
     assert tables.same_rows(frame(rows), frame(rows[::-1])) and not tables.same_rows(frame(rows), frame([(9, None), *rows[1:]]))
 
 
+def test_same_rows_compares_wide_decimals_without_making_them_objects(spark, monkeypatch):
+    schema = "a decimal(20,0), b string, c decimal(38,0), d decimal(38,2)"
+    frame = lambda *values: spark.createDataFrame([(Decimal(x) if x is not None else None, "x", Decimal(y), Decimal("1.25")) for x, y in values], schema)
+    long, beyond = 2**63 - 1, 2**63
+    rows = [(1, 5), (1, 5), (None, 5), (long, -long - 1), (beyond, beyond), (-beyond - 1, 10**37)]
+    for digest in (None, 7):  # digests that differ, and digests that tell nothing
+        if digest is not None:
+            monkeypatch.setattr(tables.F, "xxhash64", lambda *columns: F.lit(digest).cast("long"))
+        assert tables.same_rows(frame(*rows), frame(*rows[::-1]))
+        for k, other in ((0, (2, 5)), (2, (0, 5)), (3, (long - 1, -long - 1)), (4, (beyond + 1, beyond)), (4, (beyond, beyond + 1)), (4, (None, beyond)), (5, (-beyond - 2, 10**37)), (1, rows[2])):
+            assert not tables.same_rows(frame(*rows), frame(*rows[:k], other, *rows[k + 1 :])), (digest, k, other)
+    kinds = [f.dataType.simpleString() for f in frame(*rows).select(*tables.plain_columns(frame(*rows))).schema.fields]
+    assert kinds == ["string", "bigint", "string", "string", "bigint", "decimal(38,2)"]
+
+
+def test_snapshots_are_dated_where_they_are(spark, tmp_path, monkeypatch):
+    """Times of blocks are found once for all passes over the snapshots, which are not shuffled by block."""
+    facts = spark.createDataFrame([(1, 100), (10, 150), (12, 200), (50, 190)], "block_number long, timestamp_ms long")
+    records = spark.createDataFrame([(b, f"C{k}", "0x" + "00" * 16 + f"{k:02x}" + "00" * 15) for b in (0, 10, 99) for k in range(3)], "block_number long, coldkey string, account_info_hex string")
+    plans, asked, write, dates = [], [], chain.write_if_changed, chain.block_dates
+    monkeypatch.setattr(chain, "write_if_changed", lambda df, *rest: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *rest))[1])
+    monkeypatch.setattr(chain, "block_dates", lambda *tables_: (asked.append(1), dates(*tables_))[1])
+    want = sorted(tuple(r) for r in chain.snapshot_silver(records, facts).collect())
+    asked.clear()
+    for blocks in (None, records.select("block_number").distinct()):
+        path = str(tmp_path / f"silver{blocks is None}")
+        assert chain.materialise_snapshots(records, path, facts, blocks=blocks) and not chain.materialise_snapshots(records, path, facts, blocks=blocks)
+        assert sorted(tuple(r) for r in tables.read(spark, "account_snapshots", path).collect()) == want and len(want) == 9
+        assert not list(tmp_path.glob("*dates*"))
+    assert len(asked) == 4 and all("BroadcastHashJoin" in p and "hashpartitioning(block_number" not in p for p in plans)
+
+
 def test_a_first_write_compares_nothing(spark, tmp_path, monkeypatch):
     seen = []
     monkeypatch.setattr(tables, "same_rows", lambda a, b: seen.append(1))
